@@ -1,0 +1,61 @@
+"""Tables cut from their lineage, in the folder all executors share.
+
+The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset
+(tests, single-machine use) a temporary folder is made and removed at exit.
+"""
+
+from __future__ import annotations
+
+import atexit
+import gc
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..shipping import ship
+
+_own: dict[str, str] = {}
+
+
+def base_dir(spark: SparkSession) -> str:
+    """The shared folder of this session."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given.rstrip("/")
+    if "dir" not in _own:
+        _own["dir"] = tempfile.mkdtemp(prefix="attestra-")
+        atexit.register(shutil.rmtree, _own["dir"], True)
+    return "file://" + _own["dir"]
+
+
+class Scratch:
+    """Written tables of one operator run; every one can be read again after an executor is lost."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
+        self.spark = spark
+        self.root = f"{base_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self._n = 0
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` and return it as read back; its lineage ends there."""
+        self._n += 1
+        path = f"{self.root}/{self._n}"
+        df.write.parquet(path)
+        # given the schema, an empty table reads back as well
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        for t in tables:
+            jpath = self.spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+            jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+    def release(self) -> None:
+        """Let Spark's cleaner delete shuffle files whose plans are gone."""
+        gc.collect()
+        self.spark._jvm.System.gc()
