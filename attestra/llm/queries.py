@@ -8,13 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
+from .fixedblocks import remove_repeated_passages
+from .quality import quality_scores
+from .rules import quality_rules
 from .simhash import simhash_components
+from .suffix import remove_repeats
+from .toxicity import toxicity_scores
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fixed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(_read(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_read(spark, sf_dir, "documents"))
 
@@ -23,7 +44,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_simhash, op8_decontaminate)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fixed_blocks, op4_quality_rules, op5_quality, op6_suffix_array, op7_simhash, op8_decontaminate, op9_toxicity)}
 
 _WORDS8 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
