@@ -89,8 +89,8 @@ def _clean(data: np.ndarray, words: Words, a: int, b: int, lo: int, begin: int,
     return data[begin:end][keep].tobytes().decode("utf-8", "replace")
 
 
-def _rows(ids: pa.Array, data, s, e, find, share: int, spans: bool, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Result rows of one batch; find(words, i) -> {text: (hits, item names)}."""
+def _rows(ids: pa.Array, data, s, e, find, share: int, spans: bool, schema: pa.Schema, extra: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Result rows of one batch, carried columns last; find(words, i) -> {text: (hits, item names)}."""
     cols: list[list] = [[] for _ in range(5 + spans)]
     for i, j in pieces(s, e):
         w = Words(data, s[i:j], e[i:j], GAPS, fold=True)
@@ -106,7 +106,8 @@ def _rows(ids: pa.Array, data, s, e, find, share: int, spans: bool, schema: pa.S
                 row.append(_clean(data, w, a, b, lo, int(s[i + t]), int(e[i + t]), mask) if hits else data[s[i + t] : e[i + t]].tobytes().decode("utf-8", "replace"))
             for c, x in zip(cols, row):
                 c.append(x)
-    yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, schema.field(k + 1).type) for k, c in enumerate(cols))], schema=schema)
+    made = [ids, *(pa.array(c, schema.field(k + 1).type) for k, c in enumerate(cols))]
+    yield pa.RecordBatch.from_arrays([*made, *extra], [*schema.names, *(f"_c{k}" for k in range(len(extra)))])
 
 
 def _text(w: Words, at: int, m: int) -> bytes:
@@ -124,8 +125,9 @@ def contamination(
     share: int = 20,
     clean_text: bool = False,
     max_broadcast_bytes: int = 4 << 20,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document row: id, n_words, n_hit, n_items, items_sha256, contaminated[, clean_text].
+    """One row per document row: id, n_words, n_hit, n_items, items_sha256, contaminated[, clean_text], carried columns.
 
     Words are the normalised ones of :func:`normal_words`.  A word inside any occurrence of
     a benchmark window is hit; a document is contaminated if it has a hit and ``share`` times
@@ -137,7 +139,9 @@ def contamination(
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     fields = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + ", clean_text string" * clean_text
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
+    carried = "".join(f", _c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
+    width = len(carry)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0))).first()[0]
     names = ["id", *(f.split()[0] for f in fields.split(", "))]
@@ -168,15 +172,15 @@ def contamination(
             for b in batches:
                 data, s, e = text_bytes(b.column(1))
                 if len(s):
-                    yield from _rows(b.column(0), data, s, e, find, share, clean_text, schema_of(b.column(0)))
+                    yield from _rows(b.column(0), data, s, e, find, share, clean_text, schema_of(b.column(0)), [b.column(2 + k) for k in range(width)])
 
-        out = source.mapInArrow(scan, f"id {kind}, {fields}")
+        out = source.mapInArrow(scan, f"id {kind}, {fields}{carried}")
     else:
-        out = _by_shuffle(source, items, kind, fields, schema_of, n, share, clean_text)
-    return out.withColumnRenamed("id", id_col)
+        out = _by_shuffle(source, items, kind, fields + carried, schema_of, n, share, clean_text, width)
+    return out.withColumnsRenamed({"id": id_col} | {f"_c{k}": c for k, c in enumerate(carry)})
 
 
-def _by_shuffle(source: DataFrame, items: DataFrame, kind: str, fields: str, schema_of, n: int, share: int, clean_text: bool) -> DataFrame:
+def _by_shuffle(source: DataFrame, items: DataFrame, kind: str, fields: str, schema_of, n: int, share: int, clean_text: bool, width: int) -> DataFrame:
     """The same rows with no broadcast: windows meet by hash, hits return by document."""
     s = Scratch(source.sparkSession, "decontaminate")
 
@@ -205,9 +209,9 @@ def _by_shuffle(source: DataFrame, items: DataFrame, kind: str, fields: str, sch
                         t = w.text[at]
                         yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(i + t)), pa.array(np.full(len(at), m, np.int32)), pa.array(h[at].view(np.int64)), pa.array((at - w.first[t]).astype(np.int32))], ["id", "m", "h", "at"])
 
-    hits = source.mapInArrow(doc_scan, f"id {kind}, m int, h long, at int").join(grams, ["m", "h"])
+    hits = source.select("id", "text").mapInArrow(doc_scan, f"id {kind}, m int, h long, at int").join(grams, ["m", "h"])
     hits = s.table(hits.groupBy("id").agg(F.collect_set(F.struct("m", "at", "gram", "item")).alias("hits")))
-    ready = source.join(hits, source["id"].eqNullSafe(hits["id"]), "left").select(source["id"], "text", "hits")
+    ready = source.join(hits, source["id"].eqNullSafe(hits["id"]), "left").select(source["id"], "text", "hits", *(source[f"_c{k}"] for k in range(width)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -226,6 +230,6 @@ def _by_shuffle(source: DataFrame, items: DataFrame, kind: str, fields: str, sch
                 return out
 
             if len(st):
-                yield from _rows(b.column(0), data, st, en, find, share, clean_text, schema_of(b.column(0)))
+                yield from _rows(b.column(0), data, st, en, find, share, clean_text, schema_of(b.column(0)), [b.column(3 + k) for k in range(width)])
 
     return ready.mapInArrow(scan, f"id {kind}, {fields}")

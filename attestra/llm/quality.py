@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .docstats import NAMES, with_statistics
+from .bytespan import text_bytes
+from .docstats import NAMES, statistics, with_statistics
 from .scratch import Scratch
 
 #: Log-density differences are cut to this range and counted in this many bins.
@@ -118,6 +119,19 @@ def _logistic(d: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 50) ->
     return float(a), float(b)
 
 
+def train_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held_out_fold: int) -> tuple[Discriminant, DataFrame]:
+    """(model, statistics of all documents): fitted to the labelled documents outside the held-out fold."""
+    s = Scratch(docs.sparkSession, "quality")
+    stats = s.table(with_statistics(docs, id_col, text_col))
+    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
+    train = s.table(stats.filter(_fold(folds) != held_out_fold).join(known, "id").select("x", "y"))
+    return fit(train), stats
+
+
+def _fold(folds: int) -> Column:
+    return F.pmod(F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -136,12 +150,7 @@ def quality_scores(
     empty texts have zero counts and get a score.  With no documents there are no rows;
     without labels of both classes every score is the smoothed share of label 1.
     """
-    s = Scratch(docs.sparkSession, "quality")
-    stats = s.table(with_statistics(docs, id_col, text_col))
-    fold = F.pmod(F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), F.lit(folds))
-    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
-    train = s.table(stats.filter(fold != held_out_fold).join(known, "id").select("x", "y"))
-    model = fit(train)
+    model, stats = train_quality(docs, labels, id_col, text_col, label_col, folds, held_out_fold)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,4 +158,20 @@ def quality_scores(
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = stats.mapInArrow(scan, f"id {kind}, score double")
-    return scored.select(F.col("id").alias(id_col), (fold == held_out_fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(F.col("id").alias(id_col), (_fold(folds) == held_out_fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_out_fold: int = 0, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``threshold``.
+
+    Scores are those of :func:`quality_scores`; texts are scored where they lie, so
+    nothing but statistics goes through a shuffle.
+    """
+    model, _ = train_quality(docs, labels, id_col, text_col, label_col, folds, held_out_fold)
+    place = docs.columns.index(text_col)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(model.score(statistics(*text_bytes(b.column(place)))) >= threshold))
+
+    return docs.mapInArrow(scan, docs.schema)

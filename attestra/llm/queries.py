@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
+from .mixing import mix, mixing_sql
 from .fixedblocks import remove_repeated_passages
 from .quality import quality_scores
 from .rules import quality_rules
 from .simhash import simhash_components
 from .suffix import remove_repeats
 from .toxicity import toxicity_scores
+from .urltree import url_verdicts
+from .warc import round_trip
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,19 @@ def op1_fixed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(_read(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_read(spark, sf_dir, "pages"))
+
+
+#: Parameters of the mixing query, shared with its SQL.
+MIX = {"power": 0.5, "budget": 0.5, "rounds": 8, "seed": "mix"}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(_read(spark, sf_dir, "documents"), **MIX)
+    return out.select("doc_id", "n_tokens", "mix_topic", F.round("mix_weight", 9).alias("mix_weight"), F.round("mix_probability", 9).alias("mix_probability"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -48,11 +64,35 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fixed_blocks, op4_quality_rules, op5_quality, op6_suffix_array, op7_simhash, op8_decontaminate, op9_toxicity)}
+def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(_read(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fixed_blocks, op2_warc, op3_mixing, op4_quality_rules, op5_quality, op6_suffix_array, op7_simhash, op8_decontaminate, op9_toxicity, op10_url_tree)}
 
 _WORDS8 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 SQL: dict[str, str] = {
+    "op1_fixed_blocks": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+gone AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+cov AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM gone) GROUP BY doc_id),
+wd AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM wd
+         WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(ps) AS p FROM cov) c WHERE c.doc_id = wd.doc_id AND c.p = wd.p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op2_warc": """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+k AS (SELECT digest, n, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY digest, n)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to, 'ok' AS status
+FROM p LEFT JOIN k USING (digest, n)""",
+    "op3_mixing": mixing_sql("documents", **MIX),
     "op8_decontaminate": rf"""
 WITH d AS (SELECT doc_id, {_WORDS8} AS w FROM documents),
 b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS8} AS w FROM benchmark),

@@ -90,10 +90,10 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int,
         yield text[k], rank[where], whole, first - base, count, where - base
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, v, text: v tells rows of one id with different texts apart."""
+def _documents(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, v, text: v tells rows of one id with different texts apart.  Carried columns go along as _c0, _c1, ..."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("v"), text.alias("text"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("v"), text.alias("text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -118,7 +118,8 @@ def spans_of(rows: DataFrame) -> DataFrame:
 
 
 def with_spans(documents: DataFrame, spans: DataFrame, how: str) -> DataFrame:
-    return documents.join(spans, same(documents, spans, "id", "v"), how).select(documents["id"], documents["v"], documents["text"], *(spans[c] for c in spans.columns if c not in ("id", "v")))
+    mine = [documents[c] for c in documents.columns]
+    return documents.join(spans, same(documents, spans, "id", "v"), how).select(*mine[:3], *(spans[c] for c in spans.columns if c not in ("id", "v")), *mine[3:])
 
 
 def span_lists(column: pa.Array, fields: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -273,19 +274,21 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 100,
-    keep_text: bool = False,
+    keep: str = "",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document row: (id_col, n_bytes, n_removed, n_spans, kept_sha256[, kept]).
+    """One row per document row: (id_col, n_bytes, n_removed, n_spans, kept_sha256[, kept], carried columns).
 
     A byte goes if it lies in a string of ``length`` bytes that also starts earlier: in a
     document with a smaller id, or earlier in its own.  Strings are judged on the input.
-    ``kept`` is the rest as binary.  Null and empty texts have no bytes.  Rows with one id
+    ``kept`` is the rest: as binary with keep="bytes", as a string with keep="text", where a
+    character that was cut in two goes whole.  Null and empty texts have no bytes.  Rows with one id
     stand at the same place and do not remove each other's equal places; a null id
     comes first.  An empty table gives no rows.  Only two columns are read.
     """
-    documents = _documents(docs, id_col, text_col)
+    documents = _documents(docs, id_col, text_col, carry)
     s = Scratch(docs.sparkSession, "suffix")
-    gone = spans_of(repeated_windows(documents, s, length))
+    gone = spans_of(repeated_windows(documents.select("id", "v", "text"), s, length))
     kind = documents.schema["id"].dataType.simpleString()
 
     def rest(data: np.ndarray, st: np.ndarray, en: np.ndarray, row: np.ndarray, fields: list[np.ndarray]) -> Iterator[tuple]:
@@ -299,17 +302,18 @@ def remove_repeats(
                 size = int(m.sum())
                 kept = data[lo + x : lo + y][~m].tobytes() if size else data[lo + x : lo + y].tobytes()
                 runs = int((m[1:] & ~m[:-1]).sum() + m[:1].sum()) if size else 0
-                yield int(y - x), size, runs, hashlib.sha256(kept).hexdigest(), kept
+                yield int(y - x), size, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if keep == "text" else kept
 
-    return finish(documents, gone, rest, kind, ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept binary"] * keep_text).withColumnRenamed("id", id_col)
+    return finish(documents, gone, rest, kind, ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + [f"kept {'string' if keep == 'text' else 'binary'}"] * bool(keep)).withColumnsRenamed({"id": id_col} | {f"_c{k}": c for k, c in enumerate(carry)})
 
 
 _ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
 def finish(documents: DataFrame, gone: DataFrame, rest: Callable, kind: str, fields: list[str]) -> DataFrame:
-    """Apply ``rest`` to every document with its spans."""
+    """Apply ``rest`` to every document with its spans; carried columns follow."""
     names = [f.split()[0] for f in fields]
+    carried = [f for f in documents.schema.fields if f.name.startswith("_c")]
     types = [_ARROW[f.split()[1]] for f in fields]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,6 +322,9 @@ def finish(documents: DataFrame, gone: DataFrame, rest: Callable, kind: str, fie
             if not len(st):
                 continue
             rows = list(zip(*rest(data, st, en, *span_lists(b.column(3), 2))))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(r, t) for r, t in zip(rows, types))], ["id", *names])
+            extra = [b.column(4 + k) for k in range(len(carried_names))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(r, t) for r, t in zip(rows, types)), *extra], ["id", *names, *carried_names])
 
-    return with_spans(documents, gone, "left").mapInArrow(scan, f"id {kind}, " + ", ".join(fields))
+    carried_names = [f.name for f in carried]
+    schema = ", ".join([f"id {kind}", *fields, *(f"{f.name} {f.dataType.simpleString()}" for f in carried)])
+    return with_spans(documents, gone, "left").mapInArrow(scan, schema)
