@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytespan import BASE_A, BASE_B, Rolling, U, Words, cover, mix, pieces, text_bytes
+from .grouping import lists_by_document, order_key, whole
 from .scratch import Scratch
-from .suffix import _documents, _long, _taken, finish, spans_of, with_spans
+from .suffix import _documents, _long, _taken, finish, with_spans
 
 PIECE = 1 << 20
 
@@ -59,23 +60,48 @@ def _scan_blocks(documents: DataFrame, kind: str, size: int, every: int, part: i
 
 
 def _hits(documents: DataFrame, s: Scratch, kind: str, size: int, rounds: int) -> DataFrame:
-    """(id, v, spans): the word places whose block-sized window is an indexed block elsewhere."""
+    """(id, v, at): lists of the word places whose block-sized window is an indexed block elsewhere."""
     found = None
     for part in range(rounds):
         index = _scan_blocks(documents, kind, size, size, part, rounds).groupBy("h").agg(F.min(F.struct("id", "at")).alias("f"), F.count("*").alias("c"))
         probes = _scan_blocks(documents, kind, size, 1, part, rounds)
         hit = probes.join(index.hint("shuffle_hash"), "h").filter(~((F.col("c") == 1) & F.col("id").eqNullSafe(F.col("f.id")) & (F.col("at") == F.col("f.at"))))
-        hit = s.table(hit.groupBy("id", "v").agg(F.collect_list("at").alias("at")))
-        s.release()
+        hit = s.table(lists_by_document(hit, ("at",)))
         found = hit if found is None else found.unionByName(hit)
     return found.groupBy("id", "v").agg(F.flatten(F.collect_list("at")).alias("at"))
 
 
+def _earliest_stay(named: DataFrame, kind: str) -> DataFrame:
+    """(id, v, at): of the windows (w1, w2, id, v, at, later) those marked later, and those with an earlier namesake."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = whole(batches)
+        if t is None:
+            return
+        w1, w2, at, later = (np.asarray(t.column(c)) for c in ("w1", "w2", "at", "later"))
+        gone = pa.array(np.flatnonzero(_again(w1, w2, order_key(t.column("id")), at, later)))
+        yield from t.select(["id", "v", "at"]).take(gone).to_batches()
+
+    return named.repartition("w1").mapInArrow(scan, f"id {kind}, v long, at int")
+
+
+def _again(w1: np.ndarray, w2: np.ndarray, place: np.ndarray, at: np.ndarray, later: np.ndarray | None = None) -> np.ndarray:
+    """Which windows have an equal name at an earlier (place, at), or are marked later."""
+    known = np.zeros(len(w1), bool) if later is None else later
+    order = np.lexsort((at, place, known, w2, w1))
+    a, z = order[1:], order[:-1]
+    new = np.ones(len(order), bool)
+    new[1:] = (w1[a] != w1[z]) | (w2[a] != w2[z]) | (known[a] != known[z])
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    out = np.zeros(len(order), bool)
+    out[order] = (place[order] != place[first]) | (at[order] != at[first])
+    return out | known
+
+
 def _removed(documents: DataFrame, s: Scratch, kind: str, length: int, rounds: int) -> DataFrame:
-    """(id, v, at, n): the windows of ``length`` words that also start earlier."""
+    """(id, v, at): lists of the windows of ``length`` words that also start earlier."""
     size = length // 2
     hits = s.table(_hits(documents, s, kind, size, rounds))
-    s.release()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,26 +126,13 @@ def _removed(documents: DataFrame, s: Scratch, kind: str, length: int, rounds: i
             w1, w2, t, at = (np.concatenate(c) for c in cols)
             w1, w2 = mix(w1), mix(w2)
             # of one name in this batch only the earliest place goes on; the others are settled, and dealt out evenly
-            ids = b.column(0)
-            place = ids.to_pandas().rank(method="dense", na_option="top").to_numpy()[t] if len(ids) else t
-            order = np.lexsort((at, place, w2, w1))
-            same = np.zeros(len(order), bool)
-            a, z = order[1:], order[:-1]
-            same[1:] = (w1[a] == w1[z]) & (w2[a] == w2[z])
-            head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-            first = order[head]
-            later = np.zeros(len(order), bool)
-            later[order] = (place[order] != place[first]) | (at[order] != at[first])
+            later = _again(w1, w2, order_key(b.column(0))[t], at)
             w1[later] = mix(w1[later] + t[later].astype(np.uint64) * U(BASE_B) + at[later].astype(np.uint64))
             yield _taken(b, t, ["w1", "w2", "at", "later"], _long(w1), _long(w2), pa.array(at.astype(np.int32)), pa.array(later))
 
     named = with_spans(documents, hits, "inner").mapInArrow(scan, f"id {kind}, v long, w1 long, w2 long, at int, later boolean")
-    over = Window.partitionBy("w1", "w2", "later")
-    first = F.min(F.struct("id", "at")).over(over)
-    gone = named.withColumn("f", first).filter(F.col("later") | ~(F.col("id").eqNullSafe(F.col("f.id")) & (F.col("at") == F.col("f.at"))))
-    out = s.table(spans_of(gone.select("id", "v", "at", F.lit(1).alias("n"))))
+    out = s.table(lists_by_document(_earliest_stay(named, kind), ("at",)))
     s.drop(hits)
-    s.release()
     return out
 
 
@@ -146,8 +159,6 @@ def remove_repeated_passages(
 
     def rest(data: np.ndarray, st: np.ndarray, en: np.ndarray, row: np.ndarray, fields: list[np.ndarray]) -> Iterator[tuple]:
         at = fields[0]
-        order = np.argsort(row, kind="stable")
-        row, at = row[order], at[order]
         left, right = np.searchsorted(row, np.arange(len(st))), np.searchsorted(row, np.arange(len(st)), "right")
         for k in range(len(st)):
             words = data[st[k] : en[k]].tobytes().split()

@@ -7,7 +7,6 @@ The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
 import uuid
@@ -17,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..shipping import ship
 
 _own: dict[str, str] = {}
+#: Shuffle files of a query go when it ends, not when the driver next collects its garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def base_dir(spark: SparkSession) -> str:
@@ -43,7 +44,12 @@ class Scratch:
         """Write ``df`` and return it as read back; its lineage ends there."""
         self._n += 1
         path = f"{self.root}/{self._n}"
-        df.write.parquet(path)
+        conf, before = self.spark.conf, self.spark.conf.get(_CLEAN, "false")
+        conf.set(_CLEAN, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(_CLEAN, before)
         # given the schema, an empty table reads back as well
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
@@ -54,8 +60,3 @@ class Scratch:
         for t in tables:
             jpath = self.spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
             jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
-
-    def release(self) -> None:
-        """Let Spark's cleaner delete shuffle files whose plans are gone."""
-        gc.collect()
-        self.spark._jvm.System.gc()

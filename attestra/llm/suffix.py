@@ -6,19 +6,20 @@ positions are a synchronised sample: of the ``q``-byte strings in each window of
 reads nothing but the window, so equal windows have their anchors at the same offset,
 and about one position in forty is an anchor.
 
-1. Rank anchors by their first q bytes; anchors with a rank of their own are done: no
-   window of theirs repeats.
-2. Rank the others by the pair (rank, all bytes that windows of this anchor read).
-   Equal pairs repeat whole; all but the first are removed.
-3. The first of each, where an anchor rank has several such pairs, go through doubling
-   to both sides: each round sorts pairs (rank, next stretch), stretches growing
-   twofold, and reranks; an anchor leaves when its rank is unique, and the rounds end
-   past the threshold.  What is left bounds the windows that can still repeat.
-4. Those windows are ranked by all their bytes; all but the first are removed.
-
-Ranks are named by 64-bit hashes of content; the last ranking uses 128 bits and the
-anchor's rank stands on top of it.  Every step is a partial aggregation and a join that
-Spark splits under skew; steps end in written tables.
+A round ranks groups of neighbouring windows by two strings: the core that all of them
+share, and the whole that they cover together.  In the first round a group is all
+windows of an anchor, its core the anchor's ``q`` bytes.
+
+* A group whose core has a rank of its own is done: none of its windows repeats.
+* Groups with equal pairs (rank of the core, whole) repeat as one; the first stays and
+  all windows of the others are removed.
+* Firsts whose core still carries several wholes are split into smaller groups at fixed
+  offsets from the anchor, whose cores are longer, and ranked again by the pair (rank so
+  far, longer core).
+
+The rounds end past the threshold, where a group is one window and its core all of its
+bytes.  A rank is named by 64 bits of content and the pair by 128.  Each round is a
+partial aggregation and joins that Spark splits under skew, and ends in written tables.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytespan import BASE_A, BASE_B, Rolling, U, byte_symbols, mix, pieces, text_bytes
+from .grouping import lists_by_document
 from .scratch import Scratch
 
 #: Bytes of text that are anchored at once; longer texts are cut in overlapping blocks.
@@ -91,9 +93,15 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int,
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, v, text: v tells rows of one id with different texts apart.  Carried columns go along as _c0, _c1, ..."""
+    """id, v, text; carried columns go along as _c0, _c1, ...
+
+    v tells rows of one id with different texts apart.  It is zero where no id has two
+    texts, as it then says nothing and would only widen every row.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("v"), text.alias("text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("v"), text.alias("text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
+    clash = rows.groupBy("id").agg(F.min("v").alias("a"), F.max("v").alias("b")).filter("a <> b")
+    return rows if clash.limit(1).count() else rows.withColumn("v", F.lit(0).cast("long"))
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -112,23 +120,15 @@ def same(a: DataFrame, b: DataFrame, *keys: str) -> Column:
     return out
 
 
-def spans_of(rows: DataFrame) -> DataFrame:
-    """(id, v, at, n) -> one row for each (id, v) with ``spans``, the list of its (at, n)."""
-    return rows.groupBy("id", "v").agg(F.collect_list(F.struct(F.col("at").cast("int"), F.col("n").cast("int"))).alias("spans"))
-
-
 def with_spans(documents: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     mine = [documents[c] for c in documents.columns]
     return documents.join(spans, same(documents, spans, "id", "v"), how).select(*mine[:3], *(spans[c] for c in spans.columns if c not in ("id", "v")), *mine[3:])
 
 
-def span_lists(column: pa.Array, fields: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(row of each entry, its fields) of a list-of-struct column; null lists are empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten()
-    size = np.asarray(column.value_lengths().fill_null(0)).astype(np.int64)
-    return np.repeat(np.arange(len(column)), size), [np.asarray(flat.field(i)).astype(np.int64) for i in range(fields)]
+def span_lists(columns: list[pa.Array]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(row of each entry, its fields) of list columns of equal lengths; null lists are empty."""
+    size = np.asarray(columns[0].value_lengths().fill_null(0)).astype(np.int64)
+    return np.repeat(np.arange(len(size)), size), [np.asarray(c.flatten()).astype(np.int64) for c in columns]
 
 
 def covered(starts: np.ndarray, ends: np.ndarray, row: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -141,10 +141,62 @@ def covered(starts: np.ndarray, ends: np.ndarray, row: np.ndarray, at: np.ndarra
     return np.cumsum(d[:n]) > 0
 
 
-def _stretch(sym: Rolling, lo: np.ndarray, hi: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ok = (lo >= first) & (hi <= last)
-    a, b = np.where(ok, lo, first), np.where(ok, hi, first)
-    return mix(sym.spans(a, b)), ok
+#: Windows of a group in the rounds after the first; the last is a single window.
+GROUPS = (27, 9, 1)
+
+
+def _settle(rows: DataFrame, s: Scratch, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Rank groups (h: core, t: whole, id, v, at, n, a).
+
+    Returns the groups that repeat an earlier one, and the firsts to be split further.
+    """
+    pairs = s.table(rows.groupBy("h", "t").agg(F.min(F.struct("id", "at", "v", "n", "a")).alias("f"), F.count("*").alias("c")))
+    many = pairs.filter("c > 1").select("h", "t", F.col("f.id").alias("fid"), F.col("f.at").alias("fat"))
+    later = rows.join(many, ["h", "t"]).filter(~(F.col("id").eqNullSafe(F.col("fid")) & (F.col("at") == F.col("fat"))))
+    later = s.table(later.select("id", "v", "at", "n"))
+    firsts = None
+    if not last:
+        mixed = pairs.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
+        firsts = s.table(pairs.join(mixed, "h", "left_semi").select("f.*", "h"))
+    s.drop(pairs)
+    return later, firsts
+
+
+def _split(documents: DataFrame, firsts: DataFrame, kind: str, length: int, m: int) -> DataFrame:
+    """Groups of at most m windows of ``firsts``, with the ranks of their cores and wholes."""
+    # the rank travels in two halves, so that all lists hold ints
+    halves = firsts.select("id", "v", "at", "n", "a", F.shiftright("h", 32).cast("int").alias("h1"), F.expr("int(shiftright(shiftleft(h, 32), 32))").alias("h0"))
+    mine = lists_by_document(halves, ("at", "n", "a", "h1", "h0"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, st, en = text_bytes(b.column(2))
+            row, (at, n, a, h1, h0) = span_lists([b.column(3 + k) for k in range(5)])
+            h = h1 << 32 | h0 & 0xFFFFFFFF
+            for i, j in pieces(st, en, BLOCK):
+                pick = np.flatnonzero((row >= i) & (row < j))
+                if not len(pick):
+                    continue
+                lo = int(st[i])
+                sym = byte_symbols(data[lo : int(en[j - 1])])
+                near, far = Rolling(sym, BASE_A), Rolling(sym, BASE_B)
+                high = (a - at)[pick]  # windows stand at offsets low..high before the anchor
+                low = high - n[pick] + 1
+                k0 = low // m
+                count = high // m - k0 + 1
+                of = np.repeat(np.arange(len(pick)), count)
+                k = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + k0[of]
+                i0, i1 = np.maximum(k * m, low[of]), np.minimum(k * m + m - 1, high[of])
+                src = pick[of]
+                anchor = a[src] + st[row[src]] - lo
+                core = near.spans(anchor - k * m, anchor - k * m - m + 1 + length)
+                whole = far.spans(anchor - i1, anchor - i0 + length)
+                rank = mix(core + mix(h[src].view(np.uint64) + k.astype(np.uint64) * U(BASE_B)))
+                pair = mix(whole + mix((i1 * 4096 + i1 - i0).astype(np.uint64)))
+                place = a[src]
+                yield _taken(b, row[src], ["h", "t", "at", "n", "a"], _long(rank), _long(pair), *(pa.array(x.astype(np.int32)) for x in (place - i1, i1 - i0 + 1, place)))
+
+    return with_spans(documents, mine, "inner").mapInArrow(scan, f"id {kind}, v long, h long, t long, at int, n int, a int")
 
 
 def repeated_windows(documents: DataFrame, s: Scratch, length: int = 100, q: int = 20) -> DataFrame:
@@ -158,114 +210,25 @@ def repeated_windows(documents: DataFrame, s: Scratch, length: int = 100, q: int
 
     shared = documents.select("text").mapInArrow(ranks, "h long").groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
     shared = s.table(shared)
-    s.release()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t, rank, whole, at, n, a in anchors(*text_bytes(b.column(2)), length, q):
-                yield _taken(b, t, ["h", "t", "at", "n", "a"], _long(rank), _long(whole), *(pa.array(x.astype(np.int32)) for x in (at, n, a)))
+                place = at.astype(np.int64) << 16 | n << 8 | a - at  # one column: rows are many
+                yield _taken(b, t, ["h", "t", "p"], _long(rank), _long(whole), pa.array(place))
 
-    fields = f"id {kind}, v long, h long, t long, at int, n int, a int"
-    live = s.table(documents.mapInArrow(scan, fields).join(shared, "h", "left_semi"))
+    live = documents.mapInArrow(scan, f"id {kind}, v long, h long, t long, p long").join(shared, "h", "left_semi")
+    at = F.shiftright("p", 16)
+    live = s.table(live.select("id", "v", "h", "t", at.cast("int").alias("at"), F.expr("int(shiftright(p, 8) & 255)").alias("n"), (at + F.expr("p & 255")).cast("int").alias("a")))
     s.drop(shared)
-    s.release()
-
-    # pairs (rank, whole): the first of each stays, the others repeat whole
-    pairs = live.groupBy("h", "t").agg(F.min(F.struct("id", "at", "v", "n", "a")).alias("f"), F.count("*").alias("c"))
-    pairs = s.table(pairs)
-    many = pairs.filter("c > 1").select("h", "t", F.col("f.id").alias("fid"), F.col("f.at").alias("fat"))
-    later = live.join(many, ["h", "t"]).filter(~(F.col("id").eqNullSafe(F.col("fid")) & (F.col("at") == F.col("fat"))))
-    later = s.table(later.select("id", "v", "at", "n"))
-    mixed = pairs.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
-    reps = pairs.join(mixed, "h", "left_semi").select("f.*", "h")
-    reps = s.table(reps.withColumn("r", F.monotonically_increasing_id()))
-    s.drop(live, pairs)
-    s.release()
-
-    windows = _doubled(documents, reps, s, kind, length, q)
-    first = windows.groupBy("w1", "w2").agg(F.min(F.struct("id", "at")).alias("f"), F.count("*").alias("c")).filter("c > 1")
-    again = windows.join(first, ["w1", "w2"]).filter(~(F.col("id").eqNullSafe(F.col("f.id")) & (F.col("at") == F.col("f.at"))))
-    again = s.table(again.select("id", "v", "at", F.lit(1).alias("n")))
-    s.drop(windows, reps)
-    s.release()
-    return later.unionByName(again)
-
-
-def _doubled(documents: DataFrame, reps: DataFrame, s: Scratch, kind: str, length: int, q: int) -> DataFrame:
-    """(w1, w2, id, v, at): the windows of ``reps`` that doubling leaves, named by all their bytes."""
-    right, left = [q], [0, q // 2]
-    while right[-1] < length:
-        right.append(right[-1] * 2)
-    while left[-1] < length - q:
-        left.append(left[-1] * 2)
-    right = right[: -1 if len(right) > 2 else None]  # past the threshold there is nothing to bound
-    levels = max(len(right), len(left)) - 1
-    mine = reps.groupBy("id", "v").agg(F.collect_list(F.struct("at", "n", "a", F.col("r"))).alias("spans"))
-
-    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, st, en = text_bytes(b.column(2))
-            row, (_, _, a, r) = span_lists(b.column(3), 4)
-            for i, j in pieces(st, en, BLOCK):
-                pick = np.flatnonzero((row >= i) & (row < j))
-                lo = int(st[i])
-                sym = Rolling(byte_symbols(data[lo : int(en[j - 1])]))
-                first, last = st[row[pick]] - lo, en[row[pick]] - lo
-                x = first + a[pick]
-                for side, marks in ((1, right), (-1, left)):
-                    names = []
-                    for m0, m1 in zip(marks, marks[1:]):
-                        h, ok = _stretch(sym, x + m0, x + m1, first, last) if side > 0 else _stretch(sym, x - m1, x - m0, first, last)
-                        names.append(pa.array(h.view(np.int64), mask=~ok))
-                    names += [pa.nulls(len(pick), pa.int64())] * (levels - len(names))
-                    yield pa.RecordBatch.from_arrays([pa.array(r[pick]), pa.array(np.full(len(pick), side, np.int32)), *names], ["r", "side", *(f"s{k}" for k in range(levels))])
-
-    fields = "r long, side int, " + ", ".join(f"s{k} long" for k in range(levels))
-    rows = with_spans(documents, mine, "inner").mapInArrow(stretches, fields).join(reps.select("r", F.col("h").alias("rank")), "r")
-    now = s.table(rows)
-    bounds: list[DataFrame] = []
-    for k in range(levels):
-        pair = now.filter(F.col(f"s{k}").isNotNull()).groupBy("side", "rank", f"s{k}").agg(F.min("r").alias("name"), F.count("*").alias("c")).filter("c > 1")
-        after = now.join(pair, ["side", "rank", f"s{k}"]).select("r", "side", F.col("name").alias("rank"), *(f"s{m}" for m in range(k + 1, levels)))
-        after = s.table(after)
-        bounds.append(after.select("r", "side", F.lit(k + 1).alias("level")))
-        now = after
-    reached = bounds[0]
-    for b in bounds[1:]:
-        reached = reached.unionByName(b)
-    reached = reached.groupBy("r").agg(F.max(F.when(F.col("side") == 1, F.col("level"))).alias("right"), F.max(F.when(F.col("side") == -1, F.col("level"))).alias("left"))
-
-    def upper(col: str, marks: list[int]) -> Column:
-        """The longest match that a level allows: short of the next mark, or anything at the last."""
-        out = F.lit(length)
-        for k in range(len(marks) - 1):
-            out = F.when(F.coalesce(F.col(col), F.lit(0)) == k, marks[k + 1] - 1).otherwise(out)
-        return out
-
-    cut = reps.join(reached, "r", "left").withColumns({"x": upper("right", right), "y": upper("left", left)})
-    low = F.greatest(F.col("at"), F.col("a") - F.col("y"))
-    high = F.least(F.col("at") + F.col("n") - 1, F.col("a") - F.lit(length) + F.col("x"))
-    cut = cut.select("id", "v", low.alias("at"), (high - low + 1).alias("n")).filter("n > 0")
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, st, en = text_bytes(b.column(2))
-            row, (at, n) = span_lists(b.column(3), 2)
-            for i, j in pieces(st, en, BLOCK):
-                pick = np.flatnonzero((row >= i) & (row < j))
-                if not len(pick):
-                    continue
-                lo = int(st[i])
-                sym = byte_symbols(data[lo : int(en[j - 1])])
-                which = np.repeat(pick, n[pick])
-                step = np.arange(len(which)) - np.repeat(np.cumsum(n[pick]) - n[pick], n[pick])
-                p = at[which] + step
-                x = p + st[row[which]] - lo
-                w = [mix(Rolling(sym, base).spans(x, x + length)) for base in (BASE_A, BASE_B)]
-                yield _taken(b, row[which], ["w1", "w2", "at"], _long(w[0]), _long(w[1]), pa.array(p.astype(np.int32)))
-
-    out = s.table(with_spans(documents, spans_of(cut), "inner").mapInArrow(name, f"id {kind}, v long, w1 long, w2 long, at int"))
-    s.release()
+    out, firsts = _settle(live, s, last=False)
+    s.drop(live)
+    for m in GROUPS:
+        rows = s.table(_split(documents, firsts, kind, length, m))
+        s.drop(firsts)
+        later, firsts = _settle(rows, s, last=m == 1)
+        s.drop(rows)
+        out = out.unionByName(later)
     return out
 
 
@@ -288,7 +251,7 @@ def remove_repeats(
     """
     documents = _documents(docs, id_col, text_col, carry)
     s = Scratch(docs.sparkSession, "suffix")
-    gone = spans_of(repeated_windows(documents.select("id", "v", "text"), s, length))
+    gone = lists_by_document(repeated_windows(documents.select("id", "v", "text"), s, length), ("at", "n"))
     kind = documents.schema["id"].dataType.simpleString()
 
     def rest(data: np.ndarray, st: np.ndarray, en: np.ndarray, row: np.ndarray, fields: list[np.ndarray]) -> Iterator[tuple]:
@@ -321,10 +284,11 @@ def finish(documents: DataFrame, gone: DataFrame, rest: Callable, kind: str, fie
             data, st, en = text_bytes(b.column(2))
             if not len(st):
                 continue
-            rows = list(zip(*rest(data, st, en, *span_lists(b.column(3), 2))))
-            extra = [b.column(4 + k) for k in range(len(carried_names))]
+            rows = list(zip(*rest(data, st, en, *span_lists([b.column(3 + k) for k in range(width)]))))
+            extra = [b.column(3 + width + k) for k in range(len(carried_names))]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(r, t) for r, t in zip(rows, types)), *extra], ["id", *names, *carried_names])
 
     carried_names = [f.name for f in carried]
+    width = len(gone.columns) - 2
     schema = ", ".join([f"id {kind}", *fields, *(f"{f.name} {f.dataType.simpleString()}" for f in carried)])
     return with_spans(documents, gone, "left").mapInArrow(scan, schema)

@@ -274,6 +274,5 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", **options) -> DataFram
     s = Scratch(pages.sparkSession, "archives")
     path = f"{s.root}/warc"
     write_archives(pages, path, id_col=id_col, **options)
-    s.release()
     kind = pages.schema[id_col].dataType.simpleString()
     return read_archives(pages.sparkSession, path).select(F.col("page").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type", F.col("refers").cast(kind).alias("refers_to"), "status")
