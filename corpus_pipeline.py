@@ -72,5 +72,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before is not None:
             s.drop(before)
         before = docs
-        s.release()
     return STAGES[-1][1](spark, docs, sf_dir)
