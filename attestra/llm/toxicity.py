@@ -3,8 +3,8 @@
 A sentence's probability is a logistic function of the words it holds; a document's is
 the noisy-or of its sentences, 1 - prod(1 - p).  Only document labels exist, so the
 likelihood of the noisy-or is climbed directly: the gradient hands a document's label
-to its sentences by their responsibility.  Words enter as 64-bit hashes; those that
-tell the classes apart in document counts are the vocabulary.
+to its sentences by their responsibility.  Words and their stems enter as 64-bit hashes; those
+that tell the classes apart in document counts are the vocabulary.
 
 The fit reads a bounded sample of labelled rows (``max_rows``); scoring reads all of
 every text.  The same scores locate the offending sentences.
@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .bytespan import Words, pieces, text_bytes
+from .bytespan import Rolling, U, Words, byte_symbols, mix, pieces, text_bytes
 from .decontaminate import GAPS
 
+#: A word longer than so many bytes also enters by its beginning.
+STEMS = (5, 6, 7)
 _END = np.zeros(256, bool)
 _END[list(b".!?\n")] = True
 
@@ -55,15 +57,20 @@ class NoisyOr:
     intercept: float
     leak: float  # of a document, whatever its sentences
 
+    def hits(self, s: Sentences) -> np.ndarray:
+        """Distinct (sentence, vocabulary word), in sentence order."""
+        if not len(self.vocabulary) or not len(s.text):
+            return np.zeros((0, 2), np.int64)
+        h, where = _tokens(s)
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        hit = np.flatnonzero(self.vocabulary[at] == h)
+        return np.stack(np.divmod(np.unique(where[hit] * len(self.vocabulary) + at[hit]), len(self.vocabulary)), 1)
+
     def of_sentences(self, s: Sentences) -> np.ndarray:
         """Each sentence's probability."""
         z = np.full(len(s.text), self.intercept)
-        if len(self.vocabulary) and len(s.text):
-            h = s.words.hash
-            at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-            hit = np.flatnonzero(self.vocabulary[at] == h)
-            once = np.unique(np.stack([s.of_word[hit], at[hit]], 1), axis=0)
-            np.add.at(z, once[:, 0], self.weight[once[:, 1]])
+        once = self.hits(s)
+        np.add.at(z, once[:, 0], self.weight[once[:, 1]])
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     def of_texts(self, s: Sentences, p: np.ndarray, n: int) -> np.ndarray:
@@ -71,82 +78,119 @@ class NoisyOr:
         return 1 - (1 - self.leak) * np.exp(clean)
 
 
-def _vocabulary(token: np.ndarray, doc: np.ndarray, y: np.ndarray, size: int, least: int) -> np.ndarray:
-    """Indices of the distinct tokens that lean to label 1 the most, by document counts."""
-    k = int(token.max()) + 1 if len(token) else 0
-    pair = np.unique(token.astype(np.int64) * len(y) + doc)
-    tok, d = pair // len(y), pair % len(y)
-    pos = np.bincount(tok, y[d], k)
-    n = np.bincount(tok, minlength=k)
-    base = max(y.mean(), 1e-6)
-    expected = n * base
-    z = (pos - expected) / np.sqrt(np.maximum(expected * (1 - base), 1e-9))
-    good = np.flatnonzero((pos >= least) & (z > 3))
-    return good[np.argsort(-z[good], kind="stable")][:size]
-
-
-def fit(texts: list[bytes], y: np.ndarray, size: int = 512, least: int = 3, steps: int = 400, ridge: float = 2e-4) -> NoisyOr:
-    """Climb the noisy-or likelihood of document labels by Adam; every text is read whole."""
-    none = NoisyOr(np.zeros(0, np.uint64), np.zeros(0), -20.0, float((y.sum() + 1) / (len(y) + 2)))
-    if not y.any() or y.all():
-        return none
-    hashes, sentence, owner, offset = [], [], [], 0
-    ends = np.cumsum([len(t) for t in texts])
-    flat, starts = np.frombuffer(b"".join(texts), np.uint8), ends - np.array([len(t) for t in texts])
-    for i, j in pieces(starts, ends):
-        s = Sentences(flat, starts[i:j], ends[i:j])
-        hashes.append(s.words.hash)
-        sentence.append(s.of_word + offset)
-        owner.append(s.text + i)
-        offset += len(s.text)
-    owner = np.concatenate(owner)
-    sentence = np.concatenate(sentence)
-    distinct, token = np.unique(np.concatenate(hashes), return_inverse=True)
-    if not len(token):
-        return none
-    chosen = _vocabulary(token, owner[sentence], y, size, least)
-    if not len(chosen):
-        return none
-    chosen = np.sort(chosen)
-    at = np.minimum(np.searchsorted(chosen, token), len(chosen) - 1)
-    keep = chosen[at] == token
-    once = np.unique(np.stack([sentence[keep], at[keep]], 1), axis=0)
-    live, row = np.unique(once[:, 0], return_inverse=True)  # sentences with a vocabulary word
-    col, doc = once[:, 1], owner[live]
-    plain = np.bincount(owner, minlength=len(y)) - np.bincount(doc, minlength=len(y))  # sentences without
-    theta = np.concatenate([np.full(len(chosen), 1.0), [-5.0, -4.0]])  # weights, intercept, leak
+def _tokens(s: Sentences) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, sentence): of every word, and of the first 5, 6 and 7 bytes of longer ones."""
+    w = s.words
+    roll = Rolling(byte_symbols(w.bytes))
+    hashes, where = [w.hash], [s.of_word]
+    for k in STEMS:
+        long = np.flatnonzero(w.stop - w.start > k)
+        hashes.append(mix(roll.spans(w.start[long], w.start[long] + k) + U(k)))
+        where.append(s.of_word[long])
+    return np.concatenate(hashes), np.concatenate(where)
+
+
+def _vocabulary(rows: DataFrame, size: int, least: int, z_least: float) -> tuple[np.ndarray, float, float]:
+    """(sorted hashes of the tokens that lean to label 1 the most by document counts, rows, rows of label 1).
+
+    Tokens are counted once a document, first within a batch and then by Spark.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, s, e = text_bytes(b.column(0))
+            y = np.asarray(b.column(1))
+            for i, j in pieces(s, e):
+                x = Sentences(data, s[i:j], e[i:j])
+                h, where = _tokens(x)
+                if not len(h):
+                    continue
+                doc = x.text[where]
+                order = np.lexsort((doc, h))
+                h, doc = h[order], doc[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                h, doc = h[new], doc[new]
+                begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                n, pos = np.diff(np.append(begin, len(h))), np.add.reduceat(y[i:j][doc].astype(np.int64), begin)
+                yield pa.RecordBatch.from_arrays([pa.array(h[begin].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(pos)], ["h", "n", "pos"])
+
+    n_rows, n_pos = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not 0 < n_pos < n_rows:
+        return np.zeros(0, np.uint64), n_rows, n_pos
+    base = n_pos / n_rows
+    counted = rows.select("text", "y").mapInArrow(count, "h long, n long, pos long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    z = (F.col("pos") - F.col("n") * base) / F.sqrt(F.col("n") * (base * (1 - base)))
+    best = counted.filter(F.col("pos") >= least).withColumn("z", z).filter(F.col("z") > z_least).orderBy(F.desc("z"), "h").limit(size)
+    return np.sort(np.array([r.h for r in best.select("h").collect()], np.int64).view(np.uint64)), n_rows, n_pos
+
+
+def _train(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    text_col: str,
+    label_col: str,
+    folds: int,
+    fold: int,
+    max_rows: int,
+    size: int = 2048,
+    least: int = 4,
+    z_least: float = 4.0,
+) -> NoisyOr:
+    """Fit on at most ``max_rows`` labelled rows outside the held-out fold, the first by a hash of the id."""
+    text_id = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
+    known = known.filter(F.pmod(F.crc32(text_id.cast("binary")), F.lit(folds)) != fold)
+    some = known.orderBy(F.xxhash64(text_id), "id").limit(max_rows)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(some), "id").select("text", "y")
+    vocabulary, n_rows, n_pos = _vocabulary(rows, size, least, z_least)
+    if not len(vocabulary):
+        return NoisyOr(vocabulary, np.zeros(0), -20.0, float((n_pos + 1) / (n_rows + 2)))
+    probe = NoisyOr(vocabulary, np.zeros(len(vocabulary)), 0.0, 0.0)
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each document its label, its sentences, and (sentence, vocabulary word) of those that hold one."""
+        for b in batches:
+            data, s, e = text_bytes(b.column(0))
+            for i, j in pieces(s, e):
+                x = Sentences(data, s[i:j], e[i:j])
+                once = probe.hits(x)
+                doc = x.text[once[:, 0]]
+                offsets = pa.array(np.searchsorted(doc, np.arange(j - i + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(once[:, k].astype(np.int32))) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(i, j - i), pa.array(np.bincount(x.text, minlength=j - i).astype(np.int32)), *lists], ["y", "n", "s", "w"])
+
+    got = rows.mapInArrow(bags, "y int, n int, s array<int>, w array<int>").toArrow().combine_chunks()
+    sizes = np.asarray(got.column("s").combine_chunks().value_lengths()).astype(np.int64)
+    flat = [np.asarray(got.column(c).combine_chunks().flatten()).astype(np.int64) for c in ("s", "w")]
+    return fit(vocabulary, np.asarray(got.column("y")).astype(float), np.asarray(got.column("n")).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes), *flat)
+
+
+def fit(vocabulary: np.ndarray, y: np.ndarray, sentences: np.ndarray, doc: np.ndarray, sentence: np.ndarray, word: np.ndarray, steps: int = 400, ridge: float = 2e-4) -> NoisyOr:
+    """Climb the noisy-or likelihood of document labels by Adam: y and sentences by document; (doc, sentence, word) of the hits."""
+    pair, row = np.unique(doc * (int(sentences.max(initial=0)) + 1_000_000) + sentence, return_inverse=True)
+    owner = pair // (int(sentences.max(initial=0)) + 1_000_000)  # the document of each sentence with a hit
+    plain = sentences - np.bincount(owner, minlength=len(y))  # sentences without
+    theta = np.concatenate([np.full(len(vocabulary), 0.5), [-5.0, -4.0]])  # weights, intercept, leak
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         w, b, c = theta[:-2], theta[-2], theta[-1]
-        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[col], len(live)), -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[word], len(pair)), -30, 30)))
         p0, leak = 1 / (1 + np.exp(-b)), 1 / (1 + np.exp(-c))
-        log_clean = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + plain * np.log1p(-p0) + np.log1p(-leak)
+        log_clean = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + plain * np.log1p(-p0) + np.log1p(-leak)
         clean = np.exp(log_clean)
         pull = np.where(y == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)  # d log L / d z of an instance is pull * p
+        instance = pull[owner] * p
         g = np.zeros_like(theta)
-        instance = pull[doc] * p
-        g[:-2] = np.bincount(col, instance[row], len(chosen))
+        g[:-2] = np.bincount(word, instance[row], len(vocabulary))
         g[-2] = instance.sum() + (pull * plain).sum() * p0
         g[-1] = pull.sum() * leak
         g = -g / len(y)
         g[:-2] += ridge * theta[:-2]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= 0.08 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-    return NoisyOr(distinct[chosen], theta[:-2], float(theta[-2]), float(1 / (1 + np.exp(-theta[-1]))))
-
-
-def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, fold: int, max_rows: int) -> NoisyOr:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold, the first by a hash of the id."""
-    text_id = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
-    known = known.filter(F.pmod(F.crc32(text_id.cast("binary")), F.lit(folds)) != fold)
-    some = known.orderBy(F.xxhash64(text_id), "id").limit(max_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(some), "id").select("text", "y")
-
-    # the driver gets words as text, never more than the sampled rows
-    got = rows.toArrow()
-    y = np.asarray(got.column("y")).astype(float)
-    return fit([t.encode() for t in got.column("text").to_pylist()], y) if len(y) else NoisyOr(np.zeros(0, np.uint64), np.zeros(0), -20.0, 0.5)
+    return NoisyOr(vocabulary, theta[:-2], float(theta[-2]), float(1 / (1 + np.exp(-theta[-1]))))
 
 
 def toxicity_scores(
