@@ -63,10 +63,13 @@ def _hits(documents: DataFrame, s: Scratch, kind: str, size: int, rounds: int) -
     """(id, v, at): lists of the word places whose block-sized window is an indexed block elsewhere."""
     found = None
     for part in range(rounds):
-        index = _scan_blocks(documents, kind, size, size, part, rounds).groupBy("h").agg(F.min(F.struct("id", "at")).alias("f"), F.count("*").alias("c"))
+        index = _scan_blocks(documents, kind, size, size, part, rounds).groupBy("h").agg(F.min("id").alias("fid"), F.min("at").alias("fat"), F.count("*").alias("c"))
+        index = s.table(index)  # written, so that the join deals both sides itself and can split a hot block
         probes = _scan_blocks(documents, kind, size, 1, part, rounds)
-        hit = probes.join(index.hint("shuffle_hash"), "h").filter(~((F.col("c") == 1) & F.col("id").eqNullSafe(F.col("f.id")) & (F.col("at") == F.col("f.at"))))
+        # a block that is indexed once is no hit at its own place
+        hit = probes.join(index.hint("shuffle_hash"), "h").filter(~((F.col("c") == 1) & F.col("id").eqNullSafe(F.col("fid")) & (F.col("at") == F.col("fat"))))
         hit = s.table(lists_by_document(hit, ("at",)))
+        s.drop(index)
         found = hit if found is None else found.unionByName(hit)
     return found.groupBy("id", "v").agg(F.flatten(F.collect_list("at")).alias("at"))
 
@@ -131,9 +134,9 @@ def _removed(documents: DataFrame, s: Scratch, kind: str, length: int, rounds: i
             yield _taken(b, t, ["w1", "w2", "at", "later"], _long(w1), _long(w2), pa.array(at.astype(np.int32)), pa.array(later))
 
     named = with_spans(documents, hits, "inner").mapInArrow(scan, f"id {kind}, v long, w1 long, w2 long, at int, later boolean")
-    out = s.table(lists_by_document(_earliest_stay(named, kind), ("at",)))
+    gone = s.table(_earliest_stay(named, kind))
     s.drop(hits)
-    return out
+    return lists_by_document(gone, ("at",))
 
 
 def remove_repeated_passages(

@@ -156,8 +156,10 @@ def _settle(rows: DataFrame, s: Scratch, last: bool) -> tuple[DataFrame, DataFra
     later = s.table(later.select("id", "v", "at", "n"))
     firsts = None
     if not last:
-        mixed = pairs.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
+        # written, so that the join deals both sides itself and can split a hot rank
+        mixed = s.table(pairs.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"))
         firsts = s.table(pairs.join(mixed, "h", "left_semi").select("f.*", "h"))
+        s.drop(mixed)
     s.drop(pairs)
     return later, firsts
 
