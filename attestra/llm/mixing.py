@@ -17,20 +17,20 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 AXES = ("source", "lang", "topic")
-#: (topic, pattern) in order; the first that is found names the document's topic.
+#: (topic, mark) in order; the first mark that the text contains names its topic.
 TOPICS = (
-    ("licence", r"(?i)licen[sc]e|copyright"),
-    ("contact", r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\."),
-    ("table", r" \| "),
-    ("loud", r"!!"),
+    ("licence", "License"),
+    ("contact", "@"),
+    ("table", " | "),
+    ("loud", "!!"),
 )
 
 
 def topic_of(text: Column, topics: tuple[tuple[str, str], ...] = TOPICS) -> Column:
-    """The first topic whose pattern is in the text, else ``prose``."""
+    """The first topic whose mark is in the text, else ``prose``."""
     out = F.lit("prose")
-    for name, pattern in reversed(topics):
-        out = F.when(text.rlike(pattern), name).otherwise(out)
+    for name, mark in reversed(topics):
+        out = F.when(F.contains(text, F.lit(mark)), name).otherwise(out)
     return out
 
 
@@ -112,8 +112,8 @@ def mix(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     tokens = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     names = {"source": F.coalesce(F.col(source_col).cast("string"), F.lit("")), "lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "topic": topic if topic is not None else topic_of(text)}
-    counted = docs.select(*(names[a].alias(a) for a in AXES), tokens.alias("tokens")).filter("tokens > 0").groupBy(*AXES).agg(F.sum("tokens").alias("tokens"))
-    cells = s.table(counted)
+    counted = docs.select(*(names[a].alias(a) for a in AXES), tokens.alias("tokens")).groupBy(*AXES).agg(F.sum("tokens").alias("tokens"))
+    cells = s.table(counted.filter("tokens > 0"))
     rows = cells.limit(max_cells + 1).collect()
     if len(rows) <= max_cells:
         plain = sorted(tuple(r) for r in rows)
@@ -132,16 +132,18 @@ def mix(
     p = F.least(F.lit(1.0), F.lit(float(budget)) * F.col("w") * F.lit(float(total)) / F.col("tokens"))
     chance = fitted.select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("mix_topic"), F.col("w").alias("mix_weight"), p.alias("mix_probability"))
     extra = ("n_tokens", "mix_topic", "mix_weight", "mix_probability")
-    keyed = docs.drop(*extra).withColumns({"n_tokens": tokens, "_s": names["source"], "_l": names["lang"], "mix_topic": names["topic"]}).filter("n_tokens > 0")
+    keyed = docs.drop(*extra).withColumns({"n_tokens": tokens, "_s": names["source"], "_l": names["lang"], "mix_topic": names["topic"]})
     if len(rows) <= max_cells:
         chance = F.broadcast(chance)  # at most max_cells rows
-    out = keyed.join(chance, ["_s", "_l", "mix_topic"]).filter(draw(F.col(id_col), seed) < F.col("mix_probability"))
+    # one test of both sides stays above the join, so that words are counted once
+    chosen = draw(F.col(id_col), seed) < F.when(F.col("n_tokens") > 0, F.col("mix_probability")).otherwise(0.0)
+    out = keyed.join(chance, ["_s", "_l", "mix_topic"]).filter(chosen)
     return out.select(*(c for c in docs.columns if c not in extra), *extra)
 
 
 def mixing_sql(table: str, power: float, budget: float, rounds: int, seed: str) -> str:
     """DuckDB SQL for the rows of :func:`mix` over ``table``: common table expressions, one for each scaling."""
-    topic = "CASE " + " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{n}'" for n, p in TOPICS) + " ELSE 'prose' END"
+    topic = "CASE " + " ".join(f"WHEN contains(t, '{m}') THEN '{n}'" for n, m in TOPICS) + " ELSE 'prose' END"
     parts = [
         rf"keyed AS (SELECT *, {topic} AS mix_topic, coalesce(source, '') AS s_, coalesce(lang, '') AS l_, CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM (SELECT *, coalesce(text, '') AS t FROM {table}))",
         "cells AS (SELECT s_ AS source, l_ AS lang, mix_topic AS topic, sum(n_tokens) AS tokens FROM keyed WHERE n_tokens > 0 GROUP BY ALL)",
