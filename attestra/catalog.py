@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators import arithmetic, attribution, consensus, controls, entities, evaluate, graph, labels, query, reports, review, sampling, search, validation
+from .operators import arithmetic, attribution, consensus, controls, entities, evaluate, graph, labels, pages, query, reports, review, sampling, search, validation
 from .plans.semantic import Dataset, Join, Metric, compile_plan
 from .sources.driver_tables import Driver, twin
 from .streaming import journal
@@ -746,3 +746,32 @@ def _(d):
 @register("journal_windowed_counts", "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def _(d):
     return journal.windowed_counts(d.raw("events"), "ts", "event_type").withColumns({"window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm"), "total": F.round("total", 4)})
+
+
+# ---- pages ----------------------------------------------------------------------------
+
+
+@register("page_reassembly", """WITH p AS (SELECT o_orderkey // 1000 AS source, o_orderkey AS ordinal, o_orderkey % 3 + 1 AS number, 3 AS total, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE 'invoice' END AS type, 'N' || (o_orderkey // CASE WHEN o_orderkey % 31 = 0 THEN 7 ELSE 3 END) AS i FROM orders WHERE o_orderkey % 17 <> 0),
+g AS (SELECT source, ordinal - number + 1 AS begin, count(DISTINCT number) AS n, count(type) AS typed, count(DISTINCT type) AS types, count(DISTINCT i) AS k, min(i) AS i FROM p GROUP BY 1, 2)
+SELECT CAST(source AS BIGINT) AS source, CAST(begin AS BIGINT) AS "begin", i AS shared FROM g WHERE n = 3 AND typed = 3 AND types = 1 AND k = 1""")
+def _(d):
+    k = F.col("o_orderkey")
+    i = F.concat(F.lit("N"), F.when(k % 31 == 0, F.floor(k / 7)).otherwise(F.floor(k / 3)).cast("string"))
+    p = d.raw("orders").filter(k % 17 != 0).select(F.floor(k / 1000).alias("source"), k.alias("ordinal"), (k % 3 + 1).cast("int").alias("number"), F.lit(3).alias("total"), F.when(k % 50 != 0, "invoice").alias("type"), F.array(i).alias("identifiers"))
+    return pages.reassemble(p)[0].select("source", "begin", F.array_join("shared", ",").alias("shared"))
+
+
+@register("page_money_lost", twin("SELECT document_id, CAST(extended_amount AS DOUBLE) AS amount FROM (SELECT document_id, extended_amount FROM invoice_line EXCEPT ALL SELECT document_id, extended_amount FROM invoice_line WHERE partkey % 13 <> 0)", "invoice_line"))
+def _(d):
+    x = d.invoice_line().select("document_id", F.col("extended_amount").alias("amount"), "partkey")
+    return pages.money_difference(x, x.filter("partkey % 13 <> 0"), "document_id", "amount")[0]
+
+
+@register("strata_coverage", "SELECT lang, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS value, CAST(least(count(*), 40) AS BIGINT) AS drawn, round_even(count(*) / least(count(*), 40), 1) AS documents_per_page FROM documents GROUP BY 1")
+def _(d):
+    return pages.strata_coverage(d.raw("documents"), "lang", "n_chars", 40)
+
+
+@register("key_cardinality", "SELECT keys, count(*) AS documents FROM (SELECT l_orderkey, count(DISTINCT l_suppkey) AS keys FROM lineitem GROUP BY 1) GROUP BY 1")
+def _(d):
+    return pages.key_cardinality(d.raw("lineitem"), "l_orderkey", "l_suppkey")
