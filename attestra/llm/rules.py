@@ -124,7 +124,9 @@ def learn_rules(
 
     ``labelled`` also carries ``part``, 0 to 2: parts 0 and 1 grow rules, part 2 prunes them.
     """
-    cuts = {n: sorted(set(q)) for n, q in zip(names, labelled.approxQuantile(names, [(i + 1) / (bins + 1) for i in range(bins)] + [0.005, 0.01, 0.02, 0.98, 0.99, 0.995], 0.001)) if q}
+    shares = [(i + 1) / (bins + 1) for i in range(bins)] + [0.005, 0.01, 0.02, 0.98, 0.99, 0.995]
+    found = labelled.agg(*(F.percentile_approx(n, shares, 10_000).alias(n) for n in names)).first()
+    cuts = {n: sorted(set(found[n])) for n in names if found[n]}
     if not cuts:
         return []
     number = {n: reduce(lambda a, b: a + b, [(F.col(n) > c).cast("int") for c in cs]) for n, cs in cuts.items()}  # of cuts below the value
