@@ -156,7 +156,17 @@ def learn_rules(
         if (bad + 1) / (bad + good + 2) < least_precision:
             break
         rules.append(kept)
-    return rules
+    return _centred(rules, labelled)
+
+
+def _centred(rules: list[Rule], labelled: DataFrame) -> list[Rule]:
+    """The same rules with each cut moved half-way to the next labelled value, so that it leaves a margin on both sides."""
+    flat = [c for r in rules for c in r]
+    if not flat:
+        return rules
+    ends = labelled.agg(*(f(F.when(side, F.col(c.name))).alias(f"{e}{i}") for i, c in enumerate(flat) for e, f, side in (("low", F.max, F.col(c.name) <= c.cut), ("high", F.min, F.col(c.name) > c.cut)))).first()
+    moved = iter(Condition(c.name, c.above, (ends[f"low{i}"] + ends[f"high{i}"]) / 2 if ends[f"high{i}"] is not None and ends[f"low{i}"] is not None else c.cut, c.bin) for i, c in enumerate(flat))
+    return [tuple(next(moved) for _ in r) for r in rules]
 
 
 def _best(counts: dict, cuts: dict[str, list[float]], least: int) -> Condition | None:
