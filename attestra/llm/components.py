@@ -24,15 +24,16 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     seen = None
     for _ in range(max_rounds):
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+        # the minima are written, so that the joins can split a node of very many neighbours
+        low = scratch.table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")))
         large = both.filter("b > a").join(low, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = large.filter("a <> b")
-        low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
-        joined = large.join(low, F.col("a") == F.col("k"))
-        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select(F.col("k").alias("a"), F.col("m").alias("b")))
+        large = scratch.table(large.filter("a <> b"))
+        least = scratch.table(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m"))
+        joined = large.join(least, F.col("a") == F.col("k"))
+        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("k").alias("a"), F.col("m").alias("b")))
         after = scratch.table(small.filter("a <> b").distinct())
         state = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        scratch.drop(now)
+        scratch.drop(now, low, large, least)
         now = after
         if state == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

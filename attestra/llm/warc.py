@@ -107,10 +107,11 @@ def write_archives(
     ``least_revisit`` bytes share the response of the largest id; rows with that id are all
     responses.  A null id is never larger than another.  An empty table writes no records.
     """
-    ship(pages.sparkSession)
+    s = Scratch(pages.sparkSession, "revisits")
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
-    same = rows.filter(F.col("size") >= least_revisit).groupBy("digest", "size").agg(F.max("page_id").alias("keeper"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    same = rows.filter(F.col("size") >= least_revisit).groupBy("digest", "size").agg(F.max("page_id").alias("keeper"), F.count("*").alias("c"))
+    same = s.table(same.filter("c > 1").drop("c"))  # written, so that the join can split a payload that very many pages share
     ready = rows.join(same, ["digest", "size"], "left").withColumn("refers", F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")))
     ready = ready.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "payload", "digest", "refers")
 
@@ -118,7 +119,7 @@ def write_archives(
         for b in batches:
             out: list[bytes] = []
             held = 0
-            for r in b.to_pylist():
+            for r in (r for k in range(0, b.num_rows, 64) for r in b.slice(k, 64).to_pylist()):
                 for record in page_records(r["row"], r["page_id"], r["url"], r["payload"], r["digest"], r["refers"], date, segment_bytes, chunk_bytes):
                     out.append(record)
                     held += len(record)
@@ -241,7 +242,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for r in b.to_pylist():
+            for r in (r for k in range(0, b.num_rows, 64) for r in b.slice(k, 64).to_pylist()):
                 parts = r["parts"]
                 if parts:
                     block = b"".join(p["block"] for p in parts)
