@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators import arithmetic, attribution, consensus, controls, entities, evaluate, graph, labels, pages, query, reports, review, sampling, search, validation
+from .operators import arithmetic, attribution, consensus, controls, decisions, dimensions, entities, evaluate, graph, labels, pages, query, reports, review, sampling, search, validation
 from .plans.semantic import Dataset, Join, Metric, compile_plan
 from .sources.driver_tables import Driver, twin
 from .streaming import journal
@@ -775,3 +775,94 @@ def _(d):
 @register("key_cardinality", "SELECT keys, count(*) AS documents FROM (SELECT l_orderkey, count(DISTINCT l_suppkey) AS keys FROM lineitem GROUP BY 1) GROUP BY 1")
 def _(d):
     return pages.key_cardinality(d.raw("lineitem"), "l_orderkey", "l_suppkey")
+
+
+# ---- decisions and dimensions ---------------------------------------------------------
+
+
+@register("confidence_labels", "SELECT o_orderpriority AS p, CASE o_orderpriority WHEN '1-URGENT' THEN 'confirmed' WHEN '2-HIGH' THEN 'computed' ELSE 'unconfirmed' END AS confidence, count(*) AS n FROM orders GROUP BY 1")
+def _(d):
+    by = F.when(F.col("o_orderpriority") == "1-URGENT", "vendor_agreement").when(F.col("o_orderpriority") == "2-HIGH", "document_arithmetic").otherwise("x")
+    return d.raw("orders").groupBy(F.col("o_orderpriority").alias("p"), decisions.confidence(by).alias("confidence")).agg(F.count("*").alias("n"))
+
+
+@register("handwriting_decisions", twin("""WITH r AS (SELECT document_id, row_index, vendor, field = 'extended_amount' AS num, CASE WHEN field = 'flag' AND row_index = 3 THEN 'signature' ELSE field END AS kind, field, CASE WHEN field = 'extended_amount' THEN CAST(TRY_CAST(value AS DECIMAL(38,4)) AS VARCHAR) ELSE lower(trim(value)) END AS v FROM readings),
+c AS (SELECT document_id, row_index, field, v, count(DISTINCT vendor) AS n FROM r GROUP BY ALL), b AS (SELECT document_id, row_index, field, count(*) AS k, list_reverse_sort(list(n)) AS s, arg_max(v, (n, v)) AS v, max(n) AS n FROM c GROUP BY 1, 2, 3),
+h AS (SELECT document_id, row_index, field, bool_and(num) AS num, min(kind) AS kind, count(DISTINCT vendor) AS g FROM r GROUP BY 1, 2, 3),
+x AS (SELECT CASE WHEN kind = 'signature' THEN 'signature_never_transcribed_as_data' WHEN num AND (k > 1 OR g < 3) THEN 'numeric_not_unanimous' WHEN num THEN 'numeric_requires_review' WHEN n < 2 OR (len(s) > 1 AND s[1] = s[2]) THEN 'text_below_agreement' END AS review_reason FROM h JOIN b USING (document_id, row_index, field))
+SELECT review_reason, count(*) AS regions FROM x GROUP BY 1""", "readings"))
+def _(d):
+    r = d.readings().select("document_id", F.col("row_index").alias("page_id"), F.col("field").alias("region_id"), F.when((F.col("field") == "flag") & (F.col("row_index") == 3), "signature").otherwise(F.col("field")).alias("kind"), (F.col("field") == "extended_amount").alias("numeric"), F.col("vendor").alias("group"), "value", F.lit(1).alias("iteration"))
+    return decisions.handwriting(r).groupBy("review_reason").agg(F.count("*").alias("regions"))
+
+
+@register("table_cell_decisions", twin("""WITH a AS (SELECT * FROM readings WHERE vendor = 'a'), c AS (SELECT document_id, row_index, field, count(*) AS n, min(value) AS o FROM readings WHERE vendor = 'c' GROUP BY 1, 2, 3)
+SELECT CASE WHEN n IS NULL THEN 'independent_cell_missing' WHEN coalesce(CAST(TRY_CAST(value AS DECIMAL(38,4)) AS VARCHAR), lower(value)) = coalesce(CAST(TRY_CAST(o AS DECIMAL(38,4)) AS VARCHAR), lower(o)) THEN 'independent_exact_agreement' ELSE 'independent_value_disagreement' END AS decision, count(*) AS cells FROM a LEFT JOIN c USING (document_id, row_index, field) GROUP BY 1""", "readings"))
+def _(d):
+    r = d.readings()
+    cells = r.filter("vendor = 'a'").withColumn("protected", F.col("field") == "extended_amount")
+    return decisions.table_cells(cells, r.filter("vendor = 'c'"), list(consensus.CELL)).groupBy("decision").agg(F.count("*").alias("cells"))
+
+
+@register("label_promotion", twin("""WITH p AS (SELECT document_id, 'status' AS field, lower(trim(value)) AS v, count(DISTINCT vendor) AS n FROM readings WHERE field = 'flag' AND row_index = 2 GROUP BY ALL HAVING count(DISTINCT vendor) >= 2) SELECT document_id, field, min(v) AS value, max(n) AS engines, 'approved_mapping' AS accepted_by FROM p GROUP BY 1, 2 HAVING count(*) = 1""", "readings"))
+def _(d):
+    r = d.readings().filter("field = 'flag' and row_index = 2").select("document_id", F.col("field").alias("label"), "value", F.col("vendor").alias("engine"))
+    rules = d.spark.createDataFrame([("flag", "status", True), ("flag", "other", False)], "label string, field string, approved boolean")
+    return decisions.promote_labels(r, rules)
+
+
+@register("adjudicated_totals", """WITH c AS (SELECT p_brand, p_size AS v, p_size % 7 = 3 AND p_partkey % 5 = 0 AS ok FROM part) SELECT p_brand AS document_id, CASE WHEN count(DISTINCT v) FILTER (ok) = 1 THEN min(v) FILTER (ok) END AS value, CASE count(DISTINCT v) FILTER (ok) WHEN 1 THEN 'supported' WHEN 0 THEN 'none_supported' ELSE 'several_supported' END AS outcome FROM c GROUP BY 1""")
+def _(d):
+    c = d.raw("part").select(F.col("p_brand").alias("document_id"), F.col("p_size").alias("value"), "p_partkey")
+    return decisions.adjudicate(c, (F.col("value") % 7 == 3) & (F.col("p_partkey") % 5 == 0))
+
+
+@register("scan_quality_bands", """SELECT CASE WHEN p_size * 10 < 200 OR p_size % 9 = 1 THEN 'poor' WHEN p_size * 10 < 300 OR p_size % 4 = 0 THEN 'marginal' ELSE 'good' END AS band, count(*) AS pages FROM part GROUP BY 1""")
+def _(d):
+    s = F.col("p_size")
+    band, _ = decisions.scan_quality(s * 10, F.when(s % 9 == 1, 0.2).otherwise(0.5), F.when(s % 4 == 0, 100).otherwise(200), F.lit(None).cast("double"), F.lit(0.1))
+    return d.raw("part").groupBy(band.alias("band")).agg(F.count("*").alias("pages"))
+
+
+@register("corpus_counters", "SELECT 'lang' AS counter, lang AS value, count(*) AS documents FROM documents GROUP BY 2 UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY 2")
+def _(d):
+    return dimensions.corpus_counters(d.raw("documents"), ["lang", "source"])
+
+
+@register("item_dimension", "WITH x AS (SELECT p_name, lower(p_name) AS item, p_brand FROM part), s AS (SELECT item, arg_min(p_name, (-n, p_name)) AS spelling, count(*) AS spellings FROM (SELECT item, p_name, count(*) AS n FROM x GROUP BY 1, 2) GROUP BY 1) SELECT item, spelling, spellings, count(*) AS rows, count(DISTINCT p_brand) AS documents FROM x JOIN s USING (item) GROUP BY 1, 2, 3")
+def _(d):
+    return dimensions.items(d.raw("part"), "p_name", "p_brand")
+
+
+@register("account_dimension", twin("SELECT payer_party_key, count(*) AS rows, count(DISTINCT invoice_key) AS documents, CAST(min(invoice_date) AS VARCHAR) AS first_day, CAST(max(invoice_date) AS VARCHAR) AS last_day FROM invoice_header GROUP BY 1", "invoice_header"))
+def _(d):
+    return dimensions.accounts(d.invoice_header(), "payer_party_key", "invoice_date", "invoice_key")
+
+
+@register("usage_cost", """WITH u AS (SELECT event_id // 2 AS r, event_type AS m, CAST(floor(value) AS BIGINT) AS i, CAST(floor(value / 4) AS BIGINT) AS c, user_id AS o FROM events), q AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY o DESC, i DESC, m) AS k FROM u)
+SELECT m AS model, count(*) AS requests, CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(o) AS BIGINT) AS output_tokens, CASE WHEN m IN ('error', 'signup') THEN round(sum(((i - c) * 3.0 + c * 0.5 + o * 15.0) / 1e6), 6) END AS cost, CAST(m NOT IN ('error', 'signup') AS INTEGER) AS unpriced FROM q WHERE k = 1 GROUP BY m""")
+def _(d):
+    v = F.col("value")
+    u = d.raw("events").select(F.floor(F.col("event_id") / 2).alias("request_id"), F.col("event_type").alias("model"), F.floor(v).alias("input_tokens"), F.floor(v / 4).alias("cached_tokens"), F.col("user_id").alias("output_tokens"))
+    return dimensions.usage_cost(u, d.spark.createDataFrame([("error", 3.0, 0.5, 15.0), ("signup", 3.0, 0.5, 15.0)], "model string, input double, cached double, output double"))
+
+
+@register("untestable_money", twin("WITH p AS (SELECT document_id, max(CASE WHEN partkey % 3 <> 0 THEN 1 ELSE 0 END) AS t, sum(extended_amount) AS m, count(*) AS n FROM invoice_line GROUP BY 1) SELECT CAST(coalesce(sum(m) FILTER (t = 0), 0) AS DOUBLE) AS untestable, CAST(coalesce(sum(n) FILTER (t = 0), 0) AS BIGINT) AS rows, CAST(sum(m) AS DOUBLE) AS total FROM p", "invoice_line"))
+def _(d):
+    x = d.invoice_line().withColumn("label", F.when(F.col("partkey") % 3 != 0, "reconciles").otherwise("not_provable"))
+    return dimensions.untestable_money(x, "document_id", "label", "extended_amount")
+
+
+_CUT = "SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN left(p_name, len(p_name) - 2) ELSE p_name END AS name FROM part"
+
+
+@register("completed_names", f"""WITH n AS (SELECT name FROM ({_CUT}) WHERE len(name) >= 6), c AS (SELECT a.name, b.name AS longer FROM n a JOIN n b ON starts_with(b.name, a.name) AND len(b.name) > len(a.name) WHERE regexp_matches(b.name[len(a.name) + 1], '[a-zA-Z]'))
+SELECT name, min(longer) AS completed FROM c WHERE longer NOT IN (SELECT name FROM c) GROUP BY 1 HAVING count(*) = 1""")
+def _(d):
+    return dimensions.completed_names(d.raw("part").select(F.when(F.col("p_partkey") % 3 == 0, F.expr("left(p_name, length(p_name) - 2)")).otherwise(F.col("p_name")).alias("name")))
+
+
+@register("nearest_label")
+def _(d):
+    p = d.raw("documents").filter("n_chars < 2000").select(F.col("doc_id").alias("page_id"), F.slice(F.split("text", r"[\s.,]+"), 1, 12).alias("words"), F.col("lang").alias("label"))
+    return dimensions.nearest(p, p, 5, 0.05)
