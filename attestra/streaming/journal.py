@@ -1,6 +1,6 @@
 """The append-only journal: latest state by batch or by stream, and windowed counts with a watermark.
 
-The reference has no streams; these are additions over the same journal.
+The streaming forms are additions over the same journal.
 """
 
 from __future__ import annotations
