@@ -840,7 +840,7 @@ def _(d):
 
 
 @register("usage_cost", """WITH u AS (SELECT event_id // 2 AS r, event_type AS m, CAST(floor(value) AS BIGINT) AS i, CAST(floor(value / 4) AS BIGINT) AS c, user_id AS o FROM events), q AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY o DESC, i DESC, m) AS k FROM u)
-SELECT m AS model, count(*) AS requests, CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(o) AS BIGINT) AS output_tokens, CASE WHEN m IN ('error', 'signup') THEN round(sum(((i - c) * 3.0 + c * 0.5 + o * 15.0) / 1e6), 6) END AS cost, CAST(m NOT IN ('error', 'signup') AS INTEGER) AS unpriced FROM q WHERE k = 1 GROUP BY m""")
+SELECT m AS model, count(*) AS requests, CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(o) AS BIGINT) AS output_tokens, CASE WHEN m IN ('error', 'signup') THEN round(CAST(sum((i - c) * 3.0 + c * 0.5 + o * 15.0) AS DOUBLE) / 1e6, 9) END AS cost, CAST(m NOT IN ('error', 'signup') AS INTEGER) AS unpriced FROM q WHERE k = 1 GROUP BY m""")
 def _(d):
     v = F.col("value")
     u = d.raw("events").select(F.floor(F.col("event_id") / 2).alias("request_id"), F.col("event_type").alias("model"), F.floor(v).alias("input_tokens"), F.floor(v / 4).alias("cached_tokens"), F.col("user_id").alias("output_tokens"))

@@ -29,9 +29,10 @@ def accounts(documents: DataFrame, party: str, day: str, key: str) -> DataFrame:
 def usage_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Cost of each model: a request is priced once (its largest record), cached tokens apart.  prices (model, input, cached, output) a million."""
     once = usage.withColumn("_k", F.row_number().over(Window.partitionBy("request_id").orderBy(F.desc("output_tokens"), F.desc("input_tokens"), "model"))).filter("_k = 1")
-    cost = ((F.col("input_tokens") - F.col("cached_tokens")) * F.col("input") + F.col("cached_tokens") * F.col("cached") + F.col("output_tokens") * F.col("output")) / 1e6
+    rate = {c: F.col(c).cast("decimal(12,4)") for c in ("input", "cached", "output")}
+    cost = (F.col("input_tokens") - F.col("cached_tokens")) * rate["input"] + F.col("cached_tokens") * rate["cached"] + F.col("output_tokens") * rate["output"]
     priced = once.join(F.broadcast(prices), "model", "left")
-    return priced.groupBy("model").agg(F.count(F.lit(1)).alias("requests"), F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), F.round(F.sum(cost), 6).alias("cost"), F.max(F.col("input").isNull().cast("int")).alias("unpriced"))
+    return priced.groupBy("model").agg(F.count(F.lit(1)).alias("requests"), F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), F.round(F.sum(cost).cast("double") / 1e6, 9).alias("cost"), F.max(F.col("input").isNull().cast("int")).alias("unpriced"))
 
 
 def untestable_money(lines: DataFrame, document: str, label: str, amount: str) -> DataFrame:
