@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
 #: (verdict, host, path) of the explicit rules.
 RULES = (
     ("allow", "com", "/"),
@@ -48,22 +50,24 @@ def rule_columns(host: Column, path: Column, rules: tuple[tuple[str, str, str],
     return name, verdict
 
 
-def _templates(paths: DataFrame, depth: int, least_rows: int, z: float) -> DataFrame:
-    """(host, path, n, n_labelled, n_bad) -> the same with ``template``."""
+def _templates(paths: DataFrame, s: Scratch, depth: int, least_rows: int, z: float) -> DataFrame:
+    """(host, path, n, n_labelled, n_bad) -> the same with ``template``; each level is written, as the next reads it twice."""
     now = paths.withColumn("segs", F.filter(F.split("path", "/"), lambda x: x != "")).withColumn("template", F.lit(""))
     for k in range(depth):
         seg = F.get("segs", F.lit(k))
         variable = seg.rlike(r"^[0-9]+([._-].*)?$|^[0-9a-fA-F]{8,}$|[0-9]{4,}|%[0-9a-fA-F]{2}")
-        now = now.withColumn("seg", seg).withColumn("variable", variable)
-        kids = now.filter(F.col("seg").isNotNull() & ~F.col("variable")).groupBy("host", "template", "seg").agg(*(F.sum(c).alias(f"k_{c}") for c in ("n", "n_labelled", "n_bad")))
+        marked = now.withColumn("seg", seg).withColumn("variable", variable)
+        kids = marked.filter(F.col("seg").isNotNull() & ~F.col("variable")).groupBy("host", "template", "seg").agg(*(F.sum(c).alias(f"k_{c}") for c in ("n", "n_labelled", "n_bad")))
         pooled = kids.groupBy("host", "template").agg(F.sum("k_n_labelled").alias("p_labelled"), F.sum("k_n_bad").alias("p_bad"))
         rate = (F.col("p_bad") + 1) / (F.col("p_labelled") + 2)
         off = F.abs((F.col("k_n_bad") + rate) / (F.col("k_n_labelled") + 1) - rate)
         alike = (F.col("k_n_labelled") > 0) & (F.col("p_labelled") > F.col("k_n_labelled")) & (off <= z * F.sqrt(rate * (1 - rate) / (F.col("k_n_labelled") + 1)))
         literal = kids.join(pooled, ["host", "template"]).filter((F.col("k_n") >= least_rows) & ~alike).select("host", "template", "seg", F.lit(True).alias("literal"))
-        now = now.join(literal, ["host", "template", "seg"], "left")
+        joined = marked.join(literal, ["host", "template", "seg"], "left")
         step = F.when(F.col("seg").isNull(), "").when(F.coalesce("literal", F.lit(False)), F.concat(F.lit("/"), F.col("seg"))).otherwise("/*")
-        now = now.withColumn("template", F.concat("template", step)).drop("seg", "variable", "literal")
+        before, now = now, s.table(joined.withColumn("template", F.concat("template", step)).drop("seg", "variable", "literal"))
+        if k:
+            s.drop(before)
     return now.withColumn("template", F.when(F.size("segs") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("segs")
 
 
@@ -92,7 +96,8 @@ def url_verdicts(
     name, given = rule_columns(F.col("host"), F.col("path"), rules)
     ruled = base.withColumns({"rule": name, "given": given})
     paths = ruled.groupBy("host", "path").agg(F.count("*").alias("n"), F.count("given").alias("n_labelled"), F.sum(F.when(F.col("given") == "block", 1).otherwise(0)).alias("n_bad"))
-    tree = _templates(paths, depth, least_rows, z)
+    s = Scratch(pages.sparkSession, "urltree")
+    tree = _templates(s.table(paths), s, depth, least_rows, z)
     purity = (F.col("t_bad") + strength * prior) / (F.col("t_labelled") + strength)
     judged = tree.groupBy("host", "template").agg(F.sum("n_labelled").alias("t_labelled"), F.sum("n_bad").alias("t_bad"))
     judged = judged.select("host", "template", purity.alias("purity"))
