@@ -58,7 +58,9 @@ def _templates(paths: DataFrame, s: Scratch, depth: int, least_rows: int, z: flo
         variable = seg.rlike(r"^[0-9]+([._-].*)?$|^[0-9a-fA-F]{8,}$|[0-9]{4,}|%[0-9a-fA-F]{2}")
         marked = now.withColumn("seg", seg).withColumn("variable", variable)
         kids = marked.filter(F.col("seg").isNotNull() & ~F.col("variable")).groupBy("host", "template", "seg").agg(*(F.sum(c).alias(f"k_{c}") for c in ("n", "n_labelled", "n_bad")))
+        kids = s.table(kids)  # written like the pooled rates, so that the joins can split a hot host
         pooled = kids.groupBy("host", "template").agg(F.sum("k_n_labelled").alias("p_labelled"), F.sum("k_n_bad").alias("p_bad"))
+        pooled = s.table(pooled)
         rate = (F.col("p_bad") + 1) / (F.col("p_labelled") + 2)
         off = F.abs((F.col("k_n_bad") + rate) / (F.col("k_n_labelled") + 1) - rate)
         alike = (F.col("k_n_labelled") > 0) & (F.col("p_labelled") > F.col("k_n_labelled")) & (off <= z * F.sqrt(rate * (1 - rate) / (F.col("k_n_labelled") + 1)))
@@ -100,7 +102,7 @@ def url_verdicts(
     tree = _templates(s.table(paths), s, depth, least_rows, z)
     purity = (F.col("t_bad") + strength * prior) / (F.col("t_labelled") + strength)
     judged = tree.groupBy("host", "template").agg(F.sum("n_labelled").alias("t_labelled"), F.sum("n_bad").alias("t_bad"))
-    judged = judged.select("host", "template", purity.alias("purity"))
+    judged = s.table(judged.select("host", "template", purity.alias("purity")))
     by_path = tree.select("host", "path", "template").join(judged, ["host", "template"])
     out = ruled.join(by_path, ["host", "path"])
     verdict = F.coalesce("given", F.when(F.col("purity") >= limit, "block").otherwise("allow"))

@@ -260,7 +260,9 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["type", "record", "page", "url", "refers", "status", "size", "sha1", "payload"])
 
     whole = s.table(grouped.mapInArrow(join, "type string, record string, page string, url string, refers string, status string, size long, sha1 string, payload binary"))
+    # written, so that the join can split a response that very many pages revisit
     target = whole.filter("type = 'response'").dropDuplicates(["record"]).select(F.col("record").alias("refers"), F.col("page").alias("to_page"), F.col("size").alias("to_size"), F.col("sha1").alias("to_sha1"), F.col("status").alias("to_status"), F.col("payload").alias("to_payload"))
+    target = s.table(target)
     out = whole.join(target, "refers", "left")
     cols = [
         "page", "url", F.col("type").alias("record_type"), "record", F.col("to_page").alias("refers"),
