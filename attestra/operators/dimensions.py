@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+from . import entities
+
 
 def corpus_counters(documents: DataFrame, columns: list[str]) -> DataFrame:
     """(counter, value, documents) for each column, in one pass."""
@@ -56,19 +62,80 @@ def completed_names(names: DataFrame, least: int = 6) -> DataFrame:
     return ends.groupBy("name").agg(F.count(F.lit(1)).alias("k"), F.min("longer").alias("completed")).filter("k = 1").select("name", "completed")
 
 
-def nearest(pages: DataFrame, settled: DataFrame, k: int = 5, least: float = 0.3, common: int | None = 1000) -> DataFrame:
+class _Block:
+    """Settled pages by the words they carry, sorted by id; sent to the executors whole."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by("page_id").combine_chunks()
+        words = pc.list_flatten(table["words"]).combine_chunks()
+        sizes = np.asarray(pc.list_value_length(table["words"])).astype(np.int64)
+        coded = pc.dictionary_encode(words, null_encoding="encode")
+        coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+        codes = np.asarray(coded.indices).astype(np.int64)
+        ids = pc.value_counts(table["page_id"].combine_chunks())
+        self.ids, self.labels, self.vocabulary, self.sizes = table["page_id"].combine_chunks(), table["label"].combine_chunks(), coded.dictionary, sizes
+        self.rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[np.argsort(codes, kind="stable")]
+        self.ends = np.cumsum(np.bincount(codes, minlength=len(self.vocabulary)))
+        self.own, self.own_ends = ids.field("values"), np.cumsum(np.asarray(ids.field("counts")))
+
+    def top(self, batch: pa.RecordBatch, k: int) -> tuple[list[int], list[int], list[float]]:
+        """(row of the batch, row of the block, likeness) of the k most alike of the block, larger ids first among equals."""
+        at, near, likes = [], [], []
+        column = batch.column("words")
+        codes = np.asarray(pc.fill_null(pc.index_in(pc.list_flatten(column), value_set=self.vocabulary), -1))
+        sizes = np.asarray(pc.list_value_length(column)).astype(np.int64)
+        own = np.asarray(pc.fill_null(pc.index_in(batch.column("page_id"), value_set=self.own), -1))
+        for i, (end, size) in enumerate(zip(np.cumsum(sizes), sizes, strict=True)):
+            mine = codes[end - size : end]
+            hits = [self.rows[self.ends[c - 1] if c else 0 : self.ends[c]] for c in mine[mine >= 0]]
+            shared = np.bincount(np.concatenate(hits), minlength=len(self.sizes)) if hits else np.zeros(len(self.sizes), np.int64)
+            like = shared / np.maximum(size + self.sizes - shared, 1)
+            if own[i] >= 0:
+                like[self.own_ends[own[i] - 1] if own[i] else 0 : self.own_ends[own[i]]] = -1
+            best = np.flatnonzero(like >= (np.partition(like, -k)[-k] if len(like) > k else 0))
+            best = best[np.lexsort((best, like[best]))[::-1][:k]]
+            best = best[like[best] >= 0]
+            at.extend([i] * len(best))
+            near.extend(best.tolist())
+            likes.extend(like[best].tolist())
+        return at, near, likes
+
+
+def nearest(pages: DataFrame, settled: DataFrame, k: int = 5, least: float = 0.3, block_words: int = 2_000_000) -> DataFrame:
     """(page_id, label): the one label of the k settled pages with the most alike layout words.
 
-    pages and settled are (page_id, words[, label]).  Pairs meet through shared words; words on
-    over ``common`` settled pages only count in the likeness, and do not open pairs, so pages
-    that share nothing else do not meet; ``common=None`` opens pairs by every word.
+    pages and settled are (page_id, words[, label]).  Every page is held against every settled
+    page but itself, also where they share no word; of equally alike ones the larger id comes
+    first.  Settled pages go to the executors in blocks of about ``block_words`` words, one
+    after another, and the k best so far are kept, so memory does not grow with the tables;
+    the work grows with pages times settled pages.
     """
-    sw = settled.select(F.col("page_id").alias("s_id"), F.explode(F.array_distinct("words")).alias("w"))
-    rare = sw.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    rare = (rare.filter(F.col("n") <= common) if common is not None else rare).select("w")
-    pairs = pages.select("page_id", F.explode(F.array_distinct("words")).alias("w")).join(sw.join(rare, "w"), "w").select("page_id", "s_id").distinct().filter("page_id <> s_id")
-    full = pairs.join(pages.select("page_id", "words"), "page_id").join(settled.select(F.col("page_id").alias("s_id"), F.col("words").alias("s_words"), "label"), "s_id")
-    like = F.size(F.array_intersect("words", "s_words")) / F.size(F.array_union("words", "s_words"))
-    top = full.withColumn("like", like).withColumn("r", F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("like"), F.desc("s_id")))).filter(F.col("r") <= k)
+    spark = pages.sparkSession
+    ship(spark)
+    words = F.coalesce(F.array_distinct("words"), F.array().cast("array<string>")).alias("words")
+    p = pages.filter("page_id is not null").select("page_id", words)
+    s = settled.filter("page_id is not null").select("page_id", words, "label")
+    blocks = -(-(s.agg(F.sum(F.size("words") + 1)).first()[0] or 1) // block_words)
+    kind = f"page_id {s.schema['page_id'].dataType.simpleString()}, s_id {s.schema['page_id'].dataType.simpleString()}, label {s.schema['label'].dataType.simpleString()}, like double"
+    p = p.withColumn("page_id", F.col("page_id").cast(s.schema["page_id"].dataType))
+    if blocks > 1:
+        entities.checkpoint_folder(spark)
+    first = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("like"), F.desc("s_id")))
+    top = None
+    for b in range(blocks):
+        sent = spark.sparkContext.broadcast(_Block(s.filter(F.pmod(F.xxhash64("page_id"), F.lit(blocks)) == b).toArrow()))
+
+        def near(batches, sent=sent):
+            block = sent.value
+            for batch in batches:
+                at, rows, likes = block.top(batch, k)
+                rows = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array(at, pa.int64())), block.ids.take(rows), block.labels.take(rows), pa.array(likes, pa.float64())], names=["page_id", "s_id", "label", "like"])
+
+        found = p.mapInArrow(near, kind)
+        top = (found if top is None else top.unionByName(found)).withColumn("r", first).filter(F.col("r") <= k).drop("r")
+        if blocks > 1:
+            top = top.checkpoint()
+            sent.unpersist()
     out = top.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.max("like").alias("best"), F.countDistinct("label").alias("labels"), F.min("label").alias("label"))
     return out.filter((F.col("n") == k) & (F.col("best") >= least) & (F.col("labels") == 1)).select("page_id", "label", F.round("best", 6).alias("likeness"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Legal suffixes that say nothing about who a party is, and usual abbreviations.
@@ -69,13 +69,17 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
     return s.withColumn("decision", F.when(F.col("score") >= MERGE, "merge").when(F.col("score") >= REVIEW, "review").otherwise("different"))
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """(node, root): smallest node reached over edges (a, b), by label spreading with a checkpoint each round."""
-    spark = edges.sparkSession
+def checkpoint_folder(spark: SparkSession) -> None:
+    """A folder for checkpoints, if the session names none."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="attestra-ck-"))
+
+
+def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
+    """(node, root): smallest node reached over edges (a, b), by label spreading with a checkpoint each round."""
+    checkpoint_folder(edges.sparkSession)
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     label = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")).checkpoint()
     for _ in range(rounds):
