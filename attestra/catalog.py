@@ -864,5 +864,5 @@ def _(d):
 
 @register("nearest_label")
 def _(d):
-    p = d.raw("documents").filter("n_chars < 2000").select(F.col("doc_id").alias("page_id"), F.slice(F.split("text", r"[\s.,]+"), 1, 12).alias("words"), F.col("lang").alias("label"))
+    p = d.raw("documents").select(F.col("doc_id").alias("page_id"), F.array_remove(F.split("text", r"[\s.,]+"), "").alias("words"), F.col("lang").alias("label"))
     return dimensions.nearest(p, p, 5, 0.05)

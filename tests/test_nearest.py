@@ -1,9 +1,11 @@
 """Nearest pages against brute force."""
 
 import random
+import re
 
 import pytest
 
+from attestra.catalog import QUERIES
 from attestra.operators import dimensions
 
 
@@ -28,3 +30,17 @@ def test_words_on_many_pages_open_pairs(spark, block_words):
     got = {r.page_id: (r.label, r.likeness) for r in dimensions.nearest(p, s, 5, 0.3, block_words=block_words).collect()}
     want = brute(pages, settled, 5, 0.3)
     assert got == want and want[-1] == ("m0", 1.0)
+
+
+def test_query_reads_whole_documents(spark, tmp_path):
+    draw = random.Random(11)
+    docs = []
+    for i in range(60):
+        own = [f"t{i % 2}x{draw.randrange(60)}" for _ in range(30 if i % 3 else 500)]
+        docs.append((i, ". ".join([f"s{n}" for n in range(12)] + own) + ".", f"l{i % 2}"))
+    rows = [(i, t, x, "web", len(t)) for i, t, x in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.page_id: (r.label, r.likeness) for r in QUERIES["nearest_label"](spark, str(tmp_path)).collect()}
+    words = {i: [w for w in re.split(r"[\s.,]+", t) if w] for i, t, _ in docs}
+    want = brute(words, {i: (words[i], x) for i, _, x in docs}, 5, 0.05)
+    assert got == want and len(want) > 40 and any(len(t) >= 2000 for i, t, _ in docs if i in want)
