@@ -415,6 +415,11 @@ def _(d):
     return consensus.tolerance_clusters(d.readings().filter("field = 'extended_amount' and row_index = 1"), 10.0).groupBy("clusters", "ambiguous").agg(F.count("*").alias("cells"))
 
 
+@register("tolerance_clusters_all", SQL["tolerance_clusters"].replace(" AND row_index = 1", ""))
+def _(d):
+    return consensus.tolerance_clusters(d.readings().filter("field = 'extended_amount'"), 10.0).groupBy("clusters", "ambiguous").agg(F.count("*").alias("cells"))
+
+
 # ---- line labels ----------------------------------------------------------------------
 
 _COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
