@@ -657,6 +657,12 @@ def _(d):
     return graph.contradictions(c).withColumn("values", F.array_join("values", ","))
 
 
+@register("graph_contradictions_all", SQL["graph_contradictions"].replace(" WHERE l_quantity > 45", ""))
+def _(d):
+    c = d.raw("lineitem").select(F.col("l_partkey").cast("string").alias("subject"), F.lit("flag").alias("property"), F.col("l_returnflag").alias("value"))
+    return graph.contradictions(c).withColumn("values", F.array_join("values", ","))
+
+
 def _items(d: Driver, mod: int) -> DataFrame:
     return d.raw("lineitem").filter(F.col("l_partkey") % mod == 0).select(F.col("l_orderkey").alias("document_id"), F.col("l_returnflag").alias("field"), F.col("l_linestatus").alias("reason"), F.lit("proof").alias("stage"), F.lit("line").alias("source"), (F.col("l_linenumber") % 4).alias("priority"), F.concat(F.lit("a"), F.col("l_suppkey") % 5).alias("artifact"))
 
