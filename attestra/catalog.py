@@ -631,7 +631,7 @@ def _(d):
 
 @register("graph_path_length", f"""WITH RECURSIVE e AS ({_EDGES}), b AS (SELECT f AS a, t AS z FROM e UNION SELECT t, f FROM e), r AS (SELECT 'C1' AS n, 0 AS s UNION SELECT z, s + 1 FROM r JOIN b ON n = a WHERE s < 4) SELECT CAST(min(s) AS BIGINT) AS edges FROM r WHERE n = 'P5' HAVING min(s) IS NOT NULL""")
 def _(d):
-    return graph.shortest_path(_edges(d), "C1", "P5", 4).agg(F.max("step").cast("long").alias("edges")).filter("edges is not null")
+    return graph.shortest_path(_edges(d), "C1", "P5").agg(F.max("step").cast("long").alias("edges")).filter("edges is not null")
 
 
 @register("graph_inventory", f"WITH e AS ({_EDGES}) SELECT 'edge' AS kind, e AS type, count(*) AS n FROM e GROUP BY 2 UNION ALL SELECT 'node', 'customer', count(*) FROM customer")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .entities import checkpoint_folder
+
 MAX_DEPTH = 12
 
 
@@ -44,6 +46,7 @@ def shortest_path(edges: DataFrame, source: str, target: str, depth: int = MAX_D
     if not 1 <= depth <= MAX_DEPTH:
         raise ValueError("depth must be 1 to 12")
     spark = edges.sparkSession
+    checkpoint_folder(spark)
     both = neighbours(edges).cache()
     seen = spark.createDataFrame([(source, "", 0)], "node string, path string, step int")
     frontier = seen
@@ -53,7 +56,7 @@ def shortest_path(edges: DataFrame, source: str, target: str, depth: int = MAX_D
             break
         near = frontier.join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node"), F.concat_ws("\x1f", F.nullif("path", F.lit("")), "node").alias("path"))
         near = near.join(seen.select("node"), "node", "left_anti").groupBy("node").agg(F.min("path").alias("path")).withColumn("step", F.lit(step))
-        frontier = near.cache()
+        frontier = near.checkpoint()  # each step reads all before it, so their plans must not nest
         state = frontier.agg(F.count(F.lit(1)).alias("n"), F.max((F.col("node") == target).cast("int")).alias("hit")).first()
         seen = seen.unionByName(frontier)
         if not state.n:
