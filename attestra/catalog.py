@@ -533,13 +533,13 @@ def _(d):
 p AS (SELECT DISTINCT l.norm AS a, r.norm AS b FROM k l JOIN k r ON l.b = r.b AND l.norm < r.norm), g AS (SELECT a, b, split(a, ' ') AS x, split(b, ' ') AS y, list_distinct([a[i:i+1] for i in range(1, len(a))]) AS u, list_distinct([b[i:i+1] for i in range(1, len(b))]) AS v FROM p)
 SELECT a, b, round(0.6 * len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) + 0.4 * (2 * len(list_intersect(u, v)) / (len(u) + len(v))), 4) AS score FROM g""")
 def _(d):
-    pairs, _ = entities.candidate_pairs(_names(d))
+    pairs = entities.candidate_pairs(_names(d))
     return entities.score_pairs(pairs).select("a", "b", "score")
 
 
 @register("entity_components")
 def _(d):
-    pairs, _ = entities.candidate_pairs(_names(d))
+    pairs = entities.candidate_pairs(_names(d))
     merged = entities.score_pairs(pairs).filter(F.col("score") >= entities.REVIEW)
     return entities.survivors(_names(d), entities.components(merged).withColumnRenamed("node", "norm"))
 

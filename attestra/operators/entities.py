@@ -48,19 +48,23 @@ def one_edit_apart(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b, 1) == 1
 
 
-def candidate_pairs(names: DataFrame, max_block: int = 400) -> tuple[DataFrame, DataFrame]:
-    """(pairs (a, b) of distinct normalised names that share a block, blocks over ``max_block`` for review).
+def candidate_pairs(names: DataFrame, slice_names: int = 400) -> DataFrame:
+    """(a, b): every pair of distinct normalised names that share a block.
 
-    Identical readings meet once, before any pairing.
+    Identical readings meet once, before any pairing.  A block is dealt into slices of about
+    ``slice_names`` names by hash, and each two slices meet under a key of their own, so that
+    a large block is paired in many tasks.
     """
     distinct = names.select("norm").distinct().filter("norm <> ''")
     keyed = distinct.select("norm", F.explode(blocking_keys(F.col("norm"))).alias("block"))
-    size = keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-    deferred = size.filter(F.col("n") > max_block)
-    small = keyed.join(size.filter(F.col("n") <= max_block).select("block"), "block")
-    l, r = small.alias("l"), small.alias("r")
-    pairs = l.join(r, (F.col("l.block") == F.col("r.block")) & (F.col("l.norm") < F.col("r.norm"))).select(F.col("l.norm").alias("a"), F.col("r.norm").alias("b")).distinct()
-    return pairs, deferred
+    size = keyed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / slice_names).alias("slices"))
+    dealt = keyed.join(size, "block").withColumn("own", F.pmod(F.xxhash64("norm"), F.col("slices")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    met = met.select("norm", "block", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    l, r = met.alias("l"), met.alias("r")
+    same = (F.col("l.block") == F.col("r.block")) & (F.col("l.lo") == F.col("r.lo")) & (F.col("l.hi") == F.col("r.hi"))
+    once = (F.col("l.own") != F.col("r.own")) | (F.col("l.lo") == F.col("l.hi"))  # two names of one slice meet under its own key only
+    return l.join(r, same & once & (F.col("l.norm") < F.col("r.norm"))).select(F.col("l.norm").alias("a"), F.col("r.norm").alias("b")).distinct()
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
