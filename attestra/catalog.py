@@ -539,9 +539,12 @@ def _(d):
 
 @register("entity_components")
 def _(d):
-    pairs = entities.candidate_pairs(_names(d))
-    merged = entities.score_pairs(pairs).filter(F.col("score") >= entities.REVIEW)
-    return entities.survivors(_names(d), entities.components(merged).withColumnRenamed("node", "norm"))
+    """Parties united from entities.MERGE, and the pairs of names between REVIEW and MERGE as rows of their own."""
+    scored = entities.score_pairs(entities.candidate_pairs(_names(d)))
+    groups = entities.components(scored.filter("decision = 'merge'")).withColumnRenamed("node", "norm")
+    parties = entities.survivors(_names(d), groups).withColumn("kind", F.lit("party"))
+    review = scored.filter("decision = 'review'").select(F.lit("review").alias("kind"), "a", "b", "score")
+    return parties.unionByName(review, allowMissingColumns=True)
 
 
 # ---- sampling and evaluation ----------------------------------------------------------
