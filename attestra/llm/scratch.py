@@ -55,6 +55,10 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def together(self, tables: list[DataFrame]) -> DataFrame:
+        """Tables of one schema as one, in a single scan."""
+        return self.spark.read.schema(tables[0].schema).parquet(*(t._scratch_path for t in tables))
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         for t in tables:

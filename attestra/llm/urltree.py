@@ -8,7 +8,8 @@ A template is rejected if its labelled purity, smoothed towards a prior, reaches
 limit.  Explicit host rules label the pages they fit, and outrank the tree.
 
 Every level is a partial aggregation and a join by branch, which Spark splits for hot
-hosts; the depth is fixed, so the plan does not grow with the data.
+hosts.  Levels go on while a branch holds several paths and rows enough for a segment to
+recur; each is written, so the plan does not grow with the depth.
 """
 
 from __future__ import annotations
@@ -50,13 +51,28 @@ def rule_columns(host: Column, path: Column, rules: tuple[tuple[str, str, str],
     return name, verdict
 
 
-def _templates(paths: DataFrame, s: Scratch, depth: int, least_rows: int, z: float) -> DataFrame:
+def _variable(seg: Column) -> Column:
+    """Whether a segment is a number-like token."""
+    return seg.rlike(r"^[0-9]+([._-].*)?$|^[0-9a-fA-F]{8,}$|[0-9]{4,}|%[0-9a-fA-F]{2}")
+
+
+def _templates(paths: DataFrame, s: Scratch, least_rows: int, z: float) -> DataFrame:
     """(host, path, n, n_labelled, n_bad) -> the same with ``template``; each level is written, as the next reads it twice."""
-    now = paths.withColumn("segs", F.filter(F.split("path", "/"), lambda x: x != "")).withColumn("template", F.lit(""))
-    for k in range(depth):
+    now = s.table(paths.withColumn("segs", F.filter(F.split("path", "/"), lambda x: x != "")).withColumn("template", F.lit("")))
+    done, k = [], 0
+    while True:
+        branch = s.table(now.groupBy("host", "template").agg(F.sum("n").alias("b_n"), (F.min("segs") == F.max("segs")).alias("b_one")))
+        seen = now.join(branch, ["host", "template"])
+        # of a branch with too few rows nothing recurs, and of one path nothing has a sibling: all levels below are known
+        known = (F.size("segs") <= k) | (F.col("b_n") < least_rows) | F.col("b_one")
+        below = F.transform(F.slice("segs", F.lit(k + 1), F.size("segs")), lambda x: F.concat(F.lit("/"), F.when((F.col("b_n") < least_rows) | _variable(x), "*").otherwise(x)))
+        done.append(s.table(seen.filter(known).withColumn("template", F.concat("template", F.array_join(below, ""))).drop("segs", "b_n", "b_one")))
+        before, now = now, s.table(seen.filter(~known).drop("b_n", "b_one"))
+        s.drop(before, branch)
+        if now.isEmpty():
+            return s.together(done)
         seg = F.get("segs", F.lit(k))
-        variable = seg.rlike(r"^[0-9]+([._-].*)?$|^[0-9a-fA-F]{8,}$|[0-9]{4,}|%[0-9a-fA-F]{2}")
-        marked = now.withColumn("seg", seg).withColumn("variable", variable)
+        marked = now.withColumn("seg", seg).withColumn("variable", _variable(seg))
         kids = marked.filter(F.col("seg").isNotNull() & ~F.col("variable")).groupBy("host", "template", "seg").agg(*(F.sum(c).alias(f"k_{c}") for c in ("n", "n_labelled", "n_bad")))
         kids = s.table(kids)  # written like the pooled rates, so that the joins can split a hot host
         pooled = kids.groupBy("host", "template").agg(F.sum("k_n_labelled").alias("p_labelled"), F.sum("k_n_bad").alias("p_bad"))
@@ -66,11 +82,10 @@ def _templates(paths: DataFrame, s: Scratch, depth: int, least_rows: int, z: flo
         alike = (F.col("k_n_labelled") > 0) & (F.col("p_labelled") > F.col("k_n_labelled")) & (off <= z * F.sqrt(rate * (1 - rate) / (F.col("k_n_labelled") + 1)))
         literal = kids.join(pooled, ["host", "template"]).filter((F.col("k_n") >= least_rows) & ~alike).select("host", "template", "seg", F.lit(True).alias("literal"))
         joined = marked.join(literal, ["host", "template", "seg"], "left")
-        step = F.when(F.col("seg").isNull(), "").when(F.coalesce("literal", F.lit(False)), F.concat(F.lit("/"), F.col("seg"))).otherwise("/*")
+        step = F.when(F.coalesce("literal", F.lit(False)), F.concat(F.lit("/"), F.col("seg"))).otherwise("/*")
         before, now = now, s.table(joined.withColumn("template", F.concat("template", step)).drop("seg", "variable", "literal"))
-        if k:
-            s.drop(before)
-    return now.withColumn("template", F.when(F.size("segs") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("segs")
+        s.drop(before, kids, pooled)
+        k += 1
 
 
 def url_verdicts(
@@ -78,7 +93,6 @@ def url_verdicts(
     id_col: str = "page_id",
     url_col: str = "url",
     rules: tuple[tuple[str, str, str], ...] = RULES,
-    depth: int = 3,
     least_rows: int = 5,
     z: float = 1.64,
     prior: float = 0.1,
@@ -99,7 +113,7 @@ def url_verdicts(
     ruled = base.withColumns({"rule": name, "given": given})
     paths = ruled.groupBy("host", "path").agg(F.count("*").alias("n"), F.count("given").alias("n_labelled"), F.sum(F.when(F.col("given") == "block", 1).otherwise(0)).alias("n_bad"))
     s = Scratch(pages.sparkSession, "urltree")
-    tree = _templates(s.table(paths), s, depth, least_rows, z)
+    tree = _templates(paths, s, least_rows, z)
     purity = (F.col("t_bad") + strength * prior) / (F.col("t_labelled") + strength)
     judged = tree.groupBy("host", "template").agg(F.sum("n_labelled").alias("t_labelled"), F.sum("n_bad").alias("t_bad"))
     judged = s.table(judged.select("host", "template", purity.alias("purity")))
