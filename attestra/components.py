@@ -32,10 +32,11 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
         joined = large.join(least, F.col("a") == F.col("k"))
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("k").alias("a"), F.col("m").alias("b")))
         after = scratch.table(small.filter("a <> b").distinct())
-        state = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        count = after.count()
+        # rows are distinct, so tables of one size are equal if one holds no row that the other lacks
+        settled = count == seen and after.join(now, ["a", "b"], "left_anti").isEmpty()
         scratch.drop(now, low, large, least)
-        now = after
-        if state == seen:
+        now, seen = after, count
+        if settled:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
     raise RuntimeError(f"components not settled after {max_rounds} rounds")

@@ -1,7 +1,9 @@
 """Tables cut from their lineage, in the folder all executors share.
 
-The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset
-(tests, single-machine use) a temporary folder is made and removed at exit.
+The folder is the session's ``spark.checkpoint.dir``, or the checkpoint folder set on its
+context.  Where neither is set, a local master gets a temporary folder that is removed at
+exit; on a cluster that would be lost with its node, so there it is an error.  What an
+operator leaves behind goes when the application ends.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..shipping import ship
+from .shipping import ship
 
 _own: dict[str, str] = {}
 #: Shuffle files of a query go when it ends, not when the driver next collects its garbage.
@@ -22,9 +24,11 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def base_dir(spark: SparkSession) -> str:
     """The shared folder of this session."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if given:
         return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if "dir" not in _own:
         _own["dir"] = tempfile.mkdtemp(prefix="attestra-")
         atexit.register(shutil.rmtree, _own["dir"], True)
@@ -39,6 +43,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{base_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        root.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(root)
 
     def table(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and return it as read back; its lineage ends there."""
