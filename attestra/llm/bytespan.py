@@ -3,14 +3,20 @@
 All arithmetic is modulo 2**64.  A rolling hash is the sum of mixed symbols times
 powers of an odd base, taken from a running sum and divided by the base's power
 at the window's start, so equal windows have equal hashes wherever they stand.
+
+Such sums have known colliding pairs from 1,024 symbols on, whatever the base, so words
+are not named by them: a word's bytes are chained eight at a time through a
+bijective mixer, once for each seed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -94,6 +100,30 @@ def pieces(starts: np.ndarray, ends: np.ndarray, limit: int = PIECE_BYTES) -> It
         i = j
 
 
+#: Spans over so many bytes are hashed one by one.
+LONG_SPAN = 256
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)  # masks of the first k bytes
+
+
+def chained(data: np.ndarray, start: np.ndarray, stop: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each span [start, stop) of bytes: eight bytes a step, each step mixed into the next."""
+    size = stop - start
+    h = mix(size.astype(np.uint64) * U(BASE_A) ^ U(seed))
+    if not len(size):
+        return h
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, 0, (1,))  # at every byte, unaligned
+    live = np.flatnonzero(size <= LONG_SPAN)
+    at, left = start[live], size[live]
+    while len(live):
+        h[live] = mix(h[live] * U(BASE_B) ^ (eight[at] & _TAIL[np.minimum(left, 8)]))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_SPAN):
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : stop[i]].tobytes(), seed)
+    return h
+
+
 class Words:
     """The words of texts: hash, text number, and place.  ``gaps`` marks the bytes between words."""
 
@@ -117,8 +147,12 @@ class Words:
         self.after = np.searchsorted(self.start, e)
         n = len(self.start)
         self.text = np.repeat(np.arange(len(s)), self.after - self.first) if n else np.zeros(0, np.int64)
-        raw = Rolling(_BYTE[self.bytes]).spans(self.start, self.stop)
-        self.hash = mix(raw + (self.stop - self.start).astype(np.uint64) * U(BASE_B))
+        self.hash = chained(self.bytes, self.start, self.stop, BASE_B)
+
+    @cached_property
+    def second(self) -> np.ndarray:
+        """Each word's hash by another seed."""
+        return chained(self.bytes, self.start, self.stop, BASE_A)
 
     def fits(self, k: int) -> np.ndarray:
         """Of each word: whether a window of k words that starts there stays in its text."""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .bytespan import Rolling, Words, cover, mix, pieces, text_bytes
-from .scratch import Scratch
+from ..scratch import Scratch
 
 #: Bytes that part words: all of ASCII but digits and letters (A-Z are folded first).
 GAPS = np.zeros(256, bool)

@@ -5,7 +5,8 @@ Every document is a reference: its words are cut in non-overlapping blocks of
 holds a whole block of any document it also occurs in, so every rolling window of
 block size probes the index.  A hit elsewhere than at itself is extended: the full
 windows around it are named by all their words, the earliest place of each name stays,
-and removed windows that touch run together to the maximal exact repeats.
+and removed windows that touch run together to the maximal exact repeats.  A name is two
+64-bit hashes, of words hashed by two independent seeds.
 
 Probes are as many as words, so they go through the shuffle in ``rounds`` slices of the
 hash space, each written down before the next; the slices only bound the disk in use.
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytespan import BASE_A, BASE_B, Rolling, U, Words, cover, mix, pieces, text_bytes
-from .grouping import lists_by_document, order_key, whole
-from .scratch import Scratch
+from .grouping import lists_by_document, order_key, same_group, starts
+from ..scratch import Scratch
 from .suffix import _documents, _long, _taken, finish, with_spans
 
 PIECE = 1 << 20
@@ -75,30 +76,49 @@ def _hits(documents: DataFrame, s: Scratch, kind: str, size: int, rounds: int) -
 
 
 def _earliest_stay(named: DataFrame, kind: str) -> DataFrame:
-    """(id, v, at): of the windows (w1, w2, id, v, at, later) those marked later, and those with an earlier namesake."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = whole(batches)
-        if t is None:
-            return
-        w1, w2, at, later = (np.asarray(t.column(c)) for c in ("w1", "w2", "at", "later"))
-        gone = pa.array(np.flatnonzero(_again(w1, w2, order_key(t.column("id")), at, later)))
-        yield from t.select(["id", "v", "at"]).take(gone).to_batches()
-
-    return named.repartition("w1").mapInArrow(scan, f"id {kind}, v long, at int")
+    """(id, v, at): of the windows (w1, w2, id, v, at, later) those marked later, and those with an earlier namesake.
 
+    Windows of one name stream through in the order of their places; the first stays.
+    Rows of one id stand at the same place.
+    """
+    name, place = ("later", "w1", "w2"), ("id", "at")
 
-def _again(w1: np.ndarray, w2: np.ndarray, place: np.ndarray, at: np.ndarray, later: np.ndarray | None = None) -> np.ndarray:
-    """Which windows have an equal name at an earlier (place, at), or are marked later."""
-    known = np.zeros(len(w1), bool) if later is None else later
-    order = np.lexsort((at, place, known, w2, w1))
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = None  # (batch, row) of the first window of the name that is open
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = starts(b, name)
+            if first is not None and same_group(*first, b, 0, name):
+                new[0] = False
+            at = np.maximum.accumulate(np.where(new, np.arange(b.num_rows), -1))
+            later = np.asarray(b.column("later"))
+            own = starts(b, (*name, *place))  # rows at the place of the first stay with it
+            run = np.maximum.accumulate(np.where(own, np.arange(b.num_rows), 0))
+            gone = later | ((at >= 0) & (run > at))
+            if at[0] < 0:
+                for i in np.flatnonzero((at < 0) & own):
+                    gone[i] = later[i] or not same_group(*first, b, int(i), place)
+                gone[at < 0] = gone[run[at < 0]]
+            if new.any():
+                first = (b, int(at[-1]))
+            pick = pa.array(np.flatnonzero(gone))
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pick) for c in ("id", "v", "at")], ["id", "v", "at"])
+
+    dealt = named.repartition("w1").sortWithinPartitions("later", "w1", "w2", "id", "at")
+    return dealt.mapInArrow(scan, f"id {kind}, v long, at int")
+
+
+def _again(w1: np.ndarray, w2: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which windows have an equal name at an earlier (place, at)."""
+    order = np.lexsort((at, place, w2, w1))
     a, z = order[1:], order[:-1]
     new = np.ones(len(order), bool)
-    new[1:] = (w1[a] != w1[z]) | (w2[a] != w2[z]) | (known[a] != known[z])
+    new[1:] = (w1[a] != w1[z]) | (w2[a] != w2[z])
     first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     out = np.zeros(len(order), bool)
     out[order] = (place[order] != place[first]) | (at[order] != at[first])
-    return out | known
+    return out
 
 
 def _removed(documents: DataFrame, s: Scratch, kind: str, length: int, rounds: int) -> DataFrame:
@@ -122,7 +142,7 @@ def _removed(documents: DataFrame, s: Scratch, kind: str, length: int, rounds: i
                 x = w.first[row[pick] - i] + hit[pick]
                 near = cover(np.maximum(x - (length - size), 0), length - size + 1, n)[: n - length + 1]
                 at = np.flatnonzero(near & w.fits(length)[: n - length + 1])
-                for c, y in zip(cols, (Rolling(w.hash, BASE_A).windows(length)[at], Rolling(w.hash, BASE_B).windows(length)[at], i + w.text[at], at - w.first[w.text[at]])):
+                for c, y in zip(cols, (Rolling(w.hash, BASE_A).windows(length)[at], Rolling(w.second, BASE_B).windows(length)[at], i + w.text[at], at - w.first[w.text[at]])):
                     c.append(y)
             if not cols[0]:
                 continue

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .bytespan import text_bytes
 from .docstats import NAMES, statistics, with_statistics
-from .scratch import Scratch
+from ..scratch import Scratch
 
 #: Log-density differences are cut to this range and counted in this many bins.
 RANGE, BINS = 60.0, 480
@@ -119,12 +119,17 @@ def _logistic(d: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 50) ->
     return float(a), float(b)
 
 
+def _known(labels: DataFrame, id_col: str, label_col: str, folds: int, held_out_fold: int) -> DataFrame:
+    """(id, y) of the labelled ids outside the held-out fold."""
+    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
+    return known.filter(_fold(folds) != held_out_fold)
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held_out_fold: int) -> tuple[Discriminant, DataFrame]:
     """(model, statistics of all documents): fitted to the labelled documents outside the held-out fold."""
     s = Scratch(docs.sparkSession, "quality")
     stats = s.table(with_statistics(docs, id_col, text_col))
-    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
-    train = s.table(stats.filter(_fold(folds) != held_out_fold).join(known, "id").select("x", "y"))
+    train = s.table(stats.join(_known(labels, id_col, label_col, folds, held_out_fold), "id").select("x", "y"))
     return fit(train), stats
 
 
@@ -164,10 +169,14 @@ def quality_scores(
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_out_fold: int = 0, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is at least ``threshold``.
 
-    Scores are those of :func:`quality_scores`; texts are scored where they lie, so
-    nothing but statistics goes through a shuffle.
+    Scores are those of :func:`quality_scores`.  Statistics are taken of the labelled rows
+    alone to fit, and then of each text where it lies, so no text that is unlabelled goes
+    through a shuffle while the labels are small enough for Spark to broadcast them.
     """
-    model, _ = train_quality(docs, labels, id_col, text_col, label_col, folds, held_out_fold)
+    s = Scratch(docs.sparkSession, "quality")
+    known = s.table(_known(labels, id_col, label_col, folds, held_out_fold))
+    some = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id")
+    model = fit(s.table(_labelled_statistics(some)))
     place = docs.columns.index(text_col)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,3 +184,15 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             yield b.filter(pa.array(model.score(statistics(*text_bytes(b.column(place)))) >= threshold))
 
     return docs.mapInArrow(scan, docs.schema)
+
+
+def _labelled_statistics(rows: DataFrame) -> DataFrame:
+    """(id, text, y) -> (x, y)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = statistics(*text_bytes(b.column(0)))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, len(NAMES), dtype=np.int32)), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([flat, b.column(1)], ["x", "y"])
+
+    return rows.select("text", "y").mapInArrow(scan, "x array<double>, y int")

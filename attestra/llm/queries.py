@@ -32,12 +32,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Parameters of the mixing query, shared with its SQL.
-MIX = {"power": 0.5, "budget": 0.5, "rounds": 8, "seed": "mix"}
+MIX = {"power": 0.5, "budget": 0.5, "rounds": 500, "seed": "mix"}
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(_read(spark, sf_dir, "documents"), **MIX)
-    return out.select("doc_id", "n_tokens", "mix_topic", F.round("mix_weight", 9).alias("mix_weight"), F.round("mix_probability", 9).alias("mix_probability"))
+    return out.select("doc_id", "n_tokens", "mix_topic", F.round("mix_weight", 9).alias("mix_weight"), "mix_probability")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

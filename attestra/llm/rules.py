@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from ..scratch import Scratch
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -31,11 +31,13 @@ def _repeat_words(words: Column) -> Column:
     """Words inside three-word windows that occur at least twice in the text."""
 
     def of(w: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.alias("i")))
+        grams = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), F.struct(w[i], w[i + 1], w[i + 2]).alias("g"), i.alias("i")))
         return F.when(F.size(w) < 3, F.lit(0)).otherwise(_let(F.array_sort(grams), spread))
 
     def spread(g: Column) -> Column:
-        again = F.filter(g, lambda x, k: F.coalesce(F.get(g, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(g, k + 1)["h"] == x["h"], F.lit(False)))
+        # sorted by hash, then by the words themselves, which decide
+        same = lambda y, x: F.coalesce((y["h"] == x["h"]) & (y["g"] == x["g"]), F.lit(False))
+        again = F.filter(g, lambda x, k: same(F.get(g, k - 1), x) | same(F.get(g, k + 1), x))
         return _let(F.array_sort(F.transform(again, lambda x: x["i"])), size)
 
     def size(at: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Exact repeated byte strings by sparse distributed prefix doubling.
+"""Exact repeated byte strings by distributed prefix doubling over sampled positions.
 
 Doubling over every byte position would sort a row a byte in each round.  Here the
 positions are a synchronised sample: of the ``q``-byte strings in each window of
@@ -6,20 +6,20 @@ positions are a synchronised sample: of the ``q``-byte strings in each window of
 reads nothing but the window, so equal windows have their anchors at the same offset,
 and about one position in forty is an anchor.
 
-A round ranks groups of neighbouring windows by two strings: the core that all of them
-share, and the whole that they cover together.  In the first round a group is all
-windows of an anchor, its core the anchor's ``q`` bytes.
+A round ranks groups of neighbouring windows by the string that all of them share, their
+core, and tells them apart by the whole that they cover together.  In the first round a
+group is all windows of an anchor and its core the anchor's ``q`` bytes; cores then double
+to 2q, 4q, ... bytes until they are a window long.  Spark sorts the pairs (rank so far,
+core at the grown reach) and numbers them densely; equal pairs have equal ranks.
 
-* A group whose core has a rank of its own is done: none of its windows repeats.
-* Groups with equal pairs (rank of the core, whole) repeat as one; the first stays and
-  all windows of the others are removed.
-* Firsts whose core still carries several wholes are split into smaller groups at fixed
-  offsets from the anchor, whose cores are longer, and ranked again by the pair (rank so
-  far, longer core).
+* A group whose rank is its own is done: none of its windows repeats.
+* Groups of one rank and one whole repeat as one; the first stays and all windows of the
+  others are removed.
+* Firsts of a rank that holds several wholes are split into smaller groups at fixed
+  offsets from the anchor, whose cores are twice as long, and ranked again.
 
 The rounds end past the threshold, where a group is one window and its core all of its
-bytes.  A rank is named by 64 bits of content and the pair by 128.  Each round is a
-partial aggregation and joins that Spark splits under skew, and ends in written tables.
+bytes.  Strings enter a sort by 64 bits of content, and groups are equal by 128.
 """
 
 from __future__ import annotations
@@ -29,12 +29,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytespan import BASE_A, BASE_B, Rolling, U, byte_symbols, mix, pieces, text_bytes
-from .grouping import lists_by_document
-from .scratch import Scratch
+from .grouping import lists_by_document, same_group, starts as group_starts
+from ..scratch import Scratch
 
 #: Bytes of text that are anchored at once; longer texts are cut in overlapping blocks.
 BLOCK = 1 << 20
@@ -141,33 +142,86 @@ def covered(starts: np.ndarray, ends: np.ndarray, row: np.ndarray, at: np.ndarra
     return np.cumsum(d[:n]) > 0
 
 
-#: Windows of a group in the rounds after the first; the last is a single window.
-GROUPS = (27, 9, 1)
+def group_sizes(length: int, q: int) -> list[int]:
+    """Windows of a group in the rounds after the first: cores double from q bytes to a whole window."""
+    cores = []
+    while not cores or cores[-1] < length:
+        cores.append(min(length, 2 * (cores[-1] if cores else q)))
+    return [length - c + 1 for c in cores]
 
 
-def _settle(rows: DataFrame, s: Scratch, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Rank groups (h: core, t: whole, id, v, at, n, a).
+def _settle(rows: DataFrame, s: Scratch, kind: str, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Rank groups (r: rank so far, x: core, t: whole, id, v, at, n, a).
 
     Returns the groups that repeat an earlier one, and the firsts to be split further.
     """
-    pairs = s.table(rows.groupBy("h", "t").agg(F.min(F.struct("id", "at", "v", "n", "a")).alias("f"), F.count("*").alias("c")))
-    many = pairs.filter("c > 1").select("h", "t", F.col("f.id").alias("fid"), F.col("f.at").alias("fat"))
-    later = rows.join(many, ["h", "t"]).filter(~(F.col("id").eqNullSafe(F.col("fid")) & (F.col("at") == F.col("fat"))))
+    pairs = s.table(rows.groupBy("r", "x", "t").agg(F.min(F.struct("id", "at", "v", "n", "a")).alias("f"), F.count("*").alias("c")))
+    many = pairs.filter("c > 1").select("r", "x", "t", F.col("f.id").alias("fid"), F.col("f.at").alias("fat"))
+    later = rows.join(many, ["r", "x", "t"]).filter(~(F.col("id").eqNullSafe(F.col("fid")) & (F.col("at") == F.col("fat"))))
     later = s.table(later.select("id", "v", "at", "n"))
-    firsts = None
-    if not last:
-        # written, so that the join deals both sides itself and can split a hot rank
-        mixed = s.table(pairs.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"))
-        firsts = s.table(pairs.join(mixed, "h", "left_semi").select("f.*", "h"))
-        s.drop(mixed)
+    firsts = None if last else _ranked(pairs.select("r", "x", "t", "f.*"), s, kind)
     s.drop(pairs)
     return later, firsts
 
 
+_KEPT = ("id", "v", "at", "n", "a")
+
+
+def _ranked(pairs: DataFrame, s: Scratch, kind: str) -> DataFrame:
+    """(id, v, at, n, a, r): the pairs (r, x) in sorted order with their dense ranks, where a rank holds several wholes.
+
+    The sort's ranges may cut a rank with very many wholes, so no range is one rank's; ranks count
+    within a range, and the driver adds up one row a range.
+    """
+    key = ("r", "x")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, number, held = TaskContext.get().partitionId(), None, 0, None
+
+        def out(b: pa.RecordBatch, rank: np.ndarray, twin: np.ndarray, end: bool) -> pa.RecordBatch:
+            pick = pa.array(np.flatnonzero(twin | (rank == 1) | (end & (rank == rank[-1]))))
+            cols = [b.column(c).take(pick) for c in (*key, *_KEPT)]
+            own = [pa.array(x).take(pick) for x in (np.full(b.num_rows, part, np.int32), rank, twin)]
+            return pa.RecordBatch.from_arrays([*cols, *own], [*key, *_KEPT, "part", "k", "twin"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = group_starts(b, key)
+            new[0] = before is None or not same_group(before, before.num_rows - 1, b, 0, key)
+            if held is not None:  # the batch before is known once this one's first row is
+                if not new[0]:
+                    held[1][-1] = True
+                yield out(before, held[0], held[1], False)
+            rank = number + np.cumsum(new)
+            twin = ~new
+            twin[:-1] |= ~new[1:]
+            number, before, held = int(rank[-1]), b, (rank, twin)
+        if held is not None:
+            yield out(before, held[0], held[1], True)
+
+    ordered = pairs.select(*key, "t", *_KEPT).repartitionByRange("r", "x", "t").sortWithinPartitions("r", "x", "t").drop("t")
+    table = s.table(ordered.mapInArrow(scan, f"r long, x long, id {kind}, v long, at int, n int, a int, part int, k long, twin boolean"))
+    pair = F.struct("r", "x")
+    ends = table.groupBy("part").agg(F.min_by(pair, "k").alias("low"), F.max_by(pair, "k").alias("high"), F.max("k").alias("count")).orderBy("part").collect()
+    offsets, total, last = [], 0, None
+    for e in ends:  # (range, its offset, whether its first rank began before, whether its last goes on, its ranks)
+        joined = e.low == last
+        if joined:
+            offsets[-1][3] = True
+        offsets.append([e.part, total - joined, joined, False, e["count"]])
+        total, last = total - joined + e["count"], e.high
+    where = F.broadcast(pairs.sparkSession.createDataFrame(offsets, "part int, low long, joined boolean, goes_on boolean, ranks long"))  # a row a range
+    across = (F.col("joined") & (F.col("k") == 1)) | (F.col("goes_on") & (F.col("k") == F.col("ranks")))
+    out = s.table(table.join(where, "part").filter(F.col("twin") | across).select(*_KEPT, (F.col("low") + F.col("k")).alias("r")))
+    s.drop(table)
+    return out
+
+
 def _split(documents: DataFrame, firsts: DataFrame, kind: str, length: int, m: int) -> DataFrame:
-    """Groups of at most m windows of ``firsts``, with the ranks of their cores and wholes."""
+    """Groups of at most m windows of ``firsts``, with their rank so far, cores and wholes."""
     # the rank travels in two halves, so that all lists hold ints
-    halves = firsts.select("id", "v", "at", "n", "a", F.shiftright("h", 32).cast("int").alias("h1"), F.expr("int(shiftright(shiftleft(h, 32), 32))").alias("h0"))
+    halves = firsts.select("id", "v", "at", "n", "a", F.shiftright("r", 32).cast("int").alias("h1"), F.expr("int(shiftright(shiftleft(r, 32), 32))").alias("h0"))
     mine = lists_by_document(halves, ("at", "n", "a", "h1", "h0"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,12 +247,12 @@ def _split(documents: DataFrame, firsts: DataFrame, kind: str, length: int, m: i
                 anchor = a[src] + st[row[src]] - lo
                 core = near.spans(anchor - k * m, anchor - k * m - m + 1 + length)
                 whole = far.spans(anchor - i1, anchor - i0 + length)
-                rank = mix(core + mix(h[src].view(np.uint64) + k.astype(np.uint64) * U(BASE_B)))
+                core = mix(core + mix(k.astype(np.uint64) * U(BASE_B)))
                 pair = mix(whole + mix((i1 * 4096 + i1 - i0).astype(np.uint64)))
                 place = a[src]
-                yield _taken(b, row[src], ["h", "t", "at", "n", "a"], _long(rank), _long(pair), *(pa.array(x.astype(np.int32)) for x in (place - i1, i1 - i0 + 1, place)))
+                yield _taken(b, row[src], ["r", "x", "t", "at", "n", "a"], pa.array(h[src]), _long(core), _long(pair), *(pa.array(x.astype(np.int32)) for x in (place - i1, i1 - i0 + 1, place)))
 
-    return with_spans(documents, mine, "inner").mapInArrow(scan, f"id {kind}, v long, h long, t long, at int, n int, a int")
+    return with_spans(documents, mine, "inner").mapInArrow(scan, f"id {kind}, v long, r long, x long, t long, at int, n int, a int")
 
 
 def repeated_windows(documents: DataFrame, s: Scratch, length: int = 100, q: int = 20) -> DataFrame:
@@ -221,14 +275,14 @@ def repeated_windows(documents: DataFrame, s: Scratch, length: int = 100, q: int
 
     live = documents.mapInArrow(scan, f"id {kind}, v long, h long, t long, p long").join(shared, "h", "left_semi")
     at = F.shiftright("p", 16)
-    live = s.table(live.select("id", "v", "h", "t", at.cast("int").alias("at"), F.expr("int(shiftright(p, 8) & 255)").alias("n"), (at + F.expr("p & 255")).cast("int").alias("a")))
+    live = s.table(live.select("id", "v", F.lit(0).cast("long").alias("r"), F.col("h").alias("x"), "t", at.cast("int").alias("at"), F.expr("int(shiftright(p, 8) & 255)").alias("n"), (at + F.expr("p & 255")).cast("int").alias("a")))
     s.drop(shared)
-    out, firsts = _settle(live, s, last=False)
+    out, firsts = _settle(live, s, kind, last=False)
     s.drop(live)
-    for m in GROUPS:
+    for m in group_sizes(length, q):
         rows = s.table(_split(documents, firsts, kind, length, m))
         s.drop(firsts)
-        later, firsts = _settle(rows, s, last=m == 1)
+        later, firsts = _settle(rows, s, kind, last=m == 1)
         s.drop(rows)
         out = out.unionByName(later)
     return out

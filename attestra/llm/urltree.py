@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from ..scratch import Scratch
 
 #: (verdict, host, path) of the explicit rules.
 RULES = (

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .scratch import Scratch
+from ..scratch import Scratch
 
 END = b"\r\n\r\n"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
@@ -49,9 +49,15 @@ def dechunked(body: bytes) -> bytes:
         eol = body.find(b"\r\n", at)
         if eol < 0:
             raise ValueError("chunk size is cut off")
-        size = int(body[at:eol].split(b";")[0], 16)
+        digits = body[at:eol].split(b";")[0].strip()
+        if not digits or digits.strip(b"0123456789abcdefABCDEF"):
+            raise ValueError("chunk size is no number")
+        size = int(digits, 16)
         at = eol + 2
         if not size:
+            # trailer fields may follow, then an empty line ends the body
+            if body[at : at + 2] != b"\r\n" and not body[at:].endswith(END):
+                raise ValueError("last chunk is cut off")
             return b"".join(out)
         if body[at + size : at + size + 2] != b"\r\n":
             raise ValueError("chunk is cut off")
@@ -110,9 +116,11 @@ def write_archives(
     s = Scratch(pages.sparkSession, "revisits")
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
-    same = rows.filter(F.col("size") >= least_revisit).groupBy("digest", "size").agg(F.max("page_id").alias("keeper"), F.count("*").alias("c"))
+    # SHA-1 has known collisions of equal size, so SHA-256 goes into the key as well
+    rows = rows.withColumn("strong", F.when(F.col("size") >= least_revisit, F.sha2("payload", 256)))
+    same = rows.filter(F.col("size") >= least_revisit).groupBy("digest", "size", "strong").agg(F.max("page_id").alias("keeper"), F.count("*").alias("c"))
     same = s.table(same.filter("c > 1").drop("c"))  # written, so that the join can split a payload that very many pages share
-    ready = rows.join(same, ["digest", "size"], "left").withColumn("refers", F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")))
+    ready = rows.join(same, ["digest", "size", "strong"], "left").withColumn("refers", F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")))
     ready = ready.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "payload", "digest", "refers")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

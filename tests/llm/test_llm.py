@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from attestra.llm import bytespan, decontaminate, fixedblocks, mixing, quality, rules, simhash, suffix, toxicity, urltree, warc
-from attestra.llm.components import connected_components
-from attestra.llm.scratch import Scratch
+from attestra.components import connected_components
+from attestra.scratch import Scratch
 
 from . import brute
 
@@ -70,6 +70,34 @@ def test_repeated_ids_with_other_texts(spark):
     assert got[:3] == [(1, 0)] * 3 and got[3][1] == len(a + b)
 
 
+def thue_morse(n, a, b):
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+def test_words_that_a_power_sum_cannot_tell_apart(spark):
+    rest = " ".join(f"w{i}" for i in range(19))
+    for n in (64, 255, 256, 257, 1024, 4096):
+        rows = [(1, thue_morse(n, "a", "b") + " " + rest), (2, thue_morse(n, "b", "a") + " " + rest)]
+        got = table(fixedblocks.remove_repeated_passages(spark.createDataFrame(rows, SCHEMA)))
+        assert got == brute.passages(rows) and got[2][1] == 0
+    rows = [(i, thue_morse(4096, *x)) for i, x in enumerate(("ab", "ba"))]
+    assert table(suffix.remove_repeats(spark.createDataFrame(rows, SCHEMA))) == brute.strings(rows)
+
+
+def test_one_rank_over_many_ranges(spark):
+    rng = np.random.default_rng(4)
+    noise = lambda m: "".join(rng.choice(list("abcdefghijklmnop"), m))
+    common = noise(34)
+    rows = [(i, noise(90) + common + noise(90)) for i in range(300)]
+    rows += [(300 + i, rows[7 * i][1][20:150] + noise(60)) for i in range(20)] + [(400, rows[3][1] + rows[4][1])]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert table(suffix.remove_repeats(df)) == brute.strings(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_simhash(spark, docs):
     rows, df = docs
     fps = [brute.fingerprint(t) for _, t in rows]
@@ -89,11 +117,12 @@ def test_link_edges_of_dense_and_sparse_fingerprints(spark):
                 f ^= 1 << int(bit)
             fps.add(f)
     fps = sorted(fps)
-    edges = simhash.link_edges(spark.createDataFrame([(f,) for f in fps], "fp long"))
-    assert all((r.a ^ r.b).bit_count() <= 4 for r in edges.collect())
-    roots = {r.node: r.root for r in connected_components(edges, Scratch(spark, "test")).collect()}
     want = brute.components(fps, 4)
-    assert [roots.get(f, f) for f in fps] == [fps[r] for r in want]
+    for long_posting in (1 << 14, 40, 2):  # all in one task, and long postings posted again
+        edges = simhash.link_edges(spark.createDataFrame([(f,) for f in fps], "fp long"), Scratch(spark, "test"), long_posting=long_posting)
+        assert all((r.a ^ r.b).bit_count() <= 4 for r in edges.collect())
+        roots = {r.node: r.root for r in connected_components(edges, Scratch(spark, "test")).collect()}
+        assert [roots.get(f, f) for f in fps] == [fps[r] for r in want]
 
 
 @pytest.mark.parametrize("limit", [4 << 20, 0])
@@ -182,16 +211,43 @@ def test_rule_statistics_and_list(spark, known):
 
 def test_mixing(spark):
     rows = [(i, "w " * (1 + i % 7), "a" if i % 3 else "b", "en" if i % 2 else None) for i in range(3000)] + [(9000, None, "a", "en"), (9001, "w", None, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("w", F.lit(1))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("w", F.lit(1)).withColumn("_s", F.lit("kept")).withColumn("N_tokens", F.lit(5))
     out = mixing.mix(df, targets={"source": {"a": 0.5, "b": 0.5, "": 0.0}}, budget=0.3)
-    got = out.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()
+    got = out.groupBy("source").agg(F.sum("n_tokens_").alias("n")).collect()
     n = {r.source: r.n for r in got}
     assert abs(n["a"] / (n["a"] + n["b"]) - 0.5) < 0.06 and 9000 not in {r.doc_id for r in out.select("doc_id").collect()}
-    wide = mixing.mix(df, budget=0.3, max_cells=1)
-    assert {r.doc_id for r in wide.collect()} == {r.doc_id for r in mixing.mix(df, budget=0.3).collect()}
+    assert {(r._s, r.N_tokens) for r in out.select("_s", "N_tokens").collect()} == {("kept", 5)}
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mixing_is_calibrated(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, "w " * int(rng.integers(1, 60)) + str(rng.choice(["", "", "", "", "@", "!"])), str(rng.choice(list("aaaaabbc"))), str(rng.choice(["en", "en", "de"]))) for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    cells = {}
+    for r in mixing.mixing_report(df, budget=0.5).collect():
+        cells.setdefault(r.axis, {})[r.value] = (r.tokens, r.kept, r.share)
+    for axis, values in cells.items():
+        total = sum(t for t, _, _ in values.values())
+        root = {v: (t / total) ** 0.5 for v, (t, _, _) in values.items()}
+        wanted = {v: x / sum(root.values()) for v, x in root.items()}
+        assert abs(sum(k for _, k, _ in values.values()) / total - 0.5) < 1e-9
+        # a value is at its target, or at all of its tokens
+        scale = [k / (wanted[v] * total / 2) for v, (t, k, _) in values.items() if k < t * (1 - 1e-9)]
+        assert scale and max(scale) - min(scale) < 1e-6 and min(scale) >= 1 - 1e-9
+        assert all(k <= t * (1 + 1e-9) for t, k, _ in values.values())
+    out = mixing.mix(df, budget=0.5)
+    assert abs(out.agg(F.sum("n_tokens")).first()[0] / sum(len(r[1].split()) for r in rows) - 0.5) < 0.02
+
+
+def test_mixing_on_the_driver_and_by_tables(spark):
+    rows = [(i, "w " * (1 + i % 7) + "@" * (i % 5 == 0), "abc"[i % 3 * (i % 4 > 0)], "en" if i % 2 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    some = {"targets": {"lang": {"en": 0.7, "": 0.3}}, "budget": 0.6}
+    both = [sorted((r.doc_id, r.mix_probability, round(r.mix_weight, 9)) for r in mixing.mix(df, max_cells=m, **some).collect()) for m in (1, 50_000)]
+    assert both[0] == both[1] and len(both[0]) > 100
+
+
 def test_warc_round_trip(spark):
     big = "<p>ä</p>" * 9000
     pages = [(1, "http://a/", big), (2, "http://b/\r\n", big), (3, None, None), (4, "c", "x" * 999), (5, "d", "x" * 999), (6, "e", "y" * 1000), (7, "f", "y" * 1000), (7, "f", "y" * 1000), (8, "g", "WARC/1.1\r\n\r\n\r\n\r\n0\r\n\r\n")]
@@ -214,8 +270,10 @@ def test_warc_payloads_and_faults(spark):
     broken = lines.select(F.regexp_replace("value", "WARC-Segment-Number: 3", "WARC-Segment-Number: 9"))
     broken.write.option("compression", "gzip").text(f"{s.root}/b")
     assert warc.read_archives(spark, f"{s.root}/b").first().status == "missing_segment"
-    with pytest.raises(ValueError):
-        warc.dechunked(b"5\r\nabc")
+    for broken in (b"5\r\nabc", b"-1\r\nabc\r\n0\r\n\r\n", b"\r\nabc", b"3\r\nabc\r\n0\r\n", b"3\r\nabc\r\n0\r\nx"):
+        with pytest.raises(ValueError):
+            warc.dechunked(broken)
+    assert warc.dechunked(b"3;x=1\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
 
 
 def test_urls(spark):
