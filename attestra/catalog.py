@@ -2,40 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .operators import arithmetic, attribution, consensus, controls, decisions, dimensions, entities, evaluate, graph, labels, pages, query, reports, review, sampling, search, validation
 from .plans.semantic import Dataset, Join, Metric, compile_plan
 from .sources.driver_tables import Driver, twin
+from .registry import QUERIES, SQL, edge, register  # noqa: F401
 from .streaming import journal
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def edge(df: DataFrame) -> DataFrame:
-    """Decimals leave as doubles, dates as text, so that both engines return one type."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        out.append(c.cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else c.cast("string").alias(f.name) if isinstance(f.dataType, T.DateType) else c)
-    return df.select(*out)
-
-
-def register(name: str, sql: str | None = None):
-    def wrap(f: Callable[[Driver], DataFrame]):
-        QUERIES[name] = lambda spark, folder: edge(f(Driver(spark, folder)))
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return wrap
-
-
 # ---- semantic layer -------------------------------------------------------------------
 
 SALES = Dataset(
@@ -348,7 +323,7 @@ _KEYED = "SELECT document_id, row_index, field, vendor, value, handwritten, coal
 
 
 def _consensus(d: Driver) -> DataFrame:
-    return consensus.field_consensus(d.readings(), F.col("field") == "extended_amount")
+    return consensus.field_consensus(d.readings())
 
 
 _CONSENSUS = f"""k AS ({_KEYED}), c AS (SELECT document_id, row_index, field, k, count(DISTINCT vendor) AS n, bool_or(handwritten) AS hw FROM k GROUP BY ALL),
@@ -367,12 +342,11 @@ def _(d):
     return consensus.document_rollup(_consensus(d))
 
 
-@register("vendor_vote", twin(f"""WITH k AS ({_KEYED}), c AS (SELECT document_id, row_index, field, k, count(DISTINCT vendor) AS n FROM k GROUP BY ALL), b AS (SELECT *, max(n) OVER (PARTITION BY document_id, row_index, field) AS best FROM c),
+@register("vendor_vote", twin(f"""WITH {_CONSENSUS}, b AS (SELECT *, max(n) OVER (PARTITION BY document_id, row_index, field) AS best FROM c),
 l AS (SELECT document_id, row_index, field, count(*) AS leaders, max(best) AS agreeing FROM b WHERE n = best GROUP BY ALL)
-SELECT field, agreeing, CASE WHEN leaders > 1 THEN 'vendors_tied' WHEN agreeing < 2 THEN 'below_minimum_vendor_agreement' END AS reason, count(*) AS cells FROM l GROUP BY ALL""", "readings"))
+SELECT field, agreeing, CASE WHEN leaders > 1 THEN 'vendors_tied' WHEN agreeing < 2 THEN 'below_minimum_vendor_agreement' END AS reason, count(*) AS cells FROM l JOIN h USING (document_id, row_index, field) WHERE NOT accepted GROUP BY ALL""", "readings"))
 def _(d):
-    r = d.readings()
-    return consensus.vendor_vote(r.select(*consensus.CELL).distinct(), r).groupBy("field", "agreeing", "reason").agg(F.count("*").alias("cells"))
+    return consensus.vendor_vote(_consensus(d)).groupBy("field", "agreeing", "reason").agg(F.count("*").alias("cells"))
 
 
 @register("classification_consensus", twin("""WITH v AS (SELECT document_id, vendor, lower(value) AS type FROM readings WHERE field = 'flag' AND row_index = 1), p AS (SELECT document_id, type, count(DISTINCT vendor) AS n FROM v GROUP BY ALL HAVING count(DISTINCT vendor) >= 2),
@@ -408,11 +382,11 @@ def _(d):
     return consensus.corroboration(cells, docs.select(F.col("doc_id").alias("document_id"), "text"))
 
 
-@register("tolerance_clusters", twin("""WITH v AS (SELECT document_id, row_index, list_sort(list(TRY_CAST(value AS DOUBLE))) AS v FROM readings WHERE field = 'extended_amount' AND row_index = 1 GROUP BY 1, 2)
+@register("tolerance_clusters", twin("""WITH v AS (SELECT document_id, row_index, list_sort(list(TRY_CAST(value AS DOUBLE))) AS v FROM readings WHERE field = 'extended_amount' GROUP BY 1, 2)
 SELECT 1 + CASE WHEN len(v) > 1 AND v[2] - v[1] > 10.000000000001 THEN 1 ELSE 0 END + CASE WHEN len(v) > 2 AND v[3] - (CASE WHEN v[2] - v[1] > 10.000000000001 THEN v[2] ELSE v[1] END) > 10.000000000001 THEN 1 ELSE 0 END AS clusters,
  coalesce(len(v) > 2 AND v[2] - v[1] <= 10.000000000001 AND v[3] - v[1] > 10.000000000001 AND v[3] - v[2] <= 10.000000000001, false) AS ambiguous, count(*) AS cells FROM v GROUP BY 1, 2""", "readings"))
 def _(d):
-    return consensus.tolerance_clusters(d.readings().filter("field = 'extended_amount' and row_index = 1"), 10.0).groupBy("clusters", "ambiguous").agg(F.count("*").alias("cells"))
+    return consensus.tolerance_clusters(d.readings().filter("field = 'extended_amount'"), 10.0).groupBy("clusters", "ambiguous").agg(F.count("*").alias("cells"))
 
 
 @register("tolerance_clusters_all", SQL["tolerance_clusters"].replace(" AND row_index = 1", ""))
@@ -486,7 +460,7 @@ def _master(d: Driver) -> DataFrame:
 
 
 @register("attribution_ranks", f"""WITH d AS (SELECT o_orderkey AS document_id, CASE WHEN o_orderkey % 6 = 0 THEN 'J' || o_orderkey END AS printed, CASE WHEN o_orderkey % 5 = 0 THEN 'PO' || (o_orderkey % 3000) END AS po, o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, o_totalprice AS amount FROM orders), m AS ({_MASTER}),
-p AS (SELECT po, arg_max(job, ordinal) AS job FROM m GROUP BY 1), f AS (SELECT document_id, count(DISTINCT job) AS k, min(job) AS job FROM d JOIN m USING (customer) WHERE abs(date_diff('day', d.day, m.day)) <= 45 AND abs(d.amount - m.amount) <= abs(m.amount) * 0.02 GROUP BY 1)
+p AS (SELECT po, arg_max(job, ordinal) AS job FROM m GROUP BY 1), f AS (SELECT document_id, count(*) AS k, min(job) AS job FROM d JOIN m USING (customer) WHERE abs(date_diff('day', d.day, m.day)) <= 45 AND abs(d.amount - m.amount) <= abs(m.amount) * 0.02 GROUP BY 1)
 SELECT d.document_id, CASE WHEN printed IS NOT NULL THEN 1 WHEN p.job IS NOT NULL THEN 3 WHEN f.k = 1 THEN 6 END AS rank, CASE WHEN printed IS NOT NULL THEN printed WHEN p.job IS NOT NULL THEN p.job WHEN f.k = 1 THEN f.job END AS job,
 CASE WHEN printed IS NOT NULL THEN 'printed_key' WHEN p.job IS NOT NULL THEN 'po_cross_reference' WHEN f.k = 1 THEN 'fuzzy' ELSE 'unresolved' END AS method FROM d LEFT JOIN p USING (po) LEFT JOIN f ON f.document_id = d.document_id""")
 def _(d):
@@ -496,14 +470,17 @@ def _(d):
     return attribution.ranked(docs, [(1, one), (3, attribution.cross_reference(docs, master)), (6, attribution.fuzzy(docs, master))]).select("document_id", "rank", "job", "method")
 
 
-@register("attribution_inherited", """WITH d AS (SELECT o_orderkey AS document_id, o_custkey % 400 AS ship, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS inv FROM orders), r AS (SELECT document_id, 'J' || document_id AS job FROM d WHERE document_id % 40 = 0),
-x AS (SELECT document_id, 0 AS kind, ship AS ref FROM d UNION ALL SELECT document_id, 1, inv FROM d WHERE inv IS NOT NULL), o AS (SELECT kind, ref, min(document_id) AS donor FROM x JOIN r USING (document_id) GROUP BY 1, 2),
-h AS (SELECT x.document_id, arg_min(donor, (kind, donor)) AS donor FROM x JOIN o USING (kind, ref) WHERE x.document_id % 40 <> 0 GROUP BY 1) SELECT document_id, 'J' || donor AS job, donor FROM h""")
+@register("attribution_inherited", """WITH d AS (SELECT o_orderkey AS document_id, CAST(o_custkey % 400 AS VARCHAR) AS ship, CASE WHEN o_orderkey % 3 = 0 THEN 'N' || (o_orderkey % 700) END AS inv, CASE WHEN o_orderkey % 2 = 0 THEN 'N' || (o_orderkey % 900) END AS orig FROM orders),
+r AS (SELECT document_id, CASE WHEN document_id % 80 = 0 THEN 6 ELSE 1 END AS rank, 'J' || document_id AS job FROM d WHERE document_id % 40 = 0), g AS (SELECT * FROM r WHERE rank < 6),
+s AS (SELECT ship, min(document_id) AS donor FROM d JOIN g USING (document_id) GROUP BY 1), l AS (SELECT inv, max(document_id) AS donor FROM d WHERE inv IS NOT NULL GROUP BY 1), o AS (SELECT * FROM d WHERE document_id NOT IN (SELECT document_id FROM r)),
+f AS (SELECT o.document_id, 4 AS rank, 0 AS kind, donor FROM o JOIN s USING (ship) UNION ALL SELECT o.document_id, 5, 0, donor FROM o JOIN l USING (inv) WHERE donor <> o.document_id AND donor IN (SELECT document_id FROM g)
+ UNION ALL SELECT o.document_id, 5, 1, donor FROM o JOIN l ON o.orig = l.inv WHERE donor <> o.document_id AND donor IN (SELECT document_id FROM g)),
+b AS (SELECT document_id, arg_min(rank, (rank, kind, donor)) AS rank, arg_min(donor, (rank, kind, donor)) AS donor FROM f GROUP BY 1) SELECT document_id, rank, 'J' || donor AS job, donor FROM b""")
 def _(d):
     k = F.col("o_orderkey")
-    docs = d.raw("orders").select(k.alias("document_id"), (F.col("o_custkey") % 400).alias("ship"), F.when(k % 3 == 0, F.col("o_custkey")).alias("inv"))
-    done = docs.filter("document_id % 40 = 0").select("document_id", F.concat(F.lit("J"), "document_id").alias("job"))
-    return attribution.inherit(docs, done, ["ship", "inv"])
+    docs = d.raw("orders").select(k.alias("document_id"), k.alias("ordinal"), (F.col("o_custkey") % 400).alias("ship"), F.when(k % 3 == 0, F.concat(F.lit("N"), k % 700)).alias("inv"), F.when(k % 2 == 0, F.concat(F.lit("N"), k % 900)).alias("orig"))
+    done = docs.filter("document_id % 40 = 0").select("document_id", F.when(F.col("document_id") % 80 == 0, 6).otherwise(1).alias("rank"), F.concat(F.lit("J"), "document_id").alias("job"))
+    return attribution.inherit(docs, done, ["ship"], ["inv", "orig"], "inv")
 
 
 @register("shared_key_fill", """WITH x AS (SELECT p_partkey, p_brand AS maker, p_size AS key, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS party FROM part), o AS (SELECT maker, key, min(party) AS filled FROM x WHERE party IS NOT NULL GROUP BY ALL HAVING count(DISTINCT party) = 1) SELECT p_partkey, filled FROM x JOIN o USING (maker, key) WHERE party IS NULL""")
@@ -632,7 +609,7 @@ def _(d):
     return graph.shortest_path(_edges(d), "C1", "P5").withColumn("step", F.col("step").cast("int"))
 
 
-@register("graph_path_length", f"""WITH RECURSIVE e AS ({_EDGES}), b AS (SELECT f AS a, t AS z FROM e UNION SELECT t, f FROM e), r AS (SELECT 'C1' AS n, 0 AS s UNION SELECT z, s + 1 FROM r JOIN b ON n = a WHERE s < 4) SELECT CAST(min(s) AS BIGINT) AS edges FROM r WHERE n = 'P5' HAVING min(s) IS NOT NULL""")
+@register("graph_path_length", f"""WITH RECURSIVE e AS ({_EDGES}), b AS (SELECT f AS a, t AS z FROM e UNION SELECT t, f FROM e), r AS (SELECT 'C1' AS n, 0 AS s UNION SELECT z, s + 1 FROM r JOIN b ON n = a WHERE s < 12) SELECT CAST(min(s) AS BIGINT) AS edges FROM r WHERE n = 'P5' HAVING min(s) IS NOT NULL""")
 def _(d):
     return graph.shortest_path(_edges(d), "C1", "P5").agg(F.max("step").cast("long").alias("edges")).filter("edges is not null")
 
@@ -654,9 +631,9 @@ def _(d):
     return graph.candidates(None, d.raw("supplier").select(F.col("s_suppkey").alias("from_id"), F.col("s_nationkey").alias("to_id"), F.lit("in").alias("edge_type")), "in")
 
 
-@register("graph_contradictions", "SELECT CAST(l_partkey AS VARCHAR) AS subject, 'flag' AS property, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS \"values\" FROM lineitem WHERE l_quantity > 45 GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
+@register("graph_contradictions", "SELECT CAST(l_partkey AS VARCHAR) AS subject, 'flag' AS property, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS \"values\" FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
 def _(d):
-    c = d.raw("lineitem").filter("l_quantity > 45").select(F.col("l_partkey").cast("string").alias("subject"), F.lit("flag").alias("property"), F.col("l_returnflag").alias("value"))
+    c = d.raw("lineitem").select(F.col("l_partkey").cast("string").alias("subject"), F.lit("flag").alias("property"), F.col("l_returnflag").alias("value"))
     return graph.contradictions(c).withColumn("values", F.array_join("values", ","))
 
 
@@ -880,3 +857,6 @@ def _(d):
 def _(d):
     p = d.raw("documents").select(F.col("doc_id").alias("page_id"), F.array_remove(F.split("text", r"[\s.,]+"), "").alias("words"), F.col("lang").alias("label"))
     return dimensions.nearest(p, p, 5, 0.05)
+
+
+from . import catalog_documents  # noqa: E402,F401  registers the rest

@@ -23,28 +23,91 @@ def cross_reference(docs: DataFrame, master: DataFrame) -> DataFrame:
     return docs.join(last, "po_number").select("document_id", "job")
 
 
+def _near(docs: DataFrame, master: DataFrame, days: int, share: float) -> DataFrame:
+    """(document_id, k, job, jobs): how many rows of the master fit a document, of which jobs (ten of them)."""
+    who = F.lower(F.trim(F.col("customer").cast("string")))
+    m = master.filter("day is not null and amount <> 0").select(who.alias("who"), "job", F.col("day").alias("m_day"), F.abs("amount").alias("m_amount"))
+    mine = docs.filter("day is not null and amount > 0").select("document_id", "day", "amount", who.alias("who"))
+    near = (F.abs(F.datediff("day", "m_day")) <= days) & (F.abs(F.col("m_amount") - F.col("amount")) <= F.col("m_amount") * share)
+    hit = mine.join(m, "who").filter(near)
+    return hit.groupBy("document_id").agg(F.count(F.lit(1)).alias("k"), F.min("job").alias("job"), F.slice(F.sort_array(F.collect_set("job")), 1, 10).alias("jobs"))
+
+
 def fuzzy(docs: DataFrame, master: DataFrame, days: int = DAYS, share: float = SHARE) -> DataFrame:
-    """(document_id, job): same customer, dates within ``days``, amounts within ``share``; only a unique match counts.
+    """(document_id, job): same customer, dates within ``days``, amounts within ``share``; only a unique candidate counts.
+
+    Candidates are rows of the master, so two rows of one job are two.  The customer is
+    the join key, without case; date and amount bound the matches inside it.  A document without a
+    positive amount and a reference without an amount match nothing.
+    """
+    return _near(docs, master, days, share).filter("k = 1").select("document_id", "job")
+
+
+def fuzzy_ambiguous(docs: DataFrame, master: DataFrame, days: int = DAYS, share: float = SHARE) -> DataFrame:
+    """(document_id, candidates, jobs) of documents that several rows of the master fit: work for a person."""
+    return _near(docs, master, days, share).filter("k > 1").select("document_id", F.col("k").alias("candidates"), "jobs")
+
+
+WEAKEST_DONOR = 5
+
+
+def inherit(docs: DataFrame, resolved: DataFrame, shipment: list[str], invoice: list[str], number: str = "invoice_number", order: str = "ordinal") -> DataFrame:
+    """(document_id, rank, job, donor) of open documents that share a reference with a resolved one.
+
+    Rank 4 goes by shipment references, in their order, to the first document in ``order`` with that
+    reference and a job; rank 5 by invoice references to the last document of that
+    number, whatever it is.  ``resolved`` (document_id, rank, job) of rank 6 and weaker never
+    gives a job on, and no document gives one to itself.
+    """
+    good = resolved.filter(F.col("job").isNotNull() & (F.col("rank") <= WEAKEST_DONOR)).select("document_id", "job")
+    open_ = docs.join(resolved.filter("job is not null").select("document_id"), "document_id", "left_anti")
+
+    def long(d: DataFrame, fields: list[str], *more: str) -> DataFrame:
+        refs = F.array(*(F.struct(F.lit(i).alias("kind"), F.trim(F.col(r).cast("string")).alias("ref")) for i, r in enumerate(fields)))
+        return d.select("document_id", *more, F.explode(refs).alias("x")).select("document_id", *more, "x.*").filter("ref <> ''")
+
+    # a reference keeps one donor, so a common one is one row; a kind of shipment reference meets the same kind of any document
+    given = long(docs.join(good, "document_id"), shipment, "job", order).groupBy("ref").agg(F.min(F.struct(order, "document_id", "job")).alias("d"))
+    four = long(open_, shipment).join(given, "ref").select("document_id", F.lit(4).alias("rank"), "kind", F.col("d.document_id").alias("donor"), F.col("d.job").alias("job"))
+    last = docs.filter(F.trim(F.col(number).cast("string")) != "").groupBy(F.trim(F.col(number).cast("string")).alias("ref")).agg(F.max_by("document_id", order).alias("donor"))
+    five = long(open_, invoice).join(last, "ref").filter("donor <> document_id").join(good.withColumnRenamed("document_id", "donor"), "donor").select("document_id", F.lit(5).alias("rank"), "kind", "donor", "job")
+    best = four.unionByName(five).groupBy("document_id").agg(F.min(F.struct("rank", "kind", "donor", "job")).alias("b"))
+    return best.select("document_id", "b.rank", "b.job", "b.donor")
+
+
+def credit_by_line(lines: DataFrame, keys: list[str], pattern: str, amounts: list[str]) -> DataFrame:
+    """(document_id, line, key_field, key, amount): each money line of a document credited to the key it prints.
 
-    The customer is the join key; date and amount bound the matches inside it.
+    A document gives credits only if it has a money line, and every money line prints a valid key.
     """
-    m = master.select("customer", F.col("job").alias("job"), F.col("day").alias("m_day"), F.col("amount").alias("m_amount"))
-    near = (F.abs(F.datediff("day", "m_day")) <= days) & (F.abs(F.col("amount") - F.col("m_amount")) <= F.abs(F.col("m_amount")) * share)
-    hit = docs.join(m, "customer").filter(near).groupBy("document_id").agg(F.countDistinct("job").alias("k"), F.min("job").alias("job"))
-    return hit.filter("k = 1").select("document_id", "job")
-
-
-def inherit(docs: DataFrame, resolved: DataFrame, references: list[str]) -> DataFrame:
-    """(document_id, job) from a resolved document that shares a reference; earlier reference kinds first, then the smallest donor."""
-    def long(d: DataFrame, *more: str) -> DataFrame:
-        refs = F.array(*(F.struct(F.lit(i).alias("kind"), F.col(r).cast("string").alias("ref")) for i, r in enumerate(references)))
-        return d.select("document_id", *more, F.explode(refs).alias("x")).select("document_id", *more, "x.*").filter("ref is not null and ref <> ''")
-
-    # a reference keeps its smallest donor, so a common reference is one row
-    donors = long(docs.join(resolved, "document_id"), "job").groupBy("kind", "ref").agg(F.min(F.struct("document_id", "job")).alias("d"))
-    open_ = long(docs.join(resolved, "document_id", "left_anti"))
-    hit = open_.join(donors, ["kind", "ref"]).groupBy("document_id").agg(F.min(F.struct("kind", F.col("d.document_id").alias("donor"), F.col("d.job").alias("job"))).alias("b"))
-    return hit.select("document_id", F.col("b.job").alias("job"), F.col("b.donor").alias("donor"))
+    amount = F.coalesce(*(F.col(a) for a in amounts))
+    clean = [F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in keys]
+    field = F.coalesce(*(F.when(c.isNotNull(), k) for k, c in zip(keys, clean)))
+    money = lines.withColumns({"amount": amount, "key": F.coalesce(*clean), "key_field": field}).filter("amount <> 0")
+    bad = money.groupBy("document_id").agg(F.bool_and(F.coalesce(F.col("key").rlike(pattern), F.lit(False))).alias("all_valid")).filter("all_valid")
+    return money.join(bad, "document_id", "left_semi").select("document_id", "line", "key_field", "key", F.round("amount", 2).alias("amount"))
+
+
+# Reasons that settle a document without a job.
+DISPOSITIONS = ("internal_transfer", "rebate", "rebilled_freight", "pre_system", "closed_job_credit", "overhead", "payment_record", "blank_page")
+LINE_CREDIT = "credited_by_line"
+
+
+def register(attributed: DataFrame, dispositions: DataFrame, credits: DataFrame | None = None, settled: tuple[str, ...] = DISPOSITIONS) -> DataFrame:
+    """Documents (document_id, amount, job) without a job, each with its reason and whether it is a failure."""
+    open_ = attributed.filter("job is null").join(dispositions.select("document_id", "reason_code"), "document_id", "left")
+    code = F.coalesce("reason_code", F.lit("unresolved"))
+    if credits is not None:
+        open_ = open_.join(credits.select("document_id").distinct().withColumn("credited", F.lit(True)), "document_id", "left")
+        code = F.when((code == "unresolved") & F.coalesce("credited", F.lit(False)), LINE_CREDIT).otherwise(code)
+    return open_.select("document_id", "amount", code.alias("reason_code"), (~code.isin(LINE_CREDIT, *settled)).alias("is_failure"))
+
+
+def gate(attributed: DataFrame, registered: DataFrame) -> DataFrame:
+    """One row: documents and value in all, attributed, disposed of and failed; the gate is open without a failure."""
+    a = attributed.agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("amount"), F.lit(0)).alias("total_value"), F.count("job").alias("attributed"), F.coalesce(F.sum(F.when(F.col("job").isNotNull(), F.col("amount"))), F.lit(0)).alias("attributed_value"))
+    r = registered.agg(F.sum(F.when(F.col("is_failure"), 1).otherwise(0)).alias("failures"), F.coalesce(F.sum(F.when(F.col("is_failure"), F.col("amount"))), F.lit(0)).alias("failure_value"), F.coalesce(F.sum(F.when(~F.col("is_failure"), F.col("amount"))), F.lit(0)).alias("disposed_value"))
+    return a.crossJoin(r).withColumn("gate", F.when(F.coalesce("failures", F.lit(0)) > 0, "closed").otherwise("open"))  # one row by one
 
 
 def ranked(docs: DataFrame, methods: list[tuple[int, DataFrame]]) -> DataFrame:

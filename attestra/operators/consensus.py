@@ -8,33 +8,142 @@ from pyspark.sql import functions as F
 CELL = ("document_id", "row_index", "field")
 
 
+# Names that make a field an identifier, and names that make it a number.
+IDENTIFIERS = ("account", "code", "identifier", "invoice_number", "number", "postal", "reference", "tracking", "zip")
+NUMBERS = ("amount", "total", "subtotal", "price", "qty", "quantity", "weight", "rate", "tax", "freight", "discount", "value", "duty", "count", "pieces")
+TOLERANCE = 0.005
+
+
+def field_kind(field: Column) -> Column:
+    """identifier, number or prose, by the field's name; an identifier is never compared as a number."""
+    low = F.lower(field)
+    return F.when(low.rlike("|".join(IDENTIFIERS)), "identifier").when(low.rlike("|".join(NUMBERS)), "number").otherwise("prose")
+
+
+def as_number(value: Column) -> Column:
+    """A reading as a number to four decimals, or null."""
+    return F.regexp_replace(value, r"[,$ ]", "").try_cast("double").try_cast("decimal(38,4)")
+
+
+def folded(value: Column) -> Column:
+    """A reading without case, outer blanks or runs of blanks."""
+    return F.trim(F.regexp_replace(F.lower(value), r"\s+", " "))
+
+
 def comparable(value: Column) -> Column:
-    """What makes two readings equal: a number to four decimals, else folded text without outer blanks."""
-    number = F.regexp_replace(value, r"[,$\s]", "").try_cast("decimal(38,4)")
-    return F.coalesce(number.cast("string"), F.lower(F.trim(value)))
+    """What makes two readings of no known field equal: a number to four decimals, else folded text."""
+    return F.coalesce(as_number(value).cast("string"), folded(value))
 
 
-def field_consensus(readings: DataFrame, numeric: Column, policy: str = "strict") -> DataFrame:
-    """One row a cell: value if accepted, flag, rule, agreeing readers.
+def agreement_key(kind: Column, value: Column) -> Column:
+    """What readings of a field share when they agree, but for numbers, which also agree within a tolerance."""
+    prose = F.regexp_replace(F.lower(value), "[^0-9a-z]+", "")
+    return F.when(kind == "number", F.coalesce(as_number(value).cast("string"), F.nullif(folded(value), F.lit("")))).when(kind == "identifier", folded(value)).otherwise(prose)
+
+
+def _reading_order(value: Column) -> Column:
+    """The order in which readings are clustered: as text, numbers by their shortest decimal form, nulls last."""
+    number = F.regexp_replace(as_number(value).cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    return F.coalesce(number, F.concat(F.lit('"'), F.nullif(folded(value), F.lit("")), F.lit('"')), F.lit("null"))
+
+
+def clusters(readings: DataFrame, tolerance: float = TOLERANCE, numeric: Column | None = None) -> DataFrame:
+    """(cell, kind, handwritten, readers, clusters, ambiguous): complete-linkage clusters of each cell's readings.
+
+    Clusters hold what they agree on, their readers and first value, largest first.  A reading joins
+    the one cluster all of whose members it agrees with; one that fits several stays alone
+    and makes the cell ambiguous.  A cell's readings are as many as its readers, so the
+    fold is over a short list, after a single shuffle.
+    """
+    kind = field_kind(F.col("field")) if numeric is None else F.when(numeric, "number").otherwise("prose")
+    number = F.when(kind == "number", as_number(F.col("value"))).cast("decimal(38,4)")
+    one = F.struct(_reading_order(F.col("value")).alias("o"), F.col("vendor").alias("vendor"), F.col("value").alias("value"), agreement_key(kind, F.col("value")).alias("key"), number.alias("x"))
+    cells = readings.groupBy(*CELL).agg(F.sort_array(F.collect_list(one)).alias("r"), F.max("handwritten").alias("handwritten"))
+    shape = "array<struct<n:int,o:string,value:string,key:string,lo:decimal(38,4),hi:decimal(38,4),vendors:array<string>>>"
+    start = F.struct(F.array().cast(shape).alias("c"), F.lit(False).alias("ambiguous"))
+
+    def fits(c: Column, r: Column) -> Column:
+        near = (F.abs(r["x"] - c["lo"]) <= F.lit(tolerance).cast("decimal(38,6)")) & (F.abs(r["x"] - c["hi"]) <= F.lit(tolerance).cast("decimal(38,6)"))
+        return F.coalesce(near, c["key"].eqNullSafe(r["key"]))
+
+    def step(s: Column, r: Column) -> Column:
+        k = F.size(F.filter(s["c"], lambda c: fits(c, r)))
+        own = F.struct(F.lit(1).alias("n"), r["o"].alias("o"), r["value"].alias("value"), r["key"].alias("key"), r["x"].alias("lo"), r["x"].alias("hi"), F.array(r["vendor"]).alias("vendors"))
+
+        def grown(c: Column) -> Column:
+            return F.struct((c["n"] + 1).alias("n"), c["o"].alias("o"), c["value"].alias("value"), c["key"].alias("key"), F.least(c["lo"], r["x"]).alias("lo"), F.greatest(c["hi"], r["x"]).alias("hi"), F.concat(c["vendors"], F.array(r["vendor"])).alias("vendors"))
+
+        joined = F.transform(s["c"], lambda c: F.when(fits(c, r), grown(c)).otherwise(c))
+        return F.struct(F.when(k == 1, joined).otherwise(F.concat(s["c"], F.array(own))).cast(shape).alias("c"), (s["ambiguous"] | (k > 1)).alias("ambiguous"))
+
+    found = cells.withColumn("f", F.aggregate("r", start, step))
+    ranked = F.transform(F.array_sort(F.transform("f.c", lambda c: F.struct((-c["n"]).alias("m"), c["o"].alias("o"), c.alias("c")))), lambda x: x["c"])
+    return found.select(*CELL, kind.alias("kind"), "handwritten", F.size("r").alias("readers"), ranked.alias("clusters"), F.col("f.ambiguous").alias("ambiguous"))
+
+
+def field_consensus(readings: DataFrame, numeric: Column | None = None, policy: str = "strict") -> DataFrame:
+    """One row a cell: value if accepted, flag, rule, agreeing readers, whether it is queued, and its clusters.
 
     Printed cells need two readers, handwritten numbers three, handwritten text most of
-    at least two; one reader never suffices; a tie has no value.
+    at least two; one reader never suffices; a tie or an ambiguous reading has no value.
+    What a field is goes by its name, or by ``numeric``, over the cell's columns, where that is given.
     """
-    r = readings.withColumn("key", comparable(F.col("value")))
-    by_key = r.groupBy(*CELL, "key").agg(F.countDistinct("vendor").alias("n"), F.min_by("value", "vendor").alias("text"), F.sort_array(F.collect_set("vendor")).alias("vendors"), F.max("handwritten").alias("hw"))
-    total = by_key.groupBy(*CELL).agg(F.sum("n").alias("readers"), F.max(F.struct("n", "key", "text", "vendors")).alias("top"), F.max("hw").alias("handwritten"), F.sort_array(F.collect_list("text")).alias("candidates"))
-    n, agree, hw = F.col("readers"), F.col("top.n"), F.col("handwritten")
-    needed = F.when(hw & numeric, 3).when(hw, F.greatest(F.lit(2), F.floor(n / 2) + 1)).when(n >= 2, 2).otherwise(1)
-    if policy == "comment_only":
-        needed = F.when(hw, 0).otherwise(needed)
-    majority = agree * 2 > n
-    accepted = (n > 1) & majority & (agree >= needed) & (n >= needed)
-    if policy == "comment_only":
-        accepted = accepted & ~hw
+    cells = clusters(readings, numeric=numeric).withColumn("top", F.col("clusters")[0])
+    n, agree, hw = F.col("readers"), F.col("top.n"), F.coalesce("handwritten", F.lit(False))
+    comment = hw & F.lit(policy == "comment_only")
+    numeric = F.col("kind") == "number"
+    needed = F.when(comment, 0).when(hw & numeric, 3).when(hw, F.greatest(F.lit(2), F.floor(n / 2).cast("int") + 1)).when(n >= 2, 2).otherwise(1)
+    majority = (agree * 2 > n) & ~F.col("ambiguous")
+    accepted = ~comment & (n > 1) & majority & (agree >= needed) & (n >= needed)
     flag = F.when(n == 1, "single_engine").when(~majority, "no_consensus").otherwise(F.concat(F.lit("consensus_"), agree, F.lit("of"), n))
     flag = F.when((n > 1) & majority & ~accepted & (needed > agree), F.concat(flag, F.lit("_below_required_"), needed)).otherwise(flag)
-    rule = F.when(hw & F.lit(policy == "comment_only"), "handwritten_comment_only").when(hw & numeric, "handwritten_numeric_3of3").when(hw, "handwritten_text_majority").otherwise("printed_majority")
-    return total.select(*CELL, F.when(accepted, F.col("top.text")).alias("value"), flag.alias("consensus_flag"), rule.alias("rule"), agree.alias("agree_count"), n.alias("engine_count"), accepted.alias("accepted"), F.when(~accepted, F.col("candidates")).alias("candidates"))
+    rule = F.when(comment, "handwritten_comment_only").when(hw & numeric, "handwritten_numeric_3of3").when(hw, "handwritten_text_majority").otherwise("printed_majority")
+    queued = ~comment & (~accepted | ((agree < n) & (n >= 2)))
+    candidates = F.transform("clusters", lambda c: c["value"])
+    return cells.select(*CELL, F.when(accepted, F.col("top.value")).alias("value"), flag.alias("consensus_flag"), rule.alias("rule"), agree.alias("agree_count"), n.alias("engine_count"), accepted.alias("accepted"), hw.alias("is_handwritten"), (~comment).alias("blocking"), queued.alias("queue_for_review"), F.when(~accepted, candidates).alias("candidates"), "clusters")
+
+
+def derive_ordinals(readings: DataFrame, fields: tuple[str, ...] = ("line_number",)) -> tuple[DataFrame, DataFrame]:
+    """(readings to vote on, cells whose value is the row's own position, with what each reader put there)."""
+    ordinal = F.col("field").isin(*fields) & F.col("row_index").isNotNull()
+    mine = readings.filter(ordinal).groupBy(*CELL).agg(F.count(F.lit(1)).cast("int").alias("engine_count"), F.sort_array(F.collect_list(F.struct("vendor", "value"))).alias("engine_readings"))
+    out = mine.select(*CELL, F.col("row_index").cast("string").alias("value"), F.lit("derived_ordinal").alias("consensus_flag"), F.lit("derived_row_position").alias("rule"), "engine_count", F.lit(True).alias("accepted"), F.lit(False).alias("queue_for_review"), "engine_readings")
+    return readings.filter(~F.coalesce(ordinal, F.lit(False))), out
+
+
+def merge_documents(cells: DataFrame, engines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents with their status and counts, exceptions of queued cells) of consensus cells; engines (document_id, vendor) read the document.
+
+    A field that some engine of the document did not return is queued even where the others agree.
+    """
+    readers = engines.groupBy("document_id").agg(F.sort_array(F.collect_set("vendor")).alias("engines"))
+    read_by = F.array_distinct(F.flatten(F.transform("clusters", lambda c: c["vendors"])))
+    full = cells.join(readers, "document_id").withColumn("missing", F.array_except("engines", read_by))
+    late = (F.size("missing") > 0) & (F.col("consensus_flag") != "no_consensus")
+    full = full.withColumn("queue_for_review", F.col("queue_for_review") | late)
+    hard = (F.col("consensus_flag") == "no_consensus") & F.col("blocking")
+    out = full.groupBy("document_id").agg(F.max("engines").alias("engines"), F.count(F.lit(1)).alias("field_count"), F.sum(F.col("accepted").cast("long")).alias("accepted_field_count"), F.sum(hard.cast("long")).alias("hard"), F.sum(F.col("queue_for_review").cast("long")).alias("exception_count"), F.sum(F.col("is_handwritten").cast("long")).alias("handwritten_field_count"))
+    status = F.when(F.col("hard") > 0, "open_exception").when(F.col("exception_count") > 0, "review_queued").otherwise("auto_accepted")
+    cause = F.when(F.col("consensus_flag") == "no_consensus", "no_majority").otherwise("partial_disagreement")
+    exceptions = full.filter("queue_for_review").select(*CELL, F.col("consensus_flag").alias("flag"), "rule", "is_handwritten", "accepted", "blocking", F.coalesce("candidates", F.array("value")).alias("candidates"), "missing", cause.alias("cause"))
+    return out.withColumn("review_status", status), exceptions
+
+
+def apply_resolutions(cells: DataFrame, resolutions: DataFrame) -> DataFrame:
+    """Cells with each resolved value put in place, what accepted it, and what consensus had recorded."""
+    r = resolutions.filter("resolved_value is not null").select(*CELL, "resolved_value", F.col("agreeing").alias("agreeing_vendors"))
+    out = cells.join(r, list(CELL), "left")
+    hit = F.col("resolved_value").isNotNull()
+    return out.withColumns({"superseded_flag": F.when(hit, F.col("consensus_flag")), "accepted_by": F.when(hit, "vendor_agreement"), "value": F.coalesce("resolved_value", "value"), "accepted": F.col("accepted") | hit}).drop("resolved_value")
+
+
+def apply_corroboration(cells: DataFrame, corroborations: DataFrame, authorization: str, unique_only: bool = False) -> DataFrame:
+    """Open cells take the corroborated value (cell, value, occurrences) under an authorisation; an accepted cell is never overwritten."""
+    good = corroborations.filter("value is not null" + (" and occurrences = 1" if unique_only else ""))
+    good = good.select(*CELL, F.col("value").alias("supported"), "occurrences")
+    out = cells.join(good, list(CELL), "left")
+    hit = ~F.col("accepted") & F.col("supported").isNotNull()
+    return out.withColumns({"superseded_flag": F.when(hit, F.col("consensus_flag")), "superseded_value": F.when(hit, F.col("value")), "value": F.when(hit, F.col("supported")).otherwise(F.col("value")), "blocking": F.col("blocking") & ~hit, "queue_for_review": F.col("queue_for_review") & ~hit, "authorization": F.when(hit, authorization), "accepted": F.col("accepted") | hit}).drop("supported")
 
 
 def document_rollup(cells: DataFrame) -> DataFrame:
@@ -43,15 +152,13 @@ def document_rollup(cells: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("cells") == F.col("accepted_cells"), "clear").otherwise("needs_review"))
 
 
-def vendor_vote(open_cells: DataFrame, readings: DataFrame, minimum: int = 2) -> DataFrame:
-    """The outright leader of each open cell; a tie or too few vendors stays unresolved, with the reason."""
-    per = readings.join(open_cells.select(*CELL), list(CELL), "left_semi").withColumn("key", comparable(F.col("value"))).groupBy(*CELL, "key").agg(F.countDistinct("vendor").alias("n"), F.min_by("value", "vendor").alias("text"))
-    best = per.groupBy(*CELL).agg(F.max("n").alias("best"))
-    lead = per.join(best, list(CELL)).filter("n = best").groupBy(*CELL).agg(F.count(F.lit(1)).alias("leaders"), F.max("best").alias("agreeing"), F.min("text").alias("text"))
-    reason = F.when(F.col("leaders") > 1, "vendors_tied").when(F.col("agreeing") < minimum, "below_minimum_vendor_agreement")
-    out = open_cells.select(*CELL).join(lead, list(CELL), "left")
-    reason = F.when(F.col("leaders").isNull(), "no_vendor_read_this_field").otherwise(reason)
-    return out.select(*CELL, F.when(reason.isNull(), F.col("text")).alias("resolved_value"), F.coalesce("agreeing", F.lit(0)).alias("agreeing"), reason.alias("reason"))
+def vendor_vote(cells: DataFrame, minimum: int = 2) -> DataFrame:
+    """The outright leader of each open cell of :func:`field_consensus`; a tie or too few vendors stays unresolved, with the reason."""
+    best = F.col("clusters")[0]
+    leaders = F.size(F.filter("clusters", lambda c: c["n"] == F.col("clusters")[0]["n"]))
+    reason = F.when(F.size("clusters") == 0, "no_vendor_read_this_field").when(leaders > 1, "vendors_tied").when(best["n"] < minimum, "below_minimum_vendor_agreement")
+    open_ = cells.filter(~F.col("accepted"))
+    return open_.select(*CELL, F.when(reason.isNull(), best["value"]).alias("resolved_value"), F.coalesce(best["n"], F.lit(0)).alias("agreeing"), reason.alias("reason"))
 
 
 def classification_consensus(votes: DataFrame, minimum: int = 2) -> DataFrame:
@@ -63,13 +170,16 @@ def classification_consensus(votes: DataFrame, minimum: int = 2) -> DataFrame:
 
 
 def engine_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two readers' (row_index, field) slots of each document: shared, equal, and values recalled anywhere in the document."""
-    key = comparable(F.col("value"))
-    x = a.select(*CELL, key.alias("ka"))
-    y = b.select(*CELL, key.alias("kb"))
-    slots = x.join(y, list(CELL), "full").groupBy("document_id").agg(F.count("ka").alias("reference_slots"), F.count("kb").alias("candidate_slots"), F.sum((F.col("ka") == F.col("kb")).cast("long")).alias("equal_slots"))
-    known = y.select("document_id", "kb").distinct()
-    recalled = x.join(known, (x.document_id == known.document_id) & (x.ka == known.kb), "left_semi").groupBy("document_id").agg(F.count(F.lit(1)).alias("recalled"))
+    """Two readers' (row_index, field) slots of each document: shared, equal, and values recalled anywhere in the document.
+
+    One shuffle by slot and one by (document, value), each a partial aggregation of the union.
+    """
+    key = agreement_key(field_kind(F.col("field")), F.col("value"))
+    both = a.select(*CELL, key.alias("k"), F.lit(True).alias("ref")).unionByName(b.select(*CELL, key.alias("k"), F.lit(False).alias("ref")))
+    ka, kb = (F.max(F.when(F.col("ref") == side, F.col("k"))) for side in (True, False))
+    slots = both.groupBy(*CELL).agg(ka.alias("ka"), kb.alias("kb")).groupBy("document_id").agg(F.count("ka").alias("reference_slots"), F.count("kb").alias("candidate_slots"), F.sum((F.col("ka") == F.col("kb")).cast("long")).alias("equal_slots"))
+    values = both.groupBy("document_id", "k").agg(F.sum(F.col("ref").cast("long")).alias("n"), F.bool_or(~F.col("ref")).alias("known")).filter("known and k is not null")
+    recalled = values.groupBy("document_id").agg(F.sum("n").alias("recalled"))
     return slots.join(recalled, "document_id", "left").withColumns({"recalled": F.coalesce("recalled", F.lit(0)), "equal_slots": F.coalesce("equal_slots", F.lit(0))})
 
 

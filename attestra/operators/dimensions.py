@@ -8,6 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from ..shipping import ship
 from . import entities
 
@@ -118,8 +119,7 @@ def nearest(pages: DataFrame, settled: DataFrame, k: int = 5, least: float = 0.3
     blocks = -(-(s.agg(F.sum(F.size("words") + 1)).first()[0] or 1) // block_words)
     kind = f"page_id {s.schema['page_id'].dataType.simpleString()}, s_id {s.schema['page_id'].dataType.simpleString()}, label {s.schema['label'].dataType.simpleString()}, like double"
     p = p.withColumn("page_id", F.col("page_id").cast(s.schema["page_id"].dataType))
-    if blocks > 1:
-        entities.checkpoint_folder(spark)
+    scratch = Scratch(spark, "nearest") if blocks > 1 else None
     first = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("like"), F.desc("s_id")))
     top = None
     for b in range(blocks):
@@ -135,7 +135,7 @@ def nearest(pages: DataFrame, settled: DataFrame, k: int = 5, least: float = 0.3
         found = p.mapInArrow(near, kind)
         top = (found if top is None else top.unionByName(found)).withColumn("r", first).filter(F.col("r") <= k).drop("r")
         if blocks > 1:
-            top = top.checkpoint()
+            top = scratch.table(top)
             sent.unpersist()
     out = top.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.max("like").alias("best"), F.countDistinct("label").alias("labels"), F.min("label").alias("label"))
     return out.filter((F.col("n") == k) & (F.col("best") >= least) & (F.col("labels") == 1)).select("page_id", "label", F.round("best", 6).alias("likeness"))

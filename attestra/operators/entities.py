@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Legal suffixes that say nothing about who a party is, and usual abbreviations.
-SUFFIXES = ("co", "company", "corp", "corporation", "inc", "incorporated", "limited", "llc", "llp", "lp", "ltd")
-ABBREVIATIONS = {"bros": "brothers", "dist": "distribution", "intl": "international", "mfg": "manufacturing", "svc": "service", "svcs": "services"}
+from ..components import connected_components
+from ..scratch import Scratch
+
+# Legal suffixes and words that say nothing about who a party is, and usual abbreviations.
+SUFFIXES = ("inc", "incorporated", "corp", "corporation", "co", "company", "llc", "llp", "lp", "ltd", "limited", "plc", "gmbh", "ag", "sa", "sas", "srl", "bv", "nv", "pty", "pte", "kk", "ab", "as", "oy", "spa", "sl", "cv", "ev")
+NOISE = ("the", "and", "of", "de", "du", "der", "den")
+ABBREVIATIONS = {
+    "intl": "international", "int": "international", "mfg": "manufacturing", "mfrs": "manufacturers", "svcs": "services", "svc": "service",
+    "distr": "distribution", "dist": "distribution", "transp": "transport", "trans": "transport", "logist": "logistics", "log": "logistics",
+    "ind": "industries", "indus": "industries", "bros": "brothers", "assoc": "associates", "natl": "national", "nat": "national",
+    "amer": "american", "am": "american", "grp": "group", "hldgs": "holdings", "hldg": "holdings", "ent": "enterprises",
+    "sys": "systems", "tech": "technologies", "whse": "warehouse", "frt": "freight", "shpg": "shipping",
+}
 MERGE, REVIEW = 0.86, 0.72
 
 
 def normalise_name(c: Column) -> Column:
-    """Lower case, & as and, no punctuation, runs of initials joined, abbreviations spelled out, suffixes gone."""
+    """Lower case, & as and, no punctuation, runs of initials joined, abbreviations spelled out, suffixes and noise gone.
+
+    A name that would lose every word keeps them.
+    """
     text = F.regexp_replace(F.regexp_replace(F.lower(c), "&", " and "), r"[^\w\s]", " ")
     text = F.trim(F.regexp_replace(text, r"\s+", " "))
     joined = F.regexp_replace(text, r"(?<=\b[a-z]) (?=[a-z]\b)", "")
     table = F.create_map(*(F.lit(x) for kv in ABBREVIATIONS.items() for x in kv))
     words = F.transform(F.split(joined, " "), lambda w: F.coalesce(table[w], w))
-    return F.array_join(F.filter(words, lambda w: ~w.isin(*SUFFIXES) & (w != "")), " ")
+    kept = F.array_join(F.filter(words, lambda w: ~w.isin(*SUFFIXES, *NOISE) & (w != "")), " ")
+    return F.when(kept != "", kept).otherwise(text)
+
+
+def is_truncated(c: Column) -> Column:
+    """Whether the source cut a name off and marked it."""
+    return F.coalesce(c.rlike(r"(?:\.\.\.|\u2026)\s*$"), F.lit(False))
 
 
 def blocking_keys(norm: Column, postal: Column | None = None) -> Column:
@@ -73,28 +92,10 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
     return s.withColumn("decision", F.when(F.col("score") >= MERGE, "merge").when(F.col("score") >= REVIEW, "review").otherwise("different"))
 
 
-def checkpoint_folder(spark: SparkSession) -> None:
-    """A folder for checkpoints, if the session names none."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="attestra-ck-"))
-
-
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """(node, root): smallest node reached over edges (a, b), by label spreading with a checkpoint each round."""
-    checkpoint_folder(edges.sparkSession)
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")).checkpoint()
-    for _ in range(rounds):
-        near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m")).withColumnRenamed("a", "node")
-        after = label.join(near, "node").select("node", F.least("root", "m").alias("root"))
-        jump = after.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        after = after.join(jump, "root", "left").select("node", F.coalesce("far", "root").alias("root")).checkpoint()
-        if not after.join(label.withColumnRenamed("root", "old"), "node").filter("root <> old").limit(1).count():
-            return after
-        label = after
-    raise RuntimeError("components did not settle")
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): the smallest node reached over edges (a, b), also of the roots; see :mod:`attestra.components`."""
+    found = connected_components(edges, Scratch(edges.sparkSession, "entities"))
+    return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
 
 
 def survivors(mentions: DataFrame, groups: DataFrame) -> DataFrame:

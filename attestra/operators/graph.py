@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .entities import checkpoint_folder
+from ..scratch import Scratch
 
 MAX_DEPTH = 12
 
@@ -38,32 +38,34 @@ def neighbours(edges: DataFrame) -> DataFrame:
 
 
 def shortest_path(edges: DataFrame, source: str, target: str, depth: int = MAX_DEPTH) -> DataFrame:
-    """(step, node_id) of an undirected shortest path; of several, the one smallest in node order from the source.
+    """(step, node_id) of an undirected shortest path; of several, each step back goes to the smallest node.
 
-    The frontier is a table of nodes with their parent; the loop ends at the target, at an
+    Each frontier is a written table of nodes with their parent, so no plan nests in the next and no
+    path is carried along; the way back looks up one parent a step.  The loop ends at the target, at an
     empty frontier, or at ``depth``.
     """
     if not 1 <= depth <= MAX_DEPTH:
         raise ValueError("depth must be 1 to 12")
     spark = edges.sparkSession
-    checkpoint_folder(spark)
-    both = neighbours(edges).cache()
-    seen = spark.createDataFrame([(source, "", 0)], "node string, path string, step int")
-    frontier = seen
+    s = Scratch(spark, "path")
+    both = s.table(neighbours(edges))
+    frontiers = [spark.createDataFrame([(source, source)], "node string, parent string")]
     found = source == target
-    for step in range(1, depth + 1):
+    for _ in range(depth):
         if found:
             break
-        near = frontier.join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node"), F.concat_ws("\x1f", F.nullif("path", F.lit("")), "node").alias("path"))
-        near = near.join(seen.select("node"), "node", "left_anti").groupBy("node").agg(F.min("path").alias("path")).withColumn("step", F.lit(step))
-        frontier = near.checkpoint()  # each step reads all before it, so their plans must not nest
-        state = frontier.agg(F.count(F.lit(1)).alias("n"), F.max((F.col("node") == target).cast("int")).alias("hit")).first()
-        seen = seen.unionByName(frontier)
-        if not state.n:
+        near = frontiers[-1].select("node").join(both, F.col("node") == F.col("a")).groupBy("b").agg(F.min("a").alias("parent"))
+        # in an undirected graph a neighbour of a frontier lies in the next, in itself or in the one before
+        seen = frontiers[-1].select("node").unionByName(frontiers[-2].select("node")) if len(frontiers) > 1 else frontiers[-1].select("node")
+        frontier = s.table(near.join(seen, near["b"] == seen["node"], "left_anti").select(F.col("b").alias("node"), "parent"))
+        if frontier.isEmpty():
             break
-        found = bool(state.hit)
-    way = seen.filter(F.col("node") == target).select(F.split(F.concat_ws("\x1f", F.nullif("path", F.lit("")), "node"), "\x1f").alias("p"))
-    return way.select(F.posexplode("p").alias("step", "node_id"))
+        frontiers.append(frontier)
+        found = not frontier.filter(F.col("node") == target).isEmpty()
+    way = [target] if found else []
+    for f in reversed(frontiers[1:] if found else []):
+        way.append(f.filter(F.col("node") == way[-1]).first().parent)
+    return spark.createDataFrame(list(enumerate(reversed(way))), "step int, node_id string")
 
 
 def candidates(nodes: DataFrame, edges: DataFrame, edge_type: str) -> DataFrame:
