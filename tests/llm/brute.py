@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,10 @@ import xxhash
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def crc(i):
+    return zlib.crc32(str(i).encode())
+
+
 def words(t):
     return WORD.findall(t or "")
 
