@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import values
 from .functions.address import parse_address
-from .operators import attribution, changes, chunks, consensus, entities, evaluate, graph, pages, proof, review
+from .operators import attribution, changes, chunks, consensus, entities, graph, loading, pages, proof, review, search
 from .registry import answers, register
 from .sources.driver_tables import Driver, twin
 
@@ -428,3 +428,88 @@ def _(d):
 def _(d):
     now, _, gated = _changes(d)
     return changes.reconcile(gated.filter("gate = 'open'").select("change_id", "key", "field", "proposed"), now).select("change_id")
+
+
+# ---- what goes to a loader ------------------------------------------------------------
+
+_AGREE = [("invoice_number", "007", "7", False), ("invoice_number", "INV 7", "inv  7", True), ("total_amount", "100.000", "100.004", True), ("total_amount", "100.000", "100.008", False), ("total_amount", "$1,000", "1000.00", True), ("total_amount", "abc", "ABC ", True), ("seller_name", "Northgate & Co", "northgate co", True), ("seller_name", None, None, True), ("seller_name", "x", None, False), ("total_amount", "", None, True)]
+
+
+@register("values_agree_edges", answers("field VARCHAR, a VARCHAR, b VARCHAR, agree BOOLEAN", _AGREE))
+def _(d):
+    rows = literal(d, [r[:3] for r in _AGREE], "field string, a string, b string")
+    return rows.withColumn("agree", consensus.values_agree(F.col("field"), F.col("a"), F.col("b")))
+
+
+@register("manifest_documents", """WITH p AS (SELECT CASE WHEN l_partkey % 6 = 0 THEN 'page-' || l_orderkey || '-' || l_linenumber ELSE 'D' || l_orderkey END AS document_id, l_linenumber AS n, 'f' || (l_orderkey % 5) AS f, CASE WHEN l_partkey % 4 <> 0 THEN CAST(l_linenumber AS VARCHAR) END AS r FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey) = 1))
+SELECT document_id, arg_min(f, n) AS source_file, coalesce(string_agg(r, ',' ORDER BY n), '') AS source_page_range, count(*) AS page_count FROM p GROUP BY 1""")
+def _(d):
+    one = d.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    p, n = F.col("p"), F.col("l_linenumber")
+    pages_ = one.select(F.when(p % 6 != 0, F.concat(F.lit("D"), "l_orderkey")).otherwise(" ").alias("document_id"), F.concat_ws("-", F.lit("page"), "l_orderkey", n).alias("page_id"), n.alias("ordinal"), F.concat(F.lit("f"), F.col("l_orderkey") % 5).alias("source_file"), F.lit("0").alias("source_sha256"), F.when(p % 4 != 0, n.cast("string")).alias("source_page_range"))
+    return loading.manifest_documents(pages_).drop("source_sha256")
+
+
+@register("export_withheld", "SELECT 'D' || o_orderkey AS document_id, CASE WHEN o_orderkey % 5 = 0 THEN 'no_manifest_page' ELSE 'no_record' END AS reason FROM orders WHERE (o_orderkey % 5 = 0) <> (o_orderkey % 7 = 0)")
+def _(d):
+    x = d.raw("orders").select("o_orderkey", F.concat(F.lit("D"), "o_orderkey").alias("document_id"))
+    return loading.export_withheld(x.filter("o_orderkey % 5 <> 0"), x.filter("o_orderkey % 7 <> 0"))
+
+
+@register("load_plan", "SELECT 1 AS step, 'region' AS \"table\", (SELECT count(*) FROM region) AS records, 'r_regionkey' AS keys, CAST(NULL AS VARCHAR) AS finding UNION ALL SELECT 2, 'nation', (SELECT count(*) FROM nation), 'n_nationkey', NULL UNION ALL SELECT 4, 'supplier', (SELECT count(*) FROM supplier), 's_suppkey,s_nationkey', NULL")
+def _(d):
+    tables = {t: d.raw(t) for t in ("supplier", "nation", "region")}
+    return loading.load_plan(tables, ["region", "nation", "customer", "supplier"], {"region": ["r_regionkey"], "nation": ["n_nationkey"], "supplier": ["s_suppkey", "s_nationkey"]}).drop("checksum")
+
+
+@register("untyped_columns", "SELECT 'o_orderstatus' AS \"column\", count(*) AS rows, 'status' AS kind, 'no_typed_companion' AS reason FROM orders WHERE trim(o_orderstatus) <> ''")
+def _(d):
+    o = d.raw("orders").select("o_orderstatus", "o_orderpriority", F.lit(1).alias("o_orderpriority__amount"), F.lit("").alias("empty"))
+    return loading.untyped_columns(o, ["o_orderstatus", "o_orderpriority", "empty", "absent"], "__amount", "status")
+
+
+@register("implausible_years", "SELECT o_orderkey, 'day__iso' AS \"column\", '0' || substr(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 2) AS value, 'read ' || o_orderkey AS reading FROM orders WHERE o_orderkey % 10 = 0")
+def _(d):
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd")
+    o = d.raw("orders").select("o_orderkey", F.concat(F.lit("read "), "o_orderkey").alias("day"), F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("0"), F.substring(iso, 2, 9))).otherwise(iso).alias("day__iso"), F.date_format("o_orderdate", "yyyy-MM").alias("period__month"))
+    return loading.year_issues(o, ["o_orderkey"])
+
+
+@register("union_first", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'first' WHEN p_partkey % 3 = 0 THEN 'second' ELSE 'third' END AS origin FROM part")
+def _(d):
+    p = d.raw("part").select("p_partkey")
+    return loading.union_first([p.filter("p_partkey % 2 = 0").withColumn("origin", F.lit("first")), p.filter("p_partkey % 3 = 0").withColumn("origin", F.lit("second")), p.withColumn("origin", F.lit("third"))], ["p_partkey"])
+
+
+@register("json_leaves", "SELECT event_id, '/' || replace(replace(CAST(key AS VARCHAR), '~', '~0'), '/', '~1') AS pointer, value ->> '$' AS value FROM (SELECT event_id, unnest(json_keys(props)) AS key, props FROM events), LATERAL (SELECT json_extract(props, '$.\"' || key || '\"') AS value)")
+def _(d):
+    return loading.json_leaves(d.raw("events"), "event_id", "props")
+
+
+_JSON = [("a", "/x/0", "1"), ("a", "/x/1/y", "two"), ("a", "/q~1r", None), ("a", "/s~0", "true"), ("b", "", "5"), ("c", None, None)]
+
+
+@register("json_leaves_nested", answers("doc VARCHAR, pointer VARCHAR, value VARCHAR", _JSON))
+def _(d):
+    rows = literal(d, [("a", '{"x": [1, {"y": "two"}], "q/r": null, "s~": true}'), ("b", "5"), ("c", "{broken"), ("d", None), ("e", "[]")], "doc string, text string")
+    return loading.json_leaves(rows, "doc", "text")
+
+
+@register("account_cards", twin("""WITH t AS (SELECT DISTINCT party_key, invoice_key, currency_code, total_amount, source_document_id FROM (SELECT payer_party_key AS party_key, * FROM invoice_header UNION ALL SELECT biller_party_key, * FROM invoice_header)),
+m AS (SELECT party_key, currency_code, count(*) AS n, sum(total_amount) AS v FROM t GROUP BY 1, 2), g AS (SELECT party_key, CAST(sum(n) AS BIGINT) AS invoice_count, count(*) AS currencies, max(v) AS v FROM m GROUP BY 1),
+q AS (SELECT payer_party_key AS party_key, count(*) AS payment_count FROM payment GROUP BY 1), x AS (SELECT party_key, count(DISTINCT source_document_id) AS missing_documents FROM t WHERE CAST(substr(source_document_id, 2) AS BIGINT) % 9 = 0 GROUP BY 1)
+SELECT party_key, role AS roles, coalesce(invoice_count, 0) AS invoice_count, coalesce(payment_count, 0) AS payment_count, coalesce(missing_documents, 0) AS missing_documents, CASE WHEN currencies = 1 THEN CAST(v AS DOUBLE) END AS invoice_value, coalesce(currencies > 1, false) AS cross_currency_totals_suppressed
+FROM party LEFT JOIN g USING (party_key) LEFT JOIN q USING (party_key) LEFT JOIN x USING (party_key)""", "party", "invoice_header", "payment"))
+def _(d):
+    i = d.invoice_header()
+    docs = i.filter("ordinal % 9 <> 0").select(F.col("source_document_id").alias("document_id"))
+    cards = loading.account_cards(d.party().select("party_key"), d.party().select("party_key", "role"), i, d.payment(), docs)
+    return cards.select("party_key", F.array_join("roles", ",").alias("roles"), "invoice_count", "payment_count", "missing_documents", "invoice_value", "cross_currency_totals_suppressed")
+
+
+@register("chunk_search", twin("WITH t AS (SELECT h.source_document_id FROM invoice_header h WHERE review_status = 'clear' AND currency_code = 'CAD' AND payer_party_key = 'C1') SELECT count(*) AS documents FROM t", "invoice_header"))
+def _(d):
+    """Full text over the chunks: documents of one payer in one currency, best twenty thousand."""
+    words = "c1 cad"
+    found = search.search(_chunks(d), "document_id", "content", words, 20_000)
+    return found.agg(F.count(F.lit(1)).alias("documents"))

@@ -41,6 +41,13 @@ def agreement_key(kind: Column, value: Column) -> Column:
     return F.when(kind == "number", F.coalesce(as_number(value).cast("string"), F.nullif(folded(value), F.lit("")))).when(kind == "identifier", folded(value)).otherwise(prose)
 
 
+def values_agree(field: Column, a: Column, b: Column) -> Column:
+    """Whether two readings of a named field agree: numbers within the tolerance, identifiers without case and runs of blanks, prose without punctuation."""
+    kind = field_kind(field)
+    x, y = (F.when(kind == "number", as_number(v)) for v in (a, b))
+    return F.coalesce(F.abs(x - y) <= F.lit(TOLERANCE).cast("decimal(38,6)"), agreement_key(kind, a).eqNullSafe(agreement_key(kind, b)))
+
+
 def _reading_order(value: Column) -> Column:
     """The order in which readings are clustered: as text, numbers by their shortest decimal form, nulls last."""
     number = F.regexp_replace(as_number(value).cast("string"), r"(\.[0-9]+?)0+$", "$1")
