@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,17 +19,19 @@ TOLERANCE = 0.005
 def field_kind(field: Column) -> Column:
     """identifier, number or prose, by the field's name; an identifier is never compared as a number."""
     low = F.lower(field)
-    return F.when(low.rlike("|".join(IDENTIFIERS)), "identifier").when(low.rlike("|".join(NUMBERS)), "number").otherwise("prose")
+    named = lambda hints: reduce(lambda a, b: a | b, (F.contains(low, F.lit(h)) for h in hints))
+    return F.when(named(IDENTIFIERS), "identifier").when(named(NUMBERS), "number").otherwise("prose")
 
 
 def as_number(value: Column) -> Column:
     """A reading as a number to four decimals, or null."""
-    return F.regexp_replace(value, r"[,$ ]", "").try_cast("double").try_cast("decimal(38,4)")
+    return F.translate(value, ",$ ", "").try_cast("decimal(38,4)")
 
 
 def folded(value: Column) -> Column:
     """A reading without case, outer blanks or runs of blanks."""
-    return F.trim(F.regexp_replace(F.lower(value), r"\s+", " "))
+    low = F.lower(value)
+    return F.when(low.rlike(r"\s"), F.trim(F.regexp_replace(low, r"\s+", " "))).otherwise(low)
 
 
 def comparable(value: Column) -> Column:
@@ -50,7 +54,8 @@ def values_agree(field: Column, a: Column, b: Column) -> Column:
 
 def _reading_order(value: Column) -> Column:
     """The order in which readings are clustered: as text, numbers by their shortest decimal form, nulls last."""
-    number = F.regexp_replace(as_number(value).cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    short = F.rtrim(as_number(value).cast("string"), F.lit("0"))
+    number = F.when(short.endswith("."), F.concat(short, F.lit("0"))).otherwise(short)
     return F.coalesce(number, F.concat(F.lit('"'), F.nullif(folded(value), F.lit("")), F.lit('"')), F.lit("null"))
 
 
@@ -62,10 +67,12 @@ def clusters(readings: DataFrame, tolerance: float = TOLERANCE, numeric: Column
     and makes the cell ambiguous.  A cell's readings are as many as its readers, so the
     fold is over a short list, after a single shuffle.
     """
-    kind = field_kind(F.col("field")) if numeric is None else F.when(numeric, "number").otherwise("prose")
+    kinds = field_kind(F.col("field")) if numeric is None else F.when(numeric, "number").otherwise("prose")
+    readings = readings.withColumn("kind", kinds)
+    kind = F.col("kind")
     number = F.when(kind == "number", as_number(F.col("value"))).cast("decimal(38,4)")
     one = F.struct(_reading_order(F.col("value")).alias("o"), F.col("vendor").alias("vendor"), F.col("value").alias("value"), agreement_key(kind, F.col("value")).alias("key"), number.alias("x"))
-    cells = readings.groupBy(*CELL).agg(F.sort_array(F.collect_list(one)).alias("r"), F.max("handwritten").alias("handwritten"))
+    cells = readings.groupBy(*CELL).agg(F.sort_array(F.collect_list(one)).alias("r"), F.max("handwritten").alias("handwritten"), F.first("kind").alias("kind"))
     shape = "array<struct<n:int,o:string,value:string,key:string,lo:decimal(38,4),hi:decimal(38,4),vendors:array<string>>>"
     start = F.struct(F.array().cast(shape).alias("c"), F.lit(False).alias("ambiguous"))
 
@@ -83,9 +90,15 @@ def clusters(readings: DataFrame, tolerance: float = TOLERANCE, numeric: Column
         joined = F.transform(s["c"], lambda c: F.when(fits(c, r), grown(c)).otherwise(c))
         return F.struct(F.when(k == 1, joined).otherwise(F.concat(s["c"], F.array(own))).cast(shape).alias("c"), (s["ambiguous"] | (k > 1)).alias("ambiguous"))
 
-    found = cells.withColumn("f", F.aggregate("r", start, step))
+    # most cells are unanimous, which needs no fold
+    one = F.col("r")[0]
+    alone = F.struct(F.size("r").alias("n"), one["o"].alias("o"), one["value"].alias("value"), one["key"].alias("key"), one["x"].alias("lo"), one["x"].alias("hi"), F.transform("r", lambda x: x["vendor"]).alias("vendors"))
+    unanimous = F.struct(F.array(alone).cast(shape).alias("c"), F.lit(False).alias("ambiguous"))
+    same = F.size(F.array_distinct(F.transform("r", lambda x: x["key"]))) == 1
+    found = cells.withColumn("f", F.when(same, unanimous).otherwise(F.aggregate("r", start, step)))
     ranked = F.transform(F.array_sort(F.transform("f.c", lambda c: F.struct((-c["n"]).alias("m"), c["o"].alias("o"), c.alias("c")))), lambda x: x["c"])
-    return found.select(*CELL, kind.alias("kind"), "handwritten", F.size("r").alias("readers"), ranked.alias("clusters"), F.col("f.ambiguous").alias("ambiguous"))
+    ranked = F.when(F.size("f.c") == 1, F.col("f.c")).otherwise(ranked)
+    return found.select(*CELL, "kind", "handwritten", F.size("r").alias("readers"), ranked.alias("clusters"), F.col("f.ambiguous").alias("ambiguous"))
 
 
 def field_consensus(readings: DataFrame, numeric: Column | None = None, policy: str = "strict") -> DataFrame:

@@ -97,20 +97,19 @@ class Driver:
 
     def readings(self) -> DataFrame:
         """Three readers of each line's amount, and of its flag; b and c misread by modulus; c skips some."""
-        line = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate").distinct()
-        line = line.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("p"), F.max(money("l_extendedprice")).alias("e"), F.min("l_returnflag").alias("r"))
-        doc, row = F.concat(F.lit("D"), "l_orderkey").alias("document_id"), F.col("l_linenumber").alias("row_index")
+        line = self.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("p"), F.max(money("l_extendedprice")).alias("e"), F.min("l_returnflag").alias("r"))
+        p, e, r = F.col("p"), F.col("e"), F.col("r")
+        amounts = {"a": e, "b": F.when(p % 6 == 0, e + 10).otherwise(e), "c": F.when(p % 4 == 0, e + 20).otherwise(e)}
+        flags = {"a": r, "b": F.when(p % 10 == 0, "X").otherwise(r), "c": F.lower(r)}
 
-        def one(vendor: str, amount: Column, flag: Column, keep: Column) -> DataFrame:
-            rows = line.filter(keep)
-            cells = F.array(F.struct(F.lit("extended_amount").alias("field"), amount.cast("string").alias("value"), (F.col("p") % 29 == 0).alias("handwritten")), F.struct(F.lit("flag").alias("field"), flag.alias("value"), F.lit(False).alias("handwritten")))
-            return rows.select(doc, row, F.lit(vendor).alias("vendor"), F.explode(cells).alias("x")).select("document_id", "row_index", "vendor", "x.*")
+        def cell(vendor: str, field: str, value: Column, handwritten: Column) -> Column:
+            made = F.struct(F.lit(vendor).alias("vendor"), F.lit(field).alias("field"), value.cast("string").alias("value"), handwritten.alias("handwritten"))
+            return F.when(p % 8 != 0, made) if vendor == "c" else made
 
-        p, e, r = F.col("p"), F.col("e"), F.col("r")
-        a = one("a", e, r, F.lit(True))
-        b = one("b", F.when(p % 6 == 0, e + 10).otherwise(e), F.when(p % 10 == 0, "X").otherwise(r), F.lit(True))
-        c = one("c", F.when(p % 4 == 0, e + 20).otherwise(e), F.lower(r), p % 8 != 0)
-        return a.unionByName(b).unionByName(c)
+        cells = [cell(v, f, x, h) for v in "abc" for f, x, h in (("extended_amount", amounts[v], p % 29 == 0), ("flag", flags[v], F.lit(False)))]
+        # one scan and one aggregation, whatever the readers
+        rows = line.select(F.concat(F.lit("D"), "l_orderkey").alias("document_id"), F.col("l_linenumber").alias("row_index"), F.explode(F.array(*cells)).alias("x"))
+        return rows.filter("x is not null").select("document_id", "row_index", "x.*")
 
 
 _LINE_KEY = "SELECT l_orderkey, l_linenumber, max(l_partkey) AS p, max(CAST(l_extendedprice AS DECIMAL(16,2))) AS e, min(l_returnflag) AS r FROM lineitem GROUP BY ALL"
