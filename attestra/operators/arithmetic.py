@@ -94,3 +94,30 @@ def scoped_policy(legs: DataFrame, rules: DataFrame, dimensions: list[str], day:
     best = m.withColumn("_b", F.max("specificity").over(w)).filter("rule_id is null or specificity = _b")
     out = best.groupBy(id_col).agg(F.count("rule_id").alias("rules"), F.min("rule_id").alias("rule_id"))
     return out.select(id_col, F.when(F.col("rules") == 1, F.col("rule_id")).alias("rule_id"), F.when(F.col("rules") == 1, "one_rule").when(F.col("rules") > 1, "ambiguous").otherwise("no_rule").alias("scope"))
+
+
+def relabel_not_provable(results: DataFrame, authorization: str) -> DataFrame:
+    """Unprovable documents count as not applicable under a named authorization; the prior status stays beside it."""
+    hit = F.col("arithmetic_status") == "not_provable"
+    return results.withColumns({"prior_arithmetic_status": F.when(hit, F.col("arithmetic_status")), "arithmetic_status_authorization": F.when(hit, F.lit(authorization)), "arithmetic_status": F.when(hit, "not_applicable").otherwise(F.col("arithmetic_status"))})
+
+
+def rate_holds_amount(lines: DataFrame, key: str, amount: str, base: str, rate: str, label: str) -> DataFrame:
+    """``lines`` with rate_holds_amount: no commission stands there and the rate is base times a rate its document proves.
+
+    The rates are those of over 0 and up to 100 percent on the document's reconciling rows, distinct before
+    they meet in a row.  Nothing is moved.
+    """
+    r, b = F.col(rate).cast("double"), F.col(base).cast("double")
+    proved = lines.filter((F.col(label) == "reconciles") & (r > 0) & (r <= 100)).groupBy(key).agg(F.collect_set(r).alias("_rates"))
+    out = lines.join(proved, key, "left")
+    near = F.exists("_rates", lambda x: F.abs(b * x / 100 - r) <= 0.01)
+    return out.withColumn("rate_holds_amount", F.coalesce(F.coalesce(F.col(amount).cast("double"), F.lit(0.0)).eqNullSafe(F.lit(0.0)) & (r != 0) & (b != 0) & near, F.lit(False))).drop("_rates")
+
+
+def commission_is_base(amount: Column, bases: dict[str, Column]) -> Column:
+    """The first base that a commission equals, null if none: one number read into two columns."""
+    out = F.lit(None).cast("string")
+    for name, base in reversed(bases.items()):
+        out = F.when((amount != 0) & (base == amount), name).otherwise(out)
+    return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import loadable_date, loadable_month, parse_money
+
 MIN_SERIES, MIN_MONTHS, MAX_GAP, MAX_SHARE = 5, 4, 500, 0.8
 
 
@@ -68,3 +70,30 @@ def open_item_closure(invoices: DataFrame, payments: DataFrame) -> tuple[DataFra
     status = F.when(F.col("applied") == 0, "unresolved").when(F.abs(balance) <= 0.01, "closed").when(balance > 0, "partial").otherwise("overpaid")
     bad = paid.filter("candidates <> 1").withColumn("reason", F.when(F.col("candidates") == 0, "no_invoice").otherwise("ambiguous"))
     return out.withColumn("balance", balance).withColumn("closure", status), bad
+
+
+# The fields that each part of a document event is read from, first present wins.
+EVENT_FIELDS = {
+    "vendor": ("seller_name", "vendor_name", "carrier_name", "payee_name", "brand_name"),
+    "invoice_number": ("invoice_number", "pro_number"),
+    "date": ("invoice_date", "bill_date", "memo_date", "document_date", "statement_date", "period_end"),
+    "credits": ("credit_amount", "credits_applied"),
+    "explicit_status": ("payment_status", "document_status", "approval_status"),
+}
+
+
+def document_events(headers: DataFrame) -> DataFrame:
+    """One event a header: vendor, number, date, month, credits and status, each by its chain of fields; blanks count as absent.
+
+    Fields that ``headers`` lacks are passed over.  Amounts are read whole or as zero; a date that names no day
+    gives its month if it names one.
+    """
+
+    def chain(part: str) -> Column:
+        have = [F.nullif(F.trim(F.col(f).cast("string")), F.lit("")) for f in EVENT_FIELDS[part] if f in headers.columns]
+        return F.coalesce(*have) if have else F.lit(None).cast("string")
+
+    date = chain("date")
+    month = F.coalesce(F.date_format(loadable_date(date), "yyyy-MM"), F.nullif(loadable_month(date), F.lit("")))
+    amount = F.coalesce(parse_money(chain("credits")).cast("decimal(38,2)"), F.lit(0).cast("decimal(38,2)"))
+    return headers.select("document_id", F.coalesce(chain("vendor"), F.lit("UNKNOWN")).alias("vendor"), chain("invoice_number").alias("invoice_number"), date.alias("date"), month.alias("month"), F.abs(amount).alias("credits"), F.lower(F.coalesce(chain("explicit_status"), F.lit(""))).alias("explicit_status"))

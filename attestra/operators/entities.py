@@ -104,3 +104,22 @@ def survivors(mentions: DataFrame, groups: DataFrame) -> DataFrame:
     per = m.groupBy("root", "raw").agg(F.count(F.lit(1)).alias("n"))
     best = per.groupBy("root").agg(F.min(F.struct((-F.col("n")).alias("c"), (-F.length("raw")).alias("l"), F.col("raw").alias("raw"))).alias("t"), F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("spellings"))
     return best.select("root", F.col("t.raw").alias("survivor"), "mentions", "spellings")
+
+
+# Fields whose readings name a party.
+PARTY_FIELDS = ("brand_name", "manufacturer_name", "supplier_name", "vendor_name", "customer_name", "dealer_name", "payer_name", "payee_name", "seller_name", "specifier_name")
+
+
+def party_of_reading(readings: DataFrame, parties: DataFrame) -> DataFrame:
+    """``readings`` with canonical_name and party_key of the party that a reading spells, on party fields only.
+
+    ``parties`` is (ordinal, party_key, canonical_name, name_variants); of several parties with one spelling, case and outer
+    blanks aside, the first wins.  A field may be a header's or a line's.
+    """
+    folded = lambda c: F.lower(F.trim(c))
+    spelt = parties.select("ordinal", "party_key", "canonical_name", F.posexplode(F.concat(F.array("canonical_name"), F.coalesce("name_variants", F.array().cast("array<string>")))).alias("place", "spelling"))
+    index = spelt.filter("spelling is not null and spelling <> ''").groupBy(folded(F.col("spelling")).alias("_spelt")).agg(F.min(F.struct("ordinal", "place", "party_key", "canonical_name")).alias("_party"))
+    base = F.regexp_replace("field", r"^(header\.|lines\[.*\]\.)", "")
+    named = base.isin(*PARTY_FIELDS) & (F.coalesce(F.col("reading"), F.lit("")) != "")
+    out = readings.withColumn("_spelt", F.when(named, folded(F.col("reading")))).join(index, "_spelt", "left")
+    return out.select(*readings.columns, F.col("_party.canonical_name").alias("canonical_name"), F.col("_party.party_key").alias("party_key"))

@@ -85,3 +85,97 @@ def duplicate_pages(pages: DataFrame, key: str, content: str) -> DataFrame:
     h = pages.select(key, F.sha2(F.col(content), 256).alias("h"))
     first = h.groupBy("h").agg(F.min(key).alias("first_page"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     return h.join(first, "h").filter(F.col(key) > F.col("first_page")).select(key, "first_page", "copies")
+
+
+# Reasons that may leave the human queue, and words that keep an item in it.
+SAFE_REASONS = (
+    "document_type_proposal",
+    "formatting_review",
+    "google_genai_document_type_disagrees_with_intake_rule",
+    "google_genai_document_type_proposal",
+    "no_high_signal_document_type",
+    "openai_document_type_disagrees_with_intake_rule",
+    "openai_document_type_proposal",
+    "openrouter_document_type_disagrees_with_intake_rule",
+    "openrouter_document_type_proposal",
+)
+PROTECTED_REASONS = ("no_majority", "partial_disagreement", "upstream_gate_blocked")
+REASON_WORDS = ("adjudication", "arithmetic", "conflict", "exception", "failure", "financial", "handwriting", "htr", "identity", "jbig2", "missing", "no_consensus", "no_extractable_text", "provider", "reassembly", "review_flag", "schema", "signature", "unresolved")
+FIELD_WORDS = ("account", "address", "amount", "buyer", "currency", "customer", "entity", "handwriting", "identity", "party", "price", "seller", "subtotal", "tax", "total", "vendor")
+
+ITEM_KEY = ("document_id", "page_id", "region_id", "field", "reason")
+
+
+def protection(reason: Column, about: Column) -> Column:
+    """Why an item stays with people: a list of causes, empty for a safe reason alone; an unknown reason fails closed.
+
+    ``about`` is the item's field, category and source in one text.  Nulls count as empty.
+    """
+    r = F.lower(F.trim(F.coalesce(reason, F.lit(""))))
+    a = F.lower(F.coalesce(about, F.lit("")))
+    held = F.when(r.isin(*PROTECTED_REASONS), F.concat(F.lit("reason:"), r))
+    words = [F.when(F.contains(r, F.lit(w)), F.lit(f"reason_token:{w}")) for w in REASON_WORDS]
+    fields = [F.when(F.contains(a, F.lit(w)), F.lit(f"field_token:{w}")) for w in FIELD_WORDS]
+    causes = F.array_compact(F.array(held, *words, *fields))
+    return F.when(F.size(causes) > 0, causes).when(r.isin(*SAFE_REASONS), F.array().cast("array<string>")).otherwise(F.array(F.lit("unclassified_reason")))
+
+
+def merge_items(items: DataFrame, order: str, lists: tuple[str, ...]) -> DataFrame:
+    """One row of each exact review target: how often it was shown, and each list's values in order of first appearance.
+
+    A value listed twice stands once.  Values are made distinct by key before they are gathered, so
+    a target shown very often costs its distinct values only.
+    """
+    key = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in ITEM_KEY]
+    rows = items.select(*key, order, *lists)
+    out = rows.groupBy(*ITEM_KEY).agg(F.count(F.lit(1)).alias("copies"))
+    for name in lists:
+        seen = rows.select(*ITEM_KEY, order, F.posexplode(name).alias("place", "value"))
+        first = seen.groupBy(*ITEM_KEY, "value").agg(F.min(F.struct(order, "place")).alias("at"))
+        listed = F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda x: x["value"])
+        out = out.join(first.groupBy(*ITEM_KEY).agg(listed.alias(name)), list(ITEM_KEY), "left")
+    return out.select(*ITEM_KEY, "copies", *(F.coalesce(F.col(n), F.array().cast(items.schema[n].dataType)).alias(n) for n in lists))
+
+
+def review_clusters(items: DataFrame, item_id: str, shown: int = 5) -> DataFrame:
+    """Items by (reason, field, protected), with the first ``shown`` ids; a protected cluster allows no batch decision.
+
+    ``items`` has reason, field, document_id and protected; its three keys name a cluster.
+    """
+    rows = items.withColumns({"reason": F.coalesce("reason", F.lit("review_required")), "field": F.coalesce("field", F.lit(""))})
+    key = ["reason", "field", "protected"]
+    sums = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("items"), F.countDistinct("document_id").alias("documents"))
+    ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy(item_id))).filter(F.col("_k") <= shown)
+    first = ranked.groupBy(*key).agg(F.sort_array(F.collect_list(item_id)).alias("representatives"))
+    return sums.join(first, key, "left").withColumn("batch_decision_allowed", ~F.col("protected"))
+
+
+def carry_forward(items: DataFrame) -> DataFrame:
+    """Explicit proposals that nothing protects leave the queue; the reader's own confidence is no term.
+
+    ``items`` has protected, decision and proposal (null where there is none).
+    """
+    safe = ~F.col("protected") & (F.col("decision") == "propose_resolution") & F.col("proposal").isNotNull()
+    return items.filter(safe).withColumns({"disposition": F.lit("safe_carry_forward_proposal"), "client_review_required": F.lit(False)})
+
+
+def answer_exceptions(exceptions: DataFrame, answers: DataFrame, authorization: str) -> DataFrame:
+    """Findings whose (document_id, field) is answered need no review any more and carry the authorization; all stay.
+
+    A finding that needed none already, and a null document or field, stay as they are.
+    """
+    named = answers.select("document_id", "field").distinct().withColumn("_answered", F.lit(True))
+    out = exceptions.join(named, ["document_id", "field"], "left")
+    needed = F.coalesce(F.col("client_review_required"), F.lit(True))
+    answered = needed & F.col("_answered").isNotNull()
+    return out.withColumns({"client_review_required": needed & ~answered, "authorization_id": F.when(answered, F.lit(authorization))}).drop("_answered")
+
+
+def simulated_approval(items: DataFrame) -> DataFrame:
+    """Every item approved in a projection that approves nothing: production review stays required."""
+    return items.withColumns({"simulated_client_decision": F.lit("approve"), "simulated_accepted": F.lit(True), "production_client_review_required": F.lit(True)})
+
+
+def simulated_gate(simulated: DataFrame) -> DataFrame:
+    """What a downstream gate may say of a simulation: items approved in it, and no production fact."""
+    return simulated.agg(F.count(F.lit(1)).alias("simulated_approved_items"), F.lit(0).cast("long").alias("production_facts_approved"), F.lit("not_loaded_simulation_only").alias("production_retrieval_status"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Cumulative Poisson factors at 95 % for 0 to 10 overstatements.
@@ -87,3 +87,43 @@ def round_robin(rows: DataFrame, stratum: str, key: str, size: int) -> DataFrame
     """``size`` rows over the strata in turn, each in hash order."""
     w = Window.partitionBy(stratum).orderBy(F.sha2(F.col(key).cast("string"), 256))
     return rows.withColumn("turn", F.row_number().over(w)).filter(F.col("turn") <= size).orderBy("turn", stratum).limit(size)
+
+
+def outside_frame(status: Column, arithmetic: Column) -> Column:
+    """Why a document is outside the sampling frame, null inside: only what was accepted unseen is drawn from."""
+    accepted = F.coalesce(status == "auto_accepted", F.lit(False))
+    clear = F.coalesce(arithmetic.isin("proved", "not_applicable"), F.lit(False))
+    return F.when(~accepted, "not_auto_accepted").when(~clear, "arithmetic_not_clear")
+
+
+def reconcile_results(selected: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One row a document of either side: its state, and how many outcomes came after its first.
+
+    ``selected`` is (document_id, value), ``outcomes`` (ordinal, document_id, recorded, audited, outcome).  Blank
+    ids are one row, state no_document_id.  A document's first outcome counts; NaN and infinite values are none.
+    """
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+    o = outcomes.select("ordinal", F.trim(F.coalesce("document_id", F.lit(""))).alias("document_id"), *(finite(F.col(c).cast("double")).alias(c) for c in ("recorded", "audited")), "outcome")
+    first = o.groupBy("document_id").agg(F.min(F.struct("ordinal", "recorded", "audited", "outcome")).alias("o"), F.count(F.lit(1)).alias("n"))
+    s = selected.select("document_id", F.col("value").cast("double").alias("value"), F.lit(True).alias("chosen"))
+    j = s.join(first, "document_id", "full")
+    blank, seen, same = F.col("document_id") == "", F.col("n").isNotNull(), F.col("o.recorded").eqNullSafe(F.col("value"))
+    reviewed = F.coalesce(F.col("o.outcome").isin("reviewed_correct", "reviewed_error"), F.lit(False)) & F.col("o.audited").isNotNull()
+    agrees = (F.col("o.outcome") == "reviewed_correct") == (F.col("o.audited") == F.col("o.recorded"))
+    state = (
+        F.when(blank, "no_document_id")
+        .when(~seen, "missing")
+        .when(F.col("chosen").isNull(), "extra")
+        .when(F.col("o.recorded").isNull() | ~same, "recorded_value_differs")
+        .when(F.col("o.outcome").isin("abstained", "failed"), "unresolved")
+        .when(~reviewed, "invalid_outcome")
+        .when(~agrees, "outcome_contradicts_value")
+        .otherwise("complete")
+    )
+    return j.select("document_id", state.alias("state"), F.when(blank | ~seen, 0).otherwise(F.col("n") - 1).cast("long").alias("repeated"), F.col("o.audited").alias("audited"))
+
+
+def review_complete(reconciled: DataFrame, plan_matches: bool) -> DataFrame:
+    """(status, documents): completed only if every document is complete, none came twice and the plan is the one signed."""
+    bad = F.count(F.when((F.col("state") != "complete") | (F.col("repeated") > 0), 1))
+    return reconciled.agg(F.when(F.lit(plan_matches) & (bad == 0), "completed").otherwise("blocked").alias("status"), F.count(F.lit(1)).alias("documents"))
