@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import arithmetic, controls, entities, pages, review, sampling
+from .operators import arithmetic, controls, entities, pages, recovery, review, sampling
 from .registry import answers, register
 from .sources.driver_tables import twin
 
@@ -221,3 +221,63 @@ def _(d):
 def _(d):
     named = F.concat(F.lit("file__part__p"), F.lpad((F.col("page_id") % 50).cast("string"), 4, "0"))
     return d.raw("pages").groupBy(pages.page_of(named).alias("page")).agg(F.count("*").alias("documents"))
+
+
+# ---- recovered names ---------------------------------------------------------------------
+
+#: (page, text)
+_PRINTED = [
+    ("a", "P.O.\nPO-17\n 1/2/2023 \n\nStudio North LLC\nPO-17\n1/3/2023\nOther Firm"), ("b", "PO-9\n01/16/2023\n64397 01/16/2023\nPO-8\n1/1/23\n91.09\nTotal\n2/2/23\nReal Firm"),
+    ("c", "PO-5\r\n3/3/23\r\nTable Co\rPO-6\r3/4/23\rAtelier 54321"), ("d", "1/1/23\nFirst Line"), ("e", None), ("f", "PO-1\n4/4/23\n5/5/23\nLate Firm"),
+]
+_SPECIFIERS = [("a", "PO-17", "Studio North LLC"), ("c", "PO-6", "Atelier 54321")]
+
+
+def _specifiers(d):
+    return recovery.specifiers_by_order(d.spark.createDataFrame(_PRINTED, "page string, text string"), "page", "text")
+
+
+@register("specifiers_by_order", answers("page VARCHAR, order_number VARCHAR, specifier VARCHAR", _SPECIFIERS))
+def _(d):
+    return _specifiers(d)
+
+
+#: (page, order number, specifier, brand), then (outcome, brand holds it, specifier after)
+_LINES = [("a", "PO-17", None, "studio north llc ", "attached", True, "Studio North LLC"), ("a", "PO-17", "Own", "x", "already_stated", False, "Own"), ("a", "PO-1", " ", "x", "none_printed", False, " "), ("c", "PO-6", "", None, "attached", False, "Atelier 54321"), ("a", None, None, None, "none_printed", False, None)]
+
+
+@register("specifiers_attached", answers("page VARCHAR, order_number VARCHAR, outcome VARCHAR, brand_holds_specifier BOOLEAN, specifier_name VARCHAR", [(r[0], r[1], *r[4:]) for r in _LINES]))
+def _(d):
+    lines = d.spark.createDataFrame([r[:4] for r in _LINES], "page string, order_number string, specifier_name string, brand_name string")
+    return recovery.attach_specifiers(lines, _specifiers(d), "page").drop("brand_name")
+
+
+_CUT = [("Cornerwi", "continued_in_mid_word"), ("CORNERWISE DESIGN SERVICES", None), ("Cornerwise Furniture Int.", None), ("Corporate", "begins_several_names"), ("Corporate Express", None), ("Corporate - Stones", None), ("Solo", None), ("Solo Firm", None), ("Two Words", None), ("Two Words Here", None), ("Two Words There", None), ("--", None), (None, None)]
+
+
+@register("cut_off_names", answers("name VARCHAR, why VARCHAR", [r for r in _CUT if r[1]]))
+def _(d):
+    return recovery.cut_off_names(d.spark.createDataFrame([r[:1] for r in _CUT], "name string"), "name")
+
+
+@register("cut_off_parts", """WITH n AS (SELECT DISTINCT CASE WHEN p_partkey % 5 = 0 THEN left(p_name, 1 + p_partkey % 9) ELSE p_name END AS name FROM part), s AS (SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) AS short FROM n),
+ w AS (SELECT DISTINCT short FROM s), c AS (SELECT DISTINCT s.name, s.short, w.short AS longer FROM s JOIN w ON w.short <> s.short AND starts_with(w.short, s.short) WHERE s.short <> '')
+ SELECT name, CASE WHEN bool_or(longer[length(short) + 1] <> ' ') THEN 'continued_in_mid_word' ELSE 'begins_several_names' END AS why FROM c GROUP BY name, short
+ HAVING bool_or(longer[length(short) + 1] <> ' ') OR (NOT contains(short, ' ') AND count(DISTINCT split_part(longer, ' ', 2)) > 1)""")
+def _(d):
+    k = F.col("p_partkey")
+    name = F.when(k % 5 == 0, F.expr("left(p_name, cast(1 + p_partkey % 9 as int))")).otherwise(F.col("p_name"))
+    return recovery.cut_off_names(d.raw("part").select(name.alias("name")).distinct(), "name")
+
+
+#: (id, name, email, person, reasons)
+_PEOPLE = [
+    (1, "JANA HALVORSEN", None, 1, "a middle initial,the same email,the same letters"), (2, "Jana Halvorsen", "jana@northgate.example", 1, "a middle initial,the same email,the same letters"), (3, "Jana K. Halvorsen", None, 1, "a middle initial,the same email,the same letters"), (4, "Jana Holvorsen", " JANA@northgate.example", 1, "a middle initial,the same email,the same letters"),
+    (5, "Jana Halverson", None, 5, ""), (6, "Sam Poe", "", 6, ""), (7, "Sam Poe", None, 6, ""), (8, None, None, 8, ""), (9, "", "x@y.example", 9, ""), (10, None, None, 10, ""),
+]
+
+
+@register("one_person_groups", answers("reading_id BIGINT, person_id BIGINT, reasons VARCHAR", [(r[0], *r[3:]) for r in _PEOPLE]))
+def _(d):
+    rows = d.spark.createDataFrame([r[:3] for r in _PEOPLE], "reading_id long, name string, email string")
+    return recovery.one_person(rows).withColumn("reasons", F.array_join("reasons", ","))
