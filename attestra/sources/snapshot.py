@@ -91,3 +91,56 @@ def import_package(tables: dict[str, DataFrame], mapping: dict[str, tuple[str, d
         out[name] = tables[table].select(*(F.col(a).alias(b) for a, b in columns.items()))
         used.setdefault(table, set()).update(columns)
     return out, {t: sorted(set(tables[t].columns) - used.get(t, set())) for t in tables}
+
+
+CANONICAL, CANONICAL_SHA256 = "__canonical_row_json", "__canonical_row_sha256"
+_CSV = {"header": True, "escape": '"', "emptyValue": "", "multiLine": True, "enforceSchema": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_STEP = "step int, table string, path string, columns array<string>, rows long, checksum string"
+
+
+def stage_package(spark: SparkSession, plan: list[tuple[str, DataFrame]], path: str) -> None:
+    """Write a staging package: a CSV folder a load step, each row with its canonical JSON and that text's hash.
+
+    Every file is read back and held against the rows it came from before the manifest, which publishes
+    the package, is written.  An existing package is never replaced.
+    """
+    steps = []
+    for i, (name, t) in enumerate(plan):
+        if {CANONICAL, CANONICAL_SHA256} & set(t.columns):
+            raise ValueError(f"table {name} has a control column of its own")
+        texts = t.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in t.columns))
+        rows = texts.withColumn(CANONICAL, F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(t.columns))))).withColumn(CANONICAL_SHA256, F.sha2(CANONICAL, 256))
+        where = f"{i:02d}_{name}"
+        rows.write.mode("errorifexists").options(**_CSV).csv(f"{path}/{where}")
+        state = _state(rows.select(F.col(CANONICAL_SHA256).alias("row_sha256"))).first()
+        steps.append((i, name, where, rows.columns, state.rows, state.checksum))
+    manifest = spark.createDataFrame(steps, _STEP)
+    for step in manifest.collect():
+        _staged(spark, path, step)
+    manifest.coalesce(1).write.mode("errorifexists").json(f"{path}/_staging_manifest")
+
+
+def _staged(spark: SparkSession, path: str, step: T.Row) -> DataFrame:
+    """A step's rows as texts, or an error that names what differs."""
+    shape = T.StructType([T.StructField(c, T.StringType()) for c in step.columns])
+    rows = spark.read.schema(shape).options(**_CSV).csv(f"{path}/{step.path}")
+    shown = [c for c in step.columns if c not in (CANONICAL, CANONICAL_SHA256)]
+    held = F.from_json(CANONICAL, "map<string,string>")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    same = F.lit(True)
+    for c in shown:
+        same = same & (text(F.col(f"`{c}`")) == text(F.try_element_at(held, F.lit(c))))
+    whole = F.coalesce(F.sha2(CANONICAL, 256) == F.col(CANONICAL_SHA256), F.lit(False))
+    bad = rows.select(F.when(~whole, "a row whose checksum differs").when(~same, "columns that differ from their row").alias("why")).filter("why is not null").first()
+    if bad:
+        raise ValueError(f"staged table {step.table} has {bad.why}")
+    now = _state(rows.select(F.col(CANONICAL_SHA256).alias("row_sha256"))).first()
+    if (now.rows, now.checksum) != (step.rows, step.checksum):
+        raise ValueError(f"staged table {step.table} does not match its manifest")
+    return rows.select(*(F.try_element_at(held, F.lit(c)).alias(c) for c in shown))
+
+
+def open_package(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of a published package as texts, nulls and empty texts apart; a changed, lost or added row is refused."""
+    steps = spark.read.schema(_STEP).json(f"{path}/_staging_manifest").orderBy("step").collect()
+    return {s.table: _staged(spark, path, s) for s in steps}

@@ -44,3 +44,19 @@ def test_import_package_names_what_is_left(spark):
     t = spark.createDataFrame([("x", 1)], ROW)
     out, left = snapshot.import_package({"t": t}, {"o": ("t", {"k": "key"})})
     assert out["o"].columns == ["key"] and left == {"t": ["v"]}
+
+
+def test_staging_package(spark, tmp_path):
+    t = spark.createDataFrame([('a "q", b\nnew', 1), ("", 2), (None, None), (" pad ", 4), ("back\\slash", 5)], ROW)
+    where = str(tmp_path / "stage")
+    snapshot.stage_package(spark, [("t", t), ("none", t.limit(0))], where)
+    back = snapshot.open_package(spark, where)
+    assert sorted(map(str, back["t"].collect())) == sorted(str(r) for r in t.select("k", t.v.cast("string")).collect())
+    assert back["none"].count() == 0
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        snapshot.stage_package(spark, [("t", t)], where)
+    part = next(p for p in (tmp_path / "stage" / "00_t").glob("part-*.csv") if "pad" in p.read_text())
+    part.write_text(part.read_text().replace(" pad ,", " bad ,"))
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="columns that differ"):
+        snapshot.open_package(spark, where)
