@@ -118,6 +118,34 @@ def ranked(docs: DataFrame, methods: list[tuple[int, DataFrame]]) -> DataFrame:
     return docs.join(best, "document_id", "left").select(*docs.columns, F.col("b.rank").alias("rank"), F.col("b.job").alias("job"), F.coalesce(names[F.col("b.rank")], F.lit("unresolved")).alias("method"))
 
 
+# Fields that state where a sale was made, where goods left, where the customer sits and where goods went.
+SELLING = ("warehouse_location", "branch", "office", "selling_location")
+SHIP_FROM = ("origin_city", "origin_address", "ship_from_city")
+CUSTOMER = ("buyer_address", "bill_to_address", "buyer_city", "bill_to_city")
+DESTINATION = ("destination_city", "destination_address", "ship_to_address", "ship_to_city")
+SALESPERSON = ("sales_representative_name", "salesperson")
+KEY_PREFIX = "^([A-Za-z]{2,4})[-_]"
+
+
+def selling_location(docs: DataFrame, master: DataFrame) -> DataFrame:
+    """(document_id, selling_location, method, ship_from, customer_location, destination): every reading of a place that a document gives.
+
+    ``docs`` has document_id, ack_number (its attributed key) and any of the fields above; an absent column counts as empty.
+    In order: a field that states it, the letterhead's city, the key's row of ``master`` (ack_number, ordinal,
+    selling_location; the last row of a key wins), the letters before the key's first hyphen.  A salesperson alone needs a
+    territory table.
+    """
+    first = lambda names: F.coalesce(*(F.nullif(F.col(n).cast("string"), F.lit("")) for n in names if n in docs.columns), F.lit(None).cast("string"))
+    last = master.filter("ack_number is not null").groupBy("ack_number").agg(F.max_by(F.coalesce("selling_location", F.lit("")), "ordinal").alias("_m"))
+    stated, head, key = first(SELLING), first(("letterhead_city",)), first(("ack_number",))
+    table, prefix = F.nullif(F.col("_m"), F.lit("")), F.nullif(F.upper(F.regexp_extract(key, KEY_PREFIX, 1)), F.lit(""))
+    place = F.coalesce(F.trim(stated), F.trim(head), table, prefix)
+    method = F.when(stated.isNotNull(), "explicit_field").when(head.isNotNull(), "letterhead").when(table.isNotNull(), "reference_table_via_ack").when(prefix.isNotNull(), "ack_prefix_inferred")
+    method = method.when(first(SALESPERSON).isNotNull(), "salesperson_needs_territory_table").otherwise("unresolved")
+    out = docs.join(last, "ack_number", "left")
+    return out.select("document_id", place.alias("selling_location"), method.alias("method"), first(SHIP_FROM).alias("ship_from"), first(CUSTOMER).alias("customer_location"), first(DESTINATION).alias("destination"))
+
+
 def shared_key_fill(rows: DataFrame, maker: str, key: str, party: str) -> DataFrame:
     """Rows without a party whose (maker, key) names exactly one party elsewhere."""
     one = rows.filter(F.col(party).isNotNull()).groupBy(maker, key).agg(F.countDistinct(party).alias("k"), F.min(party).alias("filled")).filter("k = 1").drop("k")

@@ -26,7 +26,7 @@ def normalise_name(c: Column) -> Column:
 
     A name that would lose every word keeps them.
     """
-    text = F.regexp_replace(F.regexp_replace(F.lower(c), "&", " and "), r"[^\w\s]", " ")
+    text = F.regexp_replace(F.regexp_replace(F.lower(c), "&", " and "), r"(?U)[^\w\s]", " ")
     text = F.trim(F.regexp_replace(text, r"\s+", " "))
     joined = F.regexp_replace(text, r"(?<=\b[a-z]) (?=[a-z]\b)", "")
     table = F.create_map(*(F.lit(x) for kv in ABBREVIATIONS.items() for x in kv))
