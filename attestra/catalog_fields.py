@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import attribution, fields, mentions
+from .operators import attribution, brands, fields, mentions
 from .registry import answers, register
 
 # ---- field validation --------------------------------------------------------------------
@@ -167,3 +167,57 @@ def _(d):
     docs = orders.select(k.alias("document_id"), key.alias("ack_number"), F.when(F.col("o_orderstatus") == "F", " Branch ").otherwise("").alias("branch"), F.when(F.col("o_custkey") % 6 == 0, "Town").alias("letterhead_city"), F.when(F.col("o_orderpriority").startswith("1"), "Mara").alias("salesperson"), F.when(k % 4 == 0, "Port").alias("origin_city"), F.lit("Quay").alias("ship_from_city"))
     master = orders.filter(k % 5 != 0).select(key.alias("ack_number"), k.alias("ordinal"), F.when(k % 2 == 0, F.concat(F.lit("Lodge "), k % 7)).alias("selling_location"))
     return attribution.selling_location(docs, master).groupBy("method", "selling_location", "ship_from").agg(F.count("*").alias("documents"))
+
+
+# ---- makers of pages ---------------------------------------------------------------------
+
+#: (document, stated brand) and (is it read as a brand, name)
+_STATED = [
+    ("D1", "Marlow / Bramwell"), ("D2", "marlow / bramwell"), ("D3", "Marlow/Bramwell Inc."), ("D4", "Halvor"), ("D5", "3-USA"), ("D6", "Norvena Co"), ("D7", "25556"), ("D8", "Empall"), ("D9", "Kdf"), ("D10", "Linden World"), ("D11", None),
+]
+_READ = [(True, "Marlow Bramwell"), (True, "Marlow/Bramwell Inc"), (True, "Halvor"), (True, "HALVOR"), (False, "halvor"), (True, "Empall"), (False, "Empall"), (True, "Norvena Co"), (True, "Linden World"), (True, "KDF"), (True, None)]
+_TOPS = [(1, "MARLOW / BRAMWELL order report"), (2, "Halvor and Marlow Bramwell"), (3, "halvor"), (4, None), (5, "Linden World")]
+
+
+@register("brand_vocabulary", answers("name VARCHAR, documents BIGINT", [("marlow / bramwell", 2), ("halvor", 1)]))
+def _(d):
+    stated = d.spark.createDataFrame(_STATED, "document_id string, name string")
+    read = d.spark.createDataFrame(_READ, "is_brand boolean, name string")
+    return brands.brand_vocabulary(stated, read, d.spark.createDataFrame(_TOPS, "page_id int, text string"), ("Norvena",))
+
+
+#: (page, text, maker, method, candidates)
+_HEADS = [
+    (1, "Marlow/Bramwell statement", "marlow / bramwell", "letterhead", "marlow / bramwell"), (2, "LINDEW WORLD of chairs", "linden world", "letterhead_one_letter_off", "linden world"), (3, "Linde World", "linden world", "letterhead_one_letter_off", "linden world"),
+    (4, "Halvor and Linden World", None, "letterhead_names_several_brands", "halvor,linden world"), (5, "Halvor " + "x" * 120 + " Linden World", "halvor", "letterhead", "halvor,linden world"), (6, "Havlor", None, None, None),
+    (7, None, None, None, None), (8, "", None, None, None), (9, "x" * 600 + "Halvor", None, None, None), (10, "Marlow Bramwel", "marlow / bramwell", "letterhead_one_letter_off", "marlow / bramwell"),
+]
+
+
+@register("letterhead_makers", answers("page_id INTEGER, maker VARCHAR, method VARCHAR, candidates VARCHAR", [(p, *r) for p, _, *r in _HEADS if r[1]]))
+def _(d):
+    pages = d.spark.createDataFrame([r[:2] for r in _HEADS], "page_id int, text string")
+    known = d.spark.createDataFrame([("marlow / bramwell", 4), ("marlow bramwell", 2), ("bramwel", 1), ("halvor", 3), ("linden world", 2)], "name string, documents long")
+    return brands.letterhead_makers(pages, known).withColumn("candidates", F.array_join("candidates", ","))
+
+
+@register("letterhead_names_all", """WITH v AS (SELECT DISTINCT regexp_replace(lower(split_part(text, ' ', 1) || split_part(text, ' ', 2)), '[^a-z0-9]', '', 'g') AS key FROM documents),
+h AS (SELECT doc_id, regexp_replace(lower(substring(text, 1, 600)), '[^a-z0-9]', '', 'g') AS head FROM documents)
+SELECT doc_id, count(*) AS names, CAST(min(strpos(head, key)) AS BIGINT) AS first_at FROM h, v WHERE length(key) >= 5 AND strpos(head, key) > 0 GROUP BY doc_id""")
+def _(d):
+    """Names are the first two words of every document."""
+    docs = d.raw("documents")
+    words = F.split("text", " ")
+    known = docs.groupBy(F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("name")).agg(F.count("*").alias("documents"))
+    return brands.letterhead_names(docs, known, False, "doc_id").groupBy("doc_id").agg(F.count("*").alias("names"), F.min("at").cast("long").alias("first_at"))
+
+
+@register("layout_signatures", """WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9]{2,}')) AS word FROM documents),
+k AS (SELECT word FROM w GROUP BY word HAVING count(*) BETWEEN 5 AND 0.5 * (SELECT count(*) FROM documents)), l AS (SELECT * FROM w JOIN k USING (word)), s AS (SELECT doc_id, source AS maker FROM documents WHERE lang = 'en'),
+g AS (SELECT word, min(maker) AS maker FROM l JOIN s USING (doc_id) GROUP BY word HAVING count(DISTINCT maker) = 1 AND count(*) >= 5)
+SELECT doc_id, min(maker) AS maker, count(*) AS own_words FROM l JOIN g USING (word) WHERE doc_id NOT IN (SELECT doc_id FROM s) GROUP BY doc_id HAVING count(DISTINCT maker) = 1 AND count(*) >= 3""")
+def _(d):
+    """English documents are settled, by their source; the others are signed by words of one source."""
+    docs = d.raw("documents")
+    settled = docs.filter("lang = 'en'").select("doc_id", F.col("source").alias("maker"))
+    return brands.signed_makers(docs, settled, "doc_id")
