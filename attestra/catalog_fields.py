@@ -18,7 +18,7 @@ _CELLS = [
     ("D3", "order_date", "03/02/2024", "p1", "invalid_or_ambiguous_iso_date"), ("D3", "ship_date", "####", "p1", "date_not_rendered_in_source"), ("D3", "period_end", "March 2024", "p1", "date_lacks_a_day"), ("D3", "period_start", "TBD", "p1", "date_field_holds_a_non_date"),
     ("D3", "paid_date", "Tue, March 5, 2024", "p1", ""), ("D3", "note_date", "", "p1", ""), ("D3", "memo_number", None, "", ""), ("D3", "check_date", "4.5E+4", "p1", "date_not_rendered_in_source"), ("D3", "job_number", "12", None, "implausible_identifier_format"),
     ("D4", "order_date", "13/02/2024", "p1", "invalid_or_ambiguous_iso_date"), ("D4", "ship_date", "02/13/2024", "p1", "invalid_or_ambiguous_iso_date"), ("D4", "delivery_date", "2024-02-30", "p1", ""), ("D4", "quantity", "", "p1", "invalid_numeric_value"),
-    ("D5", "ship_date", "2024-05-02", "p1", ""), ("D5", "delivery_date", "2024-05-01", "p1", ""), (None, "quantity", "-1", "p1", ""),
+    ("D5", "ship_date", "2024-05-02", "p1", ""), ("D5", "delivery_date", "2024-05-01", "p1", ""), (None, "quantity", "-1", "p1", "negative_value_requires_review"),
 ]
 _OF_CELLS = [(d, "currency" if r == "unsupported_currency" else p, r, v) for d, p, v, _, r in _CELLS if r]
 _OF_DOCUMENTS = [("D1", "header.due_date", "due_date_before_invoice_date", None), ("D5", "header.delivery_date", "delivery_date_before_ship_date", None)]

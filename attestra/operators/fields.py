@@ -16,10 +16,11 @@ LEGAL = ("inc", "llc", "ltd", "co", "corp", "company")
 SHORT_MONTHS = ("jan", "feb", "mar", "apr", "jun", "jul", "aug", "sept", "sep", "oct", "nov", "dec")
 MONTH = "(?:" + "|".join((*MONTHS, *SHORT_MONTHS)) + ")"
 NOT_RENDERED = r"^#+$|^[+-]?[0-9]+(?:\.[0-9]+)?[Ee][+-]?[0-9]+$|(?:\.\.\.|…)$"
-YEAR_FIRST = r"^[0-9]{4}[/-][0-9]{1,2}[/-][0-9]{1,2}"
 SLASHED = r"^([0-9]{1,2})[/-]([0-9]{1,2})[/-][0-9]{2,4}"
-SPELLED = rf"(?i)^(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?(?:[0-9]{{1,2}}[ -]{MONTH}\.?[ -][0-9]{{2,4}}|{MONTH}\.?[ -][0-9]{{1,2}},?[ -][0-9]{{2,4}})"
-TIME_TAIL = r"^[,\s]*(?:at\s+)?[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\s*(?:[APap]\.?[Mm]\.?)?\s*[A-Za-z]{0,4}$"
+# a date's greedy reading is kept, and a time of day may follow it
+TIME = r"\s*(?:[,\s]*(?:at\s+)?[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\s*(?:[APap]\.?[Mm]\.?)?\s*[A-Za-z]{0,4})?$"
+SETTLED = rf"(?i)^(?>[0-9]{{4}}[/-][0-9]{{1,2}}[/-][0-9]{{1,2}}|(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?(?:[0-9]{{1,2}}[ -]{MONTH}\.?[ -][0-9]{{2,4}}|{MONTH}\.?[ -][0-9]{{1,2}},?[ -][0-9]{{2,4}})){TIME}"
+UNSETTLED = rf"^(?>[0-9]{{1,2}}[/-][0-9]{{1,2}}[/-][0-9]{{2,4}}){TIME}"
 NO_DAY = rf"(?i)^(?:{MONTH}\.?(?:[ -][0-9]{{2,4}})?|[0-9]{{1,2}}[/-][0-9]{{2,4}}|[0-9]{{4}})$"
 STRICT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
@@ -34,17 +35,14 @@ def party_words(name: Column) -> Column:
     return F.array_join(F.filter(words, lambda w: ~w.isin(*LEGAL)), " ")
 
 
-def date_issue(value: Column, order_proved: Column) -> Column:
-    """Why a date cell needs a person, else null: unrendered, in an unsettled order, without a day, or no date."""
+AMBIGUOUS = "invalid_or_ambiguous_iso_date"
+
+
+def date_issue(value: Column) -> Column:
+    """Why a date cell needs a person, else null: unrendered, slashed (unless its document proves the order), without a day, or no date."""
     text = _bare(value)
-    first, spelled, slashed = (F.regexp_extract(text, form, 0) for form in (YEAR_FIRST, SPELLED, SLASHED))
-    lead = F.when(first != "", first).when(spelled != "", spelled).otherwise(slashed)
-    tail = _bare(F.substr(text, F.length(lead) + 1))
-    whole = (lead != "") & ((tail == "") | tail.rlike(TIME_TAIL))
-    unsettled = (first == "") & (spelled == "") & ~order_proved
-    out = F.when(text.rlike(NOT_RENDERED), "date_not_rendered_in_source").when(whole & unsettled, "invalid_or_ambiguous_iso_date")
-    out = out.when(~whole & text.rlike(NO_DAY), "date_lacks_a_day").when(~whole, "date_field_holds_a_non_date")
-    return F.when(text != "", out)
+    out = F.when(text.rlike(NOT_RENDERED), "date_not_rendered_in_source").when(text.rlike(SETTLED), None).when(text.rlike(UNSETTLED), AMBIGUOUS)
+    return F.when(text != "", out.when(text.rlike(NO_DAY), "date_lacks_a_day").otherwise("date_field_holds_a_non_date"))
 
 
 def number_issue(value: Column) -> Column:
@@ -67,31 +65,34 @@ def field_issues(readings: DataFrame, currencies: tuple[str, ...], own_names: tu
     An empty ``source`` is a value without provenance, a null one a bare value that carries none.  Slashed dates
     are settled only by their own document.  The header's dates and currency count where a document has a header,
     else its own; of repeated paths the smallest value counts there.  Null values earn nothing.  Two reasons of one
-    value are two rows, and repeated readings repeat.
+    value are two rows, and repeated readings repeat.  Readings without a document id are judged value by value alone.
+    Clean cells are never shuffled.
     """
-    field = F.element_at(F.split("path", r"\."), -1)
+    field = F.substring_index("path", ".", -1)
     dated = field.endswith("_date") | field.isin(*PERIODS)
-    day, month = (F.regexp_extract(_bare(F.col("value")), SLASHED, k).try_cast("int") > 12 for k in (1, 2))
-    headed = F.bool_or(F.startswith("path", F.lit("header.")))
-    pick = lambda name: F.min(F.when(F.col("path") == name, F.col("value")))
+    value = F.col("value")
+    known = readings.filter("document_id is not null")
+    first, second = (F.regexp_extract(_bare(value), SLASHED, k).try_cast("int") > 12 for k in (1, 2))
+    orders = known.filter(dated & (F.contains(value, F.lit("/")) | F.contains(value, F.lit("-")))).select("document_id", first.alias("day"), second.alias("month"))
+    proved = orders.groupBy("document_id").agg(F.bool_or("day").alias("d"), F.bool_or("month").alias("m")).filter("coalesce(d, false) <> coalesce(m, false)").select(F.col("document_id").alias("_d"))
+    pick = lambda name: F.min(F.when(F.col("path") == name, value))
     names = ("due_date", "invoice_date", "delivery_date", "ship_date", "currency")
-    facts = readings.groupBy("document_id").agg(
-        (F.coalesce(F.bool_or(dated & day), F.lit(False)) != F.coalesce(F.bool_or(dated & month), F.lit(False))).alias("proved"),
-        headed.alias("headed"), F.bool_or(F.col("path") == "header.currency").alias("priced"),
+    # only paths that a document's own findings read, so that lines stay out of this shuffle
+    facts = known.filter(F.startswith("path", F.lit("header.")) | F.col("path").isin(*names)).groupBy("document_id").agg(
+        F.bool_or(F.startswith("path", F.lit("header."))).alias("headed"), F.bool_or(F.col("path") == "header.currency").alias("priced"),
         *(pick(p + n).alias(p.replace(".", "_") + n) for p in ("header.", "") for n in names),
     )
-    value = F.col("value")
     own = party_words(value).isin(*{w for n in own_names if (w := " ".join(x for x in "".join(c if c.isascii() and c.isalnum() else " " for c in n.lower()).split() if x not in LEGAL))}) if own_names else F.lit(False)
     reasons = F.array(
         F.when(value.isNotNull() & (F.col("source") == ""), "missing_field_provenance"),
         F.when(field.isin(*SUPPLIERS) & own, "engagement_party_named_as_supplier"),
-        F.when(dated, date_issue(value, F.col("proved"))),
+        F.when(dated, date_issue(value)),
         F.when(field.isin(*NON_NEGATIVE), number_issue(value)),
         F.when(field.isin(*IDENTIFIERS), identifier_issue(value)),
     )
     kinds = dated | field.isin(*SUPPLIERS, *NON_NEGATIVE, *IDENTIFIERS) | (F.col("source") == "")
-    cells = readings.filter(value.isNotNull() & kinds).join(facts.select("document_id", "proved"), "document_id")
-    by_cell = cells.select("document_id", F.col("path").alias("field"), F.explode(F.array_compact(reasons)).alias("reason"), "value")
+    cells = readings.filter(value.isNotNull() & kinds).select("document_id", F.col("path").alias("field"), F.explode(F.array_compact(reasons)).alias("reason"), "value")
+    by_cell = cells.join(proved, (F.col("document_id") == F.col("_d")) & (F.col("reason") == AMBIGUOUS), "left_anti")
     of = lambda n: F.when(F.col("headed"), F.col("header_" + n)).otherwise(F.col(n))
     date = lambda n: F.when(of(n).rlike(STRICT), of(n).try_cast("date"))
     currency = F.when(F.col("priced"), F.col("header_currency")).otherwise(F.col("currency"))
