@@ -30,7 +30,7 @@ from .bytespan import BASE_A, BASE_B, LONG_SPAN, Rolling, U, Words, chained, mix
 from .decontaminate import GAPS
 
 #: Bytes of text in a piece, and of text whose n-grams share a slot.
-PIECE, SLOT = 8 << 20, 4 << 20
+PIECE, SLOT = 4 << 20, 4 << 20
 #: Documents of a piece beyond which an n-gram goes to the piece's own slot.
 COMMON = 512
 _TOP = 40  # the top 24 bits of a hash name its slot
@@ -69,7 +69,7 @@ def _pack(*columns: np.ndarray) -> tuple[int, bytes]:
     for x in columns:
         raw += np.uint64(len(x)).tobytes()
         raw += x.tobytes() if x.dtype == np.uint8 else np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return len(raw), pa.compress(bytes(raw), codec="zstd", asbytes=True)
+    return len(raw), pa.Codec("zstd", 6).compress(bytes(raw), asbytes=True)
 
 
 def _unpack(size: int, packed: bytes, kinds: str) -> list[np.ndarray]:
@@ -86,12 +86,6 @@ def _unpack(size: int, packed: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of spans, one after another."""
-    ends = np.cumsum(size)
-    return data[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)]
-
-
 def _piece(data: np.ndarray, s: np.ndarray, e: np.ndarray, n: int, slots: int, name: bytes) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, bytes]]]:
     """(words of each text, its features, (slot, size, packed features))."""
     w = Words(data, s, e, GAPS, fold=True)
@@ -110,10 +104,11 @@ def _piece(data: np.ndarray, s: np.ndarray, e: np.ndarray, n: int, slots: int, n
     at = [np.flatnonzero(w.fits(k)[: max(len(size) - k + 1, 0)]) for k in range(1, n + 1)]
     kind = np.repeat(np.arange(n, dtype=np.uint64), [len(x) for x in at])
     start = np.concatenate([begin[x] for x in at])
-    stop = np.concatenate([begin[x + k] + size[x + k] for k, x in enumerate(at)])
+    length = np.concatenate([begin[x + k] + size[x + k] for k, x in enumerate(at)]) - start
     doc = np.concatenate([w.text[x] for x in at])
     h = mix(np.concatenate([one.windows(k + 1)[x] for k, x in enumerate(at)]) ^ mix(kind + U(1)))
     g = np.concatenate([two.windows(k + 1)[x] for k, x in enumerate(at)])
+    del w, one, two, at, kind, inside, begin, size
     # one sort brings equal n-grams together, in text order; neighbours that differ in either hash part groups
     bits = U(max(len(h).bit_length(), 1))
     order = (np.sort((h >> bits << bits) | np.arange(len(h), dtype=np.uint64)) & ((U(1) << bits) - U(1))).astype(np.int64)
@@ -128,26 +123,43 @@ def _piece(data: np.ndarray, s: np.ndarray, e: np.ndarray, n: int, slots: int, n
     of = np.searchsorted(post, first)  # of each distinct n-gram: its first posting
     held = np.diff(np.append(of, len(post)))
     slot = ((h[first] >> U(_TOP)) * U(slots) >> U(64 - _TOP)).astype(np.int64)
-    lo, length, who = start[order[first]], (stop - start)[order[first]], doc[post]
-    common = held > COMMON
-    groups = []
-    rest = np.flatnonzero(~common)
-    for a, b in zip(*_runs(slot[rest])):
-        groups.append((int(slot[rest[a]]), rest[a:b]))
-    if common.any():
-        groups.append((int.from_bytes(name[:8], "big") % slots, np.flatnonzero(common)))
+    slot[held > COMMON] = slots
+    start, length, who = start[order[first]], length[order[first]], doc[post]
+    del h, g, doc, new, fresh, order, post, first
+    by = np.argsort(slot << 32 | who[of], kind="stable")  # in a slot by first document, so that the steps between them are small
     out = []
-    for where, f in groups:
+    for a, b in zip(*_runs(slot[by])):
+        f = by[a:b]
         p = _spans(of[f], held[f])
-        out.append((where, *_pack(_gather(joined, lo[f], length[f]), length[f], held[f], who[p], count[p])))
+        where = int(slot[f[0]])
+        out.append((where if where < slots else int.from_bytes(name[:8], "big") % slots, *_pack(joined[_spans(start[f], length[f])], length[f], held[f], _steps(who[p], held[f]), count[p])))
     return words, features, out
 
 
 def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places in spans, one span after another."""
     ends = np.cumsum(size)
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
+def _steps(who: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Ascending documents of n-grams as steps: from the one before, or from the first of the n-gram before."""
+    head = np.cumsum(held) - held
+    out = np.diff(who, prepend=0)
+    out[head] = np.diff(who[head], prepend=0)
+    return out
+
+
+def _documents(steps: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """What :func:`_steps` was made of."""
+    head = np.cumsum(held) - held
+    out = steps.astype(np.int64)
+    firsts = np.cumsum(out[head])
+    out[head] = 0
+    run = np.cumsum(out)
+    return run + np.repeat(firsts - run[head], held)
+
+
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, stops) of runs of equal neighbours."""
     start = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
@@ -229,10 +241,13 @@ def _dictionary(s: Scratch, docs: DataFrame, n: int, buckets: int) -> DataFrame:
         at = 0
         rows = []
         for (piece, _, _), (_, length, n_docs, who, count) in zip(held, each):
+            n_docs = n_docs.astype(np.int64)
             mine = np.repeat(bucket[at : at + len(length)], n_docs)
             at += len(length)
             np.add.at(sums, mine, count.astype(np.int64))
-            rows.append((piece, *_pack(bucket[at - len(length) : at], n_docs, who, count)))
+            who = _documents(who, n_docs)
+            by = np.argsort(who, kind="stable")
+            rows.append((piece, *_pack(mine[by], np.diff(who[by], prepend=0), count[by])))
         m = len(rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([0] * m, pa.int32()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.nulls(m, lists[0]), pa.nulls(m, lists[1]), pa.nulls(m, lists[1]), pa.nulls(m, pa.list_(pa.int64()))], names
@@ -300,8 +315,8 @@ def importance_weights(docs: DataFrame, target: DataFrame, id_col: str = "doc_id
                     continue
                 if piece != now:
                     raise RuntimeError("the rows of the documents changed between two runs of one task")
-                bucket, n_docs, who, count = _unpack(b.column("size")[r].as_py(), b.column("packed")[r].as_py(), "nnnn")
-                np.add.at(sums, who, np.repeat(gains[bucket], n_docs) * count.astype(np.int64))
+                bucket, step, count = _unpack(b.column("size")[r].as_py(), b.column("packed")[r].as_py(), "nnn")
+                np.add.at(sums, np.cumsum(step, dtype=np.int64), gains[bucket] * count)
         yield from done()
 
     back = table.filter("kind < 2").select("piece", "kind", "size", "packed", "ids", "words", "features").repartition("piece").sortWithinPartitions("piece", F.col("kind").desc())
