@@ -264,8 +264,16 @@ def _arrow(docs: DataFrame) -> pa.DataType:
 
 
 def _totals(table: DataFrame, buckets: int) -> np.ndarray:
-    """Features in each bucket; one row a bucket comes to the driver."""
-    rows = table.filter("kind = 2").select(F.posexplode("sums").alias("bucket", "n")).groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    """Features in each bucket; a task adds its sums up before they leave it, one row a bucket comes to the driver."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for b in batches:
+            total += np.asarray(b.column(0).flatten()).reshape(-1, buckets).sum(axis=0)
+        live = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(live, pa.int32()), pa.array(total[live])], ["bucket", "n"])
+
+    rows = table.filter("kind = 2").select("sums").mapInArrow(add, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(buckets, np.int64)
     for r in rows:
         out[r.bucket] = r.n
