@@ -33,17 +33,3 @@ def register(name: str, sql: str | None = None):
         return f
 
     return wrap
-
-
-def answers(columns: str, rows: list[tuple]) -> str:
-    """DuckDB SQL of rows worked out by hand; columns are "name type, ..."."""
-    names = [c.split()[0] for c in columns.split(", ")]
-    kinds = [c.split()[1] for c in columns.split(", ")]
-
-    def cell(x: object, kind: str) -> str:
-        if x is None:
-            return f"CAST(NULL AS {kind})"
-        return f"CAST({x!r} AS {kind})" if not isinstance(x, str) else "CAST('" + x.replace("'", "''") + f"' AS {kind})"
-
-    values = ", ".join("(" + ", ".join(cell(x, k) for x, k in zip(r, kinds)) + ")" for r in rows)
-    return f"SELECT * FROM (VALUES {values}) t({', '.join(names)})"
