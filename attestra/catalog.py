@@ -349,11 +349,11 @@ def _(d):
     return consensus.vendor_vote(_consensus(d)).groupBy("field", "agreeing", "reason").agg(F.count("*").alias("cells"))
 
 
-@register("classification_consensus", twin("""WITH v AS (SELECT document_id, vendor, lower(value) AS type FROM readings WHERE field = 'flag' AND row_index = 1), p AS (SELECT document_id, type, count(DISTINCT vendor) AS n FROM v GROUP BY ALL HAVING count(DISTINCT vendor) >= 2),
+@register("classification_consensus", twin("""WITH v AS (SELECT document_id, vendor, lower(value) AS type FROM readings WHERE field = 'flag'), p AS (SELECT document_id, type, count(DISTINCT vendor) AS n FROM v GROUP BY ALL HAVING count(DISTINCT vendor) >= 2),
 o AS (SELECT document_id, count(*) AS k, max(type) AS type FROM p GROUP BY 1)
 SELECT CASE WHEN k = 1 THEN type END AS type, CASE WHEN k = 1 THEN 'agreed' WHEN k > 1 THEN 'contradictory' ELSE 'no_agreement' END AS status, count(*) AS documents FROM (SELECT DISTINCT document_id FROM v) LEFT JOIN o USING (document_id) GROUP BY ALL""".replace("p AS", "w AS").replace("FROM p GROUP", "FROM w GROUP"), "readings"))
 def _(d):
-    v = d.readings().filter("field = 'flag' and row_index = 1").select("document_id", "vendor", F.lower("value").alias("type"))
+    v = d.readings().filter("field = 'flag'").select("document_id", "vendor", F.lower("value").alias("type"))
     return consensus.classification_consensus(v).groupBy("type", "status").agg(F.count("*").alias("documents"))
 
 
@@ -535,11 +535,11 @@ def _(d):
     return sampling.mus_selection(p, "invoice_key", "total_amount", cut, points, interval, 1000.0).withColumn("selection_point", F.floor("selection_point"))
 
 
-@register("mus_projection", twin("""WITH f AS (SELECT invoice_key, CAST(total_amount - (total_amount - CASE WHEN ordinal % 4000 = 1 THEN 10 * (ordinal % 7 + 1) ELSE 0 END) AS DOUBLE) / CAST(total_amount AS DOUBLE) AS t FROM invoice_header WHERE ordinal % 500 = 1 AND total_amount > 0),
+@register("mus_projection", twin("""WITH f AS (SELECT invoice_key, CAST(total_amount - (total_amount - CASE WHEN ordinal % 4000 = 1 THEN 10 * (ordinal % 7 + 1) ELSE 0 END) AS DOUBLE) / CAST(total_amount AS DOUBLE) AS t FROM invoice_header WHERE total_amount > 0),
 r AS (SELECT t, row_number() OVER (ORDER BY t DESC, invoice_key) AS k FROM f WHERE t > 0), c(k, d) AS (VALUES (1, 0.75), (2, 0.55), (3, 0.46), (4, 0.40), (5, 0.36), (6, 0.33), (7, 0.30), (8, 0.29), (9, 0.27), (10, 0.26)), x AS (SELECT coalesce(sum(t * d), 0.0) AS e FROM r JOIN c USING (k))
 SELECT count(*) AS reviewed, count(*) FILTER (t > 0) AS overstatements, round(coalesce(sum(t) FILTER (t > 0), 0) * 5000.0, 2) AS projected, 15000.0::DOUBLE AS basic_precision, round(max(e) * 5000.0, 2) AS incremental, CASE WHEN count(*) FILTER (t > 0) < 11 THEN round(coalesce(sum(t) FILTER (t > 0), 0) * 5000.0 + 15000.0 + max(e) * 5000.0, 2) END AS upper_bound FROM f, x""", "invoice_header"))
 def _(d):
-    h = d.invoice_header().filter("ordinal % 500 = 1")
+    h = d.invoice_header()
     off = F.when(F.col("ordinal") % 4000 == 1, 10 * (F.col("ordinal") % 7 + 1)).otherwise(0)
     return sampling.projection(h.select(F.col("invoice_key").alias("document_id"), F.col("total_amount").cast("double").alias("recorded"), (F.col("total_amount") - off).cast("double").alias("audited")), 5000.0)
 
@@ -650,19 +650,19 @@ def _items(d: Driver, mod: int) -> DataFrame:
 _ITEMS = "(SELECT l_orderkey AS document_id, l_returnflag AS field, l_linestatus AS reason, l_linenumber % 4 AS priority, 'a' || (l_suppkey % 5) AS artifact FROM lineitem WHERE l_partkey % {} = 0)"
 
 
-@register("review_queue_dedupe", f"SELECT document_id, field, reason, min(priority) AS priority, array_to_string(list_sort(list(DISTINCT artifact)), ',') AS artifacts, count(*) AS copies FROM ({_ITEMS.format(3)} UNION ALL {_ITEMS.format(5)}) GROUP BY 1, 2, 3")
+@register("review_queue_dedupe", f"SELECT document_id, field, reason, min(priority) AS priority, array_to_string(list_sort(list(DISTINCT artifact)), ',') AS artifacts, count(*) AS copies FROM ({_ITEMS.format(1)} UNION ALL {_ITEMS.format(5)}) GROUP BY 1, 2, 3")
 def _(d):
-    return review.queue_dedupe([_items(d, 3), _items(d, 5)]).drop("stage", "source").withColumn("artifacts", F.array_join("artifacts", ","))
+    return review.queue_dedupe([_items(d, 1), _items(d, 5)]).drop("stage", "source").withColumn("artifacts", F.array_join("artifacts", ","))
 
 
-@register("review_cards", f"SELECT document_id, min(priority) AS priority, array_to_string(list_sort(list(DISTINCT reason)), ',') AS reasons, count(DISTINCT field) AS fields, count(*) AS items FROM {_ITEMS.format(3)} GROUP BY 1")
+@register("review_cards", f"SELECT document_id, min(priority) AS priority, array_to_string(list_sort(list(DISTINCT reason)), ',') AS reasons, count(DISTINCT field) AS fields, count(*) AS items FROM {_ITEMS.format(1)} GROUP BY 1")
 def _(d):
-    return review.review_cards(_items(d, 3)).withColumn("reasons", F.array_join("reasons", ","))
+    return review.review_cards(_items(d, 1)).withColumn("reasons", F.array_join("reasons", ","))
 
 
-@register("root_causes", f"SELECT reason, field, count(*) AS items, count(DISTINCT document_id) AS documents FROM {_ITEMS.format(3)} GROUP BY 1, 2")
+@register("root_causes", f"SELECT reason, field, count(*) AS items, count(DISTINCT document_id) AS documents FROM {_ITEMS.format(1)} GROUP BY 1, 2")
 def _(d):
-    return review.root_causes(_items(d, 3))
+    return review.root_causes(_items(d, 1))
 
 
 @register("resolve_exceptions", """WITH d AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN 'clear' ELSE 'needs_review' END AS s, list_filter(['a', 'b', 'c'], lambda x: (o_orderkey % 4 <> 0) AND (x = 'a' OR o_orderkey % 3 = 0)) AS o FROM orders), r AS (SELECT *, list_filter(o, lambda x: NOT (k % 5 = 0 AND x IN ('a', 'b'))) AS l FROM d)
@@ -795,9 +795,9 @@ def _(d):
     return decisions.table_cells(cells, r.filter("vendor = 'c'"), list(consensus.CELL)).groupBy("decision").agg(F.count("*").alias("cells"))
 
 
-@register("label_promotion", twin("""WITH p AS (SELECT document_id, 'status' AS field, lower(trim(value)) AS v, count(DISTINCT vendor) AS n FROM readings WHERE field = 'flag' AND row_index = 2 GROUP BY ALL HAVING count(DISTINCT vendor) >= 2) SELECT document_id, field, min(v) AS value, max(n) AS engines, 'approved_mapping' AS accepted_by FROM p GROUP BY 1, 2 HAVING count(*) = 1""", "readings"))
+@register("label_promotion", twin("""WITH p AS (SELECT document_id, 'status' AS field, lower(trim(value)) AS v, count(DISTINCT vendor) AS n FROM readings WHERE field = 'flag' GROUP BY ALL HAVING count(DISTINCT vendor) >= 2) SELECT document_id, field, min(v) AS value, max(n) AS engines, 'approved_mapping' AS accepted_by FROM p GROUP BY 1, 2 HAVING count(*) = 1""", "readings"))
 def _(d):
-    r = d.readings().filter("field = 'flag' and row_index = 2").select("document_id", F.col("field").alias("label"), "value", F.col("vendor").alias("engine"))
+    r = d.readings().filter("field = 'flag'").select("document_id", F.col("field").alias("label"), "value", F.col("vendor").alias("engine"))
     rules = d.spark.createDataFrame([("flag", "status", True), ("flag", "other", False)], "label string, field string, approved boolean")
     return decisions.promote_labels(r, rules)
 

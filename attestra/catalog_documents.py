@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import values
-from .operators import attribution, changes, chunks, consensus, entities, graph, loading, pages, proof, review, search
+from .operators import attribution, changes, chunks, consensus, entities, graph, loading, pages, proof, review, search, variants
 from .registry import register
 from .sources.driver_tables import Driver, twin
 
@@ -51,10 +51,21 @@ def _(d):
 
 @register("names_one_edit_apart", "WITH n AS (SELECT DISTINCT p_brand AS n FROM part) SELECT a.n AS a, b.n AS b FROM n a JOIN n b ON a.n < b.n WHERE levenshtein(a.n, b.n) = 1")
 def _(d):
-    n = d.raw("part").select(F.col("p_brand").alias("n")).distinct()
-    keyed = n.withColumn("block", F.substring("n", 1, 6))
-    l, r = keyed.alias("l"), keyed.alias("r")
-    return l.join(r, (F.col("l.block") == F.col("r.block")) & (F.col("l.n") < F.col("r.n"))).select(F.col("l.n").alias("a"), F.col("r.n").alias("b")).filter(entities.one_edit_apart(F.col("a"), F.col("b")))
+    return variants.one_edit_pairs(d.raw("part"), "p_brand")
+
+
+@register("customers_one_edit_apart", "WITH n AS (SELECT DISTINCT 'C' || c_custkey AS n FROM customer) SELECT a.n AS a, b.n AS b FROM n a JOIN n b ON a.n < b.n AND abs(length(a.n) - length(b.n)) <= 1 WHERE levenshtein(a.n, b.n) = 1")
+def _(d):
+    return variants.one_edit_pairs(d.raw("customer").select(F.concat(F.lit("C"), "c_custkey").alias("n")), "n")
+
+
+@register("absorbed_customers")
+def _(d):
+    """Customers by the number of their orders: names one digit off and three times as often mentioned take them over; held against the list one by one in tests/test_variants.py."""
+    n = d.raw("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("mention_count"))
+    name = F.concat(F.lit("customer "), "k")
+    parties = n.select(F.concat(F.lit("C"), "k").alias("party_key"), name.alias("canonical_name"), name.alias("normalized_name"), "mention_count", F.array(name).alias("name_variants"))
+    return variants.absorb_variants(parties, 3)[1]
 
 
 # ---- consensus: edges by hand, and what is done with it -------------------------------

@@ -79,11 +79,23 @@ def absorb_variants(parties: DataFrame, min_ratio: float, kept_apart: DataFrame
     place = Window.partitionBy("common").orderBy("rare_minus", "rare").rowsBetween(Window.unboundedPreceding, -1)
     while True:
         of = lambda who: state.select(F.col("party").alias(who), F.col("state").alias(f"{who}_state"), F.col("into").alias(f"{who}_into"))
-        x = e.join(of("rare"), "rare").join(of("common").withColumn("moves", F.lit(True)), "common", "left")
+        # in the order of the list, what a party has at least and at most when each of its rarer ones comes up;
+        # one that is too common for all it may have by then adds nothing.  A party has as many as its name has neighbours
+        one = F.struct("rare_minus", "rare", "rare_state", F.coalesce(F.col("rare_into") == F.col("common"), F.lit(False)).alias("mine"))
+        line = e.join(of("rare"), "rare").groupBy("common", "common_minus").agg(F.array_sort(F.collect_list(one)).alias("line"))
+        long = lambda c: c.cast("long")
+        empty = F.array().cast("array<struct<rare:string,rare_minus:bigint,rare_state:string,least:bigint,most:bigint>>")
+        first = F.struct(long(-F.col("common_minus")).alias("least"), long(-F.col("common_minus")).alias("most"), empty.alias("out"))
+
+        def step(acc, r):
+            n = -r["rare_minus"]
+            may = r["rare_state"].isNull() & (n * min_ratio <= acc["most"])
+            seen = F.struct(r["rare"].alias("rare"), long(r["rare_minus"]).alias("rare_minus"), r["rare_state"].alias("rare_state"), acc["least"].alias("least"), acc["most"].alias("most"))
+            return F.struct(long(acc["least"] + F.when(r["mine"], n).otherwise(0)).alias("least"), long(acc["most"] + F.when(r["mine"] | may, n).otherwise(0)).alias("most"), F.concat(acc["out"], F.array(seen)).alias("out"))
+
+        x = line.select("common", "common_minus", F.explode(F.aggregate("line", first, step, lambda acc: acc["out"])).alias("r")).select("common", "common_minus", "r.*")
+        x = x.filter("rare_state is null").join(of("common").withColumn("moves", F.lit(True)), "common", "left")
         size = -F.col("rare_minus")
-        sure = F.coalesce(F.sum(F.when((F.col("rare_state") == "absorbed") & (F.col("rare_into") == F.col("common")), size)).over(place), F.lit(0)) - F.col("common_minus")
-        open_ = F.coalesce(F.sum(F.when(F.col("rare_state").isNull(), size)).over(place), F.lit(0))
-        x = x.withColumns({"least": sure, "most": sure + open_}).filter("rare_state is null")
         gone, stays = F.coalesce(F.col("common_state") == "absorbed", F.lit(False)), F.coalesce(F.col("common_state") == "kept", F.col("moves").isNull())
         no = gone | (size * min_ratio > F.col("most"))
         yes = stays & (size * min_ratio <= F.col("least"))
