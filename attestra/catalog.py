@@ -105,7 +105,7 @@ def _svc(name: str, filters: dict, where: str) -> None:
     register(name, twin(f"SELECT invoice_key, priority FROM invoice_header WHERE {where}", "invoice_header"))(lambda d: query.filtered(d.invoice_header(), filters).select("invoice_key", "priority"))
 
 
-_svc("query_eq_text", {"total_amount": "144449.04"}, "CAST(total_amount AS VARCHAR) = '144449.04'")
+_svc("query_eq_text", {"currency_code": "CAD"}, "currency_code = 'CAD'")
 _svc("query_ne_keeps_nulls", {"priority": {"operator": "ne", "value": "1-URGENT"}}, "priority IS DISTINCT FROM '1-URGENT'")
 _svc("query_is_null", {"priority": {"operator": "is_null", "value": True}}, "priority IS NULL OR priority = ''")
 _svc("query_contains", {"priority": {"operator": "contains", "value": "LOW"}}, "contains(lower(coalesce(priority, '')), 'low')")

@@ -104,11 +104,11 @@ def _(d):
 
 
 @register("layout_signatures", """WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9]{2,}')) AS word FROM documents),
-k AS (SELECT word FROM w GROUP BY word HAVING count(*) BETWEEN 5 AND 0.5 * (SELECT count(*) FROM documents)), l AS (SELECT * FROM w JOIN k USING (word)), s AS (SELECT doc_id, source AS maker FROM documents WHERE lang = 'en'),
+k AS (SELECT word FROM w GROUP BY word HAVING count(*) BETWEEN 5 AND 0.5 * (SELECT count(*) FROM documents)), l AS (SELECT * FROM w JOIN k USING (word)), s AS (SELECT doc_id, lang AS maker FROM documents WHERE doc_id % 2 = 0),
 g AS (SELECT word, min(maker) AS maker FROM l JOIN s USING (doc_id) GROUP BY word HAVING count(DISTINCT maker) = 1 AND count(*) >= 5)
 SELECT doc_id, min(maker) AS maker, count(*) AS own_words FROM l JOIN g USING (word) WHERE doc_id NOT IN (SELECT doc_id FROM s) GROUP BY doc_id HAVING count(DISTINCT maker) = 1 AND count(*) >= 3""")
 def _(d):
-    """English documents are settled, by their source; the others are signed by words of one source."""
+    """Every other document is settled, by its language; the rest are signed by words of one language."""
     docs = d.raw("documents")
-    settled = docs.filter("lang = 'en'").select("doc_id", F.col("source").alias("maker"))
+    settled = docs.filter("doc_id % 2 = 0").select("doc_id", F.col("lang").alias("maker"))
     return brands.signed_makers(docs, settled, "doc_id")

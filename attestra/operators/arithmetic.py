@@ -83,13 +83,23 @@ def allocation_classify(legs: DataFrame, ceiling: float, threshold: float, toler
 def scoped_policy(legs: DataFrame, rules: DataFrame, dimensions: list[str], day: str, id_col: str) -> DataFrame:
     """The most specific rule whose set dimensions equal the leg's and whose dates hold; two of equal rank decide nothing.
 
-    ``rules`` is a registry of approved rows (rule_id, dimensions, starts, ends), joined by broadcast
-    while it is small; each leg keeps one row.
+    ``rules`` is a registry of approved rows (rule_id, dimensions, starts, ends).  A rule is keyed by which dimensions
+    it sets and to what, and a leg by each such choice of its own values, so they meet by equality; each leg keeps
+    one row, and a dimension that a leg lacks fits no rule that sets it.
     """
-    fits = reduce(lambda a, b: a & b, [F.col(f"r.{d}").isNull() | (F.col(f"r.{d}") == F.col(f"l.{d}")) for d in dimensions])
-    dates = (F.col("r.starts").isNull() | (F.col("r.starts") <= F.col(f"l.{day}"))) & (F.col("r.ends").isNull() | (F.col("r.ends") >= F.col(f"l.{day}")))
-    weight = reduce(lambda a, b: a + b, [F.col(f"r.{d}").isNotNull().cast("int") for d in dimensions])
-    m = legs.alias("l").join(rules.alias("r"), fits & dates, "left").select("l.*", "r.rule_id", weight.alias("specificity"))
+    masks = range(1 << len(dimensions))
+    part = lambda d: F.col(d).cast("string")
+    said = lambda m: [d for i, d in enumerate(dimensions) if m >> i & 1]
+    key = lambda m: F.to_json(F.array(*(part(d) for d in said(m)))) if said(m) else F.lit("")
+    set_ = reduce(lambda a, b: a + b, [F.when(F.col(d).isNotNull(), 1 << i).otherwise(0) for i, d in enumerate(dimensions)])
+    of_rule = reduce(lambda c, m: c.when(F.col("mask") == m, key(m)), masks, F.when(F.lit(False), F.lit("")))
+    r = rules.withColumn("mask", set_).select("mask", of_rule.alias("key"), "rule_id", "starts", "ends")
+    whole = lambda m: reduce(lambda a, b: a & b, [F.col(d).isNotNull() for d in said(m)], F.lit(True))
+    choices = F.array(*(F.struct(F.lit(m).alias("mask"), F.when(whole(m), key(m)).alias("key"), F.lit(len(said(m))).alias("set")) for m in masks))
+    x = legs.select(id_col, F.col(day).alias("day"), F.explode(choices).alias("c")).select(id_col, "day", "c.mask", "c.key", F.col("c.set").alias("specificity"))
+    dates = (F.col("starts").isNull() | (F.col("starts") <= F.col("day"))) & (F.col("ends").isNull() | (F.col("ends") >= F.col("day")))
+    met = x.join(r, ["mask", "key"]).filter(dates).select(id_col, "rule_id", "specificity")
+    m = legs.select(id_col).join(met, id_col, "left")
     w = Window.partitionBy(id_col)
     best = m.withColumn("_b", F.max("specificity").over(w)).filter("rule_id is null or specificity = _b")
     out = best.groupBy(id_col).agg(F.count("rule_id").alias("rules"), F.min("rule_id").alias("rule_id"))

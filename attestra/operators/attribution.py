@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANKS = {1: "printed_key", 2: "secondary_key", 3: "po_cross_reference", 4: "inherited_shipment", 5: "inherited_invoice", 6: "fuzzy"}
@@ -30,7 +30,9 @@ def _near(docs: DataFrame, master: DataFrame, days: int, share: float) -> DataFr
     mine = docs.filter("day is not null and amount > 0").select("document_id", "day", "amount", who.alias("who"))
     near = (F.abs(F.datediff("day", "m_day")) <= days) & (F.abs(F.col("m_amount") - F.col("amount")) <= F.col("m_amount") * share)
     hit = mine.join(m, "who").filter(near)
-    return hit.groupBy("document_id").agg(F.count(F.lit(1)).alias("k"), F.min("job").alias("job"), F.slice(F.sort_array(F.collect_set("job")), 1, 10).alias("jobs"))
+    per = hit.groupBy("document_id", "job").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("document_id").orderBy("job"))  # ten jobs are gathered, however many fit
+    return per.withColumn("place", place).groupBy("document_id").agg(F.sum("n").alias("k"), F.min("job").alias("job"), F.sort_array(F.collect_list(F.when(F.col("place") <= 10, F.col("job")))).alias("jobs"))
 
 
 def fuzzy(docs: DataFrame, master: DataFrame, days: int = DAYS, share: float = SHARE) -> DataFrame:

@@ -60,7 +60,9 @@ def repeated_blocks(lines: DataFrame, document: str, order: str, signature: list
     """
     rows = lines.select(document, F.dense_rank().over(Window.partitionBy(document).orderBy(order)).alias("i"), _hash(signature).alias("s")).distinct()
     n = rows.groupBy(document).agg(F.max("i").alias("n"))
-    a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col(f"a.{document}") == F.col(f"b.{document}")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.i") < F.col("b.i")))
-    by = pairs.groupBy(F.col(f"a.{document}").alias(document), (F.col("b.i") - F.col("a.i")).alias("offset")).agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("a.s").alias("variety"))
-    return by.join(n, document).filter((F.col("offset") * 2 >= F.col("n")) & (F.col("pairs") >= least_pairs) & (F.col("variety") >= 2) & (F.col("pairs") >= ratio * (F.col("n") - F.col("offset"))))
+    # a row in a table's second half meets those at least half a table above it, no others
+    a, b = rows.alias("a"), rows.join(n, document).filter(F.col("i") * 2 > F.col("n")).alias("b")
+    offset = F.col("b.i") - F.col("a.i")
+    pairs = a.join(b, (F.col(f"a.{document}") == F.col(f"b.{document}")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.i") < F.col("b.i")) & (offset * 2 >= F.col("b.n")))
+    by = pairs.groupBy(F.col(f"a.{document}").alias(document), offset.alias("offset")).agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("a.s").alias("variety"))
+    return by.join(n, document).filter((F.col("pairs") >= least_pairs) & (F.col("variety") >= 2) & (F.col("pairs") >= ratio * (F.col("n") - F.col("offset"))))

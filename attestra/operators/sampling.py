@@ -7,6 +7,8 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 # Cumulative Poisson factors at 95 % for 0 to 10 overstatements.
 FACTORS_95 = (3.00, 4.75, 6.30, 7.76, 9.16, 10.52, 11.85, 13.15, 14.44, 15.71, 16.97)
 
@@ -39,7 +41,8 @@ def mus_selection(population: DataFrame, key: str, value: str, cut: float, point
     """
     rest = population.filter((F.col(value) < cut) & (F.col(value) > 0)).select(key, value)
     parts = max(1, int(population.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = rest.repartitionByRange(parts, key).withColumn("_p", F.spark_partition_id())
+    # written with the number of its range: both sides below read one and the same division
+    ranged = Scratch(population.sparkSession, "mus").table(rest.repartitionByRange(parts, key).withColumn("_p", F.spark_partition_id()))
     totals = ranged.groupBy("_p").agg(F.sum(value).alias("t"))
     before = totals.alias("x").join(totals.alias("y"), F.col("y._p") < F.col("x._p"), "left").groupBy(F.col("x._p").alias("_p")).agg(F.coalesce(F.sum("y.t"), F.lit(0)).alias("before"))
     w = Window.partitionBy("_p").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
