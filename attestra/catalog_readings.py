@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import values
 from .functions.address import parse_address
-from .operators import arithmetic, consensus, controls, entities, mentions, pages, recovery, review
+from .operators import arithmetic, consensus, controls, entities, mentions, pages, paths, recovery, review
 from .registry import register
 
 _E = "CAST(l_extendedprice AS DECIMAL(16,2))"
@@ -154,3 +154,27 @@ def _(d):
     known = s.select(F.concat(F.lit("D"), k).alias("document_id"), F.concat(F.lit("k"), k).alias("party_key"), F.concat(F.lit("Quarry "), word).alias("name"))
     out = mentions.company_of_email(emails, known)
     return out.join(s.select(k.alias("row_id"), F.concat(F.lit("Quarry "), word).alias("name")), "row_id").select("name", "party_key")
+
+
+_ORDERS = """SELECT l_orderkey AS k, l_linenumber AS n, max(l_quantity) AS q, min(l_returnflag) AS f FROM lineitem GROUP BY ALL"""
+
+
+@register("path_leaves", f"""WITH l AS ({_ORDERS}), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n) - 1 AS i FROM l)
+SELECT k, 'lines[' || i || '].quantity' AS path, CAST(CAST(q AS BIGINT) AS VARCHAR) AS value FROM r UNION ALL SELECT k, 'lines[' || i || '].flag', '"' || f || '"' FROM r UNION ALL SELECT DISTINCT k, 'order', CAST(k AS VARCHAR) FROM l""")
+def _(d):
+    return paths.flatten(_documents(d), "k", "t")
+
+
+@register("path_rebuilt", f"""WITH l AS ({_ORDERS}) SELECT k, '{{"lines":[' || string_agg('{{"flag":"' || f || '","quantity":' || CAST(q AS BIGINT) || '}}', ',' ORDER BY n) || '],"order":' || k || '}}' AS text FROM l GROUP BY k
+UNION ALL SELECT -1 - event_id, json(props) FROM events""")
+def _(d):
+    """Orders with their lines, and the events' own properties, flattened and built again."""
+    events = d.raw("events").select((-1 - F.col("event_id")).cast("long").alias("k"), F.col("props").alias("t"))
+    return paths.unflatten(paths.flatten(_documents(d).unionByName(events), "k", "t"), "k")
+
+
+def _documents(d):
+    line = d.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").cast("long").alias("quantity"), F.min("l_returnflag").alias("flag"))
+    rows = line.groupBy(F.col("l_orderkey").cast("long").alias("k")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "quantity", "flag"))).alias("x"))
+    lines = F.transform("x", lambda x: F.struct(x["quantity"].alias("quantity"), x["flag"].alias("flag")))
+    return rows.select("k", F.to_json(F.struct(lines.alias("lines"), F.col("k").alias("order"))).alias("t"))
