@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from .consensus import CELL, comparable, vendor_vote
 
 # What separates the figures of a page, what a token is made of, and the shortest value sought inside others.
@@ -25,6 +26,8 @@ def vote_with_ties(cells: DataFrame, readings: DataFrame, pages: DataFrame | Non
     page holds (independent_extractor).  Both are weaker than vendor_agreement and say so.  Two such readings break no tie.
     readings (document_id, row_index, field, vendor, value); pages (document_id, text), of several for one document all count.
     """
+    # the cells are read three times, so they are made once
+    cells = Scratch(cells.sparkSession, "votes").table(cells)
     base = vendor_vote(cells, minimum)
     tied = base.filter("reason = 'vendors_tied'").select(*CELL)
     said = readings.filter("value is not null").select(*CELL, "value").distinct().join(tied, list(CELL), "left_semi").withColumn("k", comparable(F.col("value")))
