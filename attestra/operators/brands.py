@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .mentions import names_client
+from .mentions import of_client
 
 # Characters read at the head and at the very top, least lengths and counts, a market or territory code, and a layout word.
 HEAD, TOP = 600, 120
@@ -36,7 +36,7 @@ def brand_vocabulary(stated: DataFrame, readings: DataFrame, pages: DataFrame |
     """
     read = readings.groupBy(squash(F.col("name")).alias("key")).agg(F.sum(F.when(F.col("is_brand"), 1).otherwise(-1)).alias("lead"))
     name = F.trim("name")
-    good = name.rlike(r"\p{L}") & ~name.rlike(TERRITORY) & ~names_client(name, clients) & (F.length(squash(name)) >= LEAST_NAME)
+    good = name.rlike(r"\p{L}") & ~name.rlike(TERRITORY) & ~of_client(name, clients) & (F.length(squash(name)) >= LEAST_NAME)
     counts = stated.filter(good).groupBy(F.lower(name).alias("name")).agg(F.count(F.lit(1)).alias("documents")).withColumn("key", squash(F.col("name")))
     counts = counts.join(read.filter("lead > 0").select("key"), "key", "left_semi")
     if pages is None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .mentions import loose_name, names_client, split_location
+from .mentions import numbered_name, of_client, plain
 
 # The method's bound, keys that name no job, states, and the forms of places and phones.
 MIN_ACCURACY = 0.95
@@ -115,7 +115,7 @@ def document_types(documents: DataFrame, lines: DataFrame, engine: DataFrame, re
 
 def letterhead_brands(lines: DataFrame, documents: DataFrame, clients: tuple[str, ...]) -> DataFrame:
     """The brand of a line from its own document's, never the client's name.  lines (row_id, document_id, brand_name), documents (document_id, brand_name)."""
-    head = documents.select("document_id", F.trim("brand_name").alias("b")).filter(~_blank("b") & ~names_client(F.col("b"), clients))
+    head = documents.select("document_id", F.trim("brand_name").alias("b")).filter(~_blank("b") & ~of_client(F.col("b"), clients))
     return _fill(lines.filter(_blank("brand_name")).join(head, "document_id"), F.lit("brand_name"), F.col("b"), "document_letterhead", F.lit("the brand its own document prints"))
 
 
@@ -135,7 +135,7 @@ def same_line(cells: DataFrame, clients: tuple[str, ...], statements: int = MIN_
         F.min(F.when(live, party)).alias("lo"), F.max(F.when(live, party)).alias("hi"),
     )
     empty = c.filter(~live).select("row_id", "key", "column").join(g.filter("values > 0"), ["key", "column"])
-    good = (F.col("values") == 1) & (F.col("carriers") >= 2) & ~names_client(F.col("found"), clients)
+    good = (F.col("values") == 1) & (F.col("carriers") >= 2) & ~of_client(F.col("found"), clients)
     fills = _fill(empty.filter(good), F.col("column"), F.col("found"), "same_line_on_other_statements", F.concat("carriers", F.lit(" statements print this job and amount with it")), F.when((F.col("lo") == F.col("hi")) & (F.col("lo") != ""), F.col("lo")))
     return fills, empty.filter("values > 1").groupBy("column").agg(F.count(F.lit(1)).alias("left_empty"))
 
@@ -148,10 +148,9 @@ def projects(lines: DataFrame) -> DataFrame:
 
 def with_places(names: DataFrame, column: str) -> DataFrame:
     """``names`` with the location_number, city, state and branch that the names in ``column`` print plainly; null where they do not."""
-    number, rest = split_location(F.col(column))
     codes = sorted(set(STATES.values()))
     # read in steps, so that no pattern is read twice
-    x = names.withColumns({"_number": F.nullif(number, F.lit("")), "_rest": rest})
+    x = names.withColumn("_read", numbered_name(F.col(column))).withColumns({"_number": F.nullif(F.col("_read.key"), F.lit("")), "_rest": F.col("_read.account")})
     got = lambda pattern, i: F.nullif(F.trim(F.regexp_extract("_rest", pattern, i)), F.lit(""))
     x = x.withColumns({"_city": got(CITY_AND_STATE, 1), "_of": got(CITY_AND_STATE, 2), "_branch": got(BRANCH, 1), "_code": got(STATE_CODE, 1)})
     branch, spaced = F.col("_branch"), F.contains("_branch", F.lit(" "))
@@ -168,7 +167,7 @@ def with_places(names: DataFrame, column: str) -> DataFrame:
 
 def places(names: DataFrame, clients: tuple[str, ...]) -> DataFrame:
     """What parties' names say about where they are, one row a part.  names (row_id, column, value)."""
-    x = with_places(names.select("row_id", "column", "value").filter(~_blank("value") & ~names_client(F.col("value"), clients)), "value")
+    x = with_places(names.select("row_id", "column", "value").filter(~_blank("value") & ~of_client(F.col("value"), clients)), "value")
     parts = F.array(*(F.struct(F.lit(k).alias("part"), F.col(k).alias("found")) for k in ("location_number", "city", "state", "branch")))
     x = x.withColumn("p", F.explode(parts)).filter("p.found is not null")
     return _fill(x, F.concat("column", F.lit("_"), "p.part"), F.col("p.found"), "printed_in_the_name", F.concat("column", F.lit(" prints "), "value"))
@@ -176,8 +175,8 @@ def places(names: DataFrame, clients: tuple[str, ...]) -> DataFrame:
 
 def countries(cells: DataFrame, codes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(two-letter codes of country names, names without one with their count).  cells (row_id, column, value), codes (name, code)."""
-    x = cells.filter(~_blank("value") & ~F.trim("value").rlike("^[A-Z]{2}$")).withColumn("loose", loose_name(F.col("value")))
-    table = codes.groupBy(loose_name(F.col("name")).alias("loose")).agg(F.min("code").alias("code"))
+    x = cells.filter(~_blank("value") & ~F.trim("value").rlike("^[A-Z]{2}$")).withColumn("loose", plain(F.col("value")))
+    table = codes.groupBy(plain(F.col("name")).alias("loose")).agg(F.min("code").alias("code"))
     x = x.join(table, "loose", "left")
     return _fill(x.filter("code is not null"), F.col("column"), F.col("code"), "iso_3166_1_alpha2", F.concat(F.lit("the ISO short name "), F.trim("value"))), x.filter("code is null").groupBy(F.trim("value").alias("name")).agg(F.count(F.lit(1)).alias("cells"))
 
@@ -211,8 +210,8 @@ def phones(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def identities(names: DataFrame, facts: DataFrame) -> DataFrame:
     """Who a party is by a public source.  names (row_id, column, value); facts (name, identity, city, state, website, source, confidence, retrieved), of several for one name the last by source."""
-    f = facts.groupBy(loose_name(F.col("name")).alias("loose")).agg(F.max(F.struct("source", "identity", "city", "state", "website", "confidence", "retrieved")).alias("f"))
-    x = names.filter(~_blank("value")).withColumn("loose", loose_name(F.col("value"))).join(f, "loose")
+    f = facts.groupBy(plain(F.col("name")).alias("loose")).agg(F.max(F.struct("source", "identity", "city", "state", "website", "confidence", "retrieved")).alias("f"))
+    x = names.filter(~_blank("value")).withColumn("loose", plain(F.col("value"))).join(f, "loose")
     full = lambda c: F.nullif(F.col(c), F.lit(""))
     value = F.concat_ws(" · ", full("f.identity"), F.nullif(F.concat_ws(", ", full("f.city"), full("f.state")), F.lit("")), full("f.website"))
     evidence = F.concat("f.source", F.lit(" ("), F.coalesce(full("f.confidence"), F.lit("unrated")), F.lit(", retrieved "), F.coalesce(full("f.retrieved"), F.lit("undated")), F.lit(")"))
