@@ -859,4 +859,4 @@ def _(d):
     return dimensions.nearest(p, p, 5, 0.05)
 
 
-from . import catalog_documents, catalog_fields, catalog_fills, catalog_graph, catalog_packing, catalog_pages, catalog_readings, catalog_review, catalog_voting  # noqa: E402,F401  registers the rest
+from . import catalog_acceptance, catalog_documents, catalog_fields, catalog_fills, catalog_graph, catalog_handoffs, catalog_packing, catalog_pages, catalog_readings, catalog_review, catalog_voting  # noqa: E402,F401  registers the rest
