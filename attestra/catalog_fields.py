@@ -112,3 +112,20 @@ def _(d):
     docs = d.raw("documents")
     settled = docs.filter("doc_id % 2 = 0").select("doc_id", F.col("lang").alias("maker"))
     return brands.signed_makers(docs, settled, "doc_id")
+
+
+_FORM = """f AS (SELECT p_partkey AS page_id, p_type || (p_size % 7) AS layout, CASE WHEN p_size % 7 = 3 AND p_partkey % 2 = 0 THEN 'rival works' ELSE 'maker ' || lower(p_type) || CASE WHEN p_partkey % 5 < 2 THEN ' inc' ELSE '' END END AS maker FROM part)"""
+
+
+@register("opening_makers", f"""WITH {_FORM}, c AS (SELECT layout, maker, count(*) AS n FROM f WHERE page_id % 3 <> 0 GROUP BY ALL),
+o AS (SELECT layout, bool_or(maker = 'rival works') AND bool_or(maker <> 'rival works') AS mixed, max({{'n': n, 'maker': maker}}).maker AS maker, CAST(sum(n) AS BIGINT) AS alike FROM c GROUP BY 1)
+SELECT page_id, o.maker, alike FROM f JOIN o USING (layout) WHERE page_id % 3 = 0 AND NOT mixed AND alike >= 2""")
+def _(d):
+    """Forms of parts open alike by type and size; two of three print their maker, and one layout is used by two makers."""
+    k, size = F.col("p_partkey"), F.col("p_size") % 7
+    maker = F.when((size == 3) & (k % 2 == 0), "rival works").otherwise(F.concat(F.lit("maker "), F.lower("p_type"), F.when(k % 5 < 2, " inc").otherwise("")))
+    said = F.when(k % 3 != 0, F.concat(F.initcap(maker), F.lit(" "))).otherwise("")
+    form = F.concat(said, "p_type", F.lit(" order form of "), F.element_at(F.split(F.lit("abcdefg"), ""), (size + 1).cast("int")), F.lit(" please remit payment for "), "p_name")
+    pages = d.raw("part").select(k.alias("page_id"), form.alias("text"), maker.alias("maker"))
+    settled = pages.filter("page_id % 3 <> 0").select("page_id", "maker")
+    return brands.opening_makers(pages, settled, settled.select(F.col("maker").alias("name")).distinct())

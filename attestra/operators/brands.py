@@ -10,6 +10,7 @@ from .mentions import of_client
 # Characters read at the head and at the very top, least lengths and counts, a market or territory code, and a layout word.
 HEAD, TOP = 600, 120
 LEAST_NAME, LEAST_HEADED, LEAST_NEAR = 5, 2, 10
+OPENING, LEAST_ALIKE = 28, 2
 LEAST_WORD_PAGES, MOST_WORD_SHARE, LEAST_SIGNATURE = 5, 0.5, 3
 TERRITORY = r"^[0-9]{1,3}\s*-\s*[A-Za-z]{2,4}$"
 WORD = "[a-z][a-z0-9]{2,}"
@@ -86,11 +87,40 @@ def letterhead_makers(pages: DataFrame, vocabulary: DataFrame, near: bool = True
     return out.select(page, F.col("one.name").alias("maker"), method.alias("method"), F.sort_array(F.transform("k", lambda x: x["name"])).alias("candidates"))
 
 
+def openings(pages: DataFrame, vocabulary: DataFrame, page: str = "page_id", text: str = "text") -> DataFrame:
+    """(page, opening): the first 28 letters of a page's top without the makers that it names, so that pages group by layout.
+
+    Every name of five letters or more that the first 120 characters spell is taken out, longest first, ties by letters; a name that
+    only comes about when another is taken out stays.  Pages without a letter left have no row.  Page ids are unique.
+    """
+    letters = lambda c: F.regexp_replace(F.lower(c), "[^a-z]", "")
+    tops = pages.select(page, letters(F.substring(text, 1, TOP)).alias("head"))
+    keys = vocabulary.select(letters(F.col("name")).alias("key")).filter(F.length("key") >= LEAST_NAME).distinct()
+    named = _anchored(tops, keys, F.substring("key", 1, LEAST_NAME), page).filter(F.substr("head", F.col("at"), F.length("key")) == F.col("key"))
+    found = named.groupBy(page).agg(F.sort_array(F.collect_set(F.struct((-F.length("key")).alias("n"), "key"))).alias("names"))
+    left = F.aggregate(F.coalesce("names", F.array().cast("array<struct<n:int,key:string>>")), F.col("head"), lambda acc, x: F.replace(acc, x["key"], F.lit("")))
+    return tops.join(found, page, "left").select(page, F.substring(left, 1, OPENING).alias("opening")).filter("opening <> ''")
+
+
+def opening_makers(pages: DataFrame, settled: DataFrame, vocabulary: DataFrame, page: str = "page_id", text: str = "text") -> DataFrame:
+    """(page, maker, alike): unsettled pages take the one maker of the settled pages that open as they do, two or more.
+
+    ``settled`` is (page, maker), one row a page; a page with a null maker is neither settled nor given one.  Spellings are of one
+    maker where each holds the shortest; the commonest is given, of several the last by name.
+    """
+    opened = openings(pages, vocabulary, page, text)
+    spelt = settled.filter("maker is not null").join(opened, page).groupBy("opening", "maker").agg(F.count(F.lit(1)).alias("n")).withColumn("key", squash(F.col("maker")))
+    short = spelt.groupBy("opening").agg(F.min(F.struct(F.length("key").alias("l"), "key")).alias("s"))
+    agree = spelt.join(short, "opening").groupBy("opening").agg(F.bool_and(F.contains("key", F.col("s.key"))).alias("one"), F.max(F.struct("n", "maker")).alias("m"), F.sum("n").alias("alike"))
+    agree = agree.filter(F.col("one") & (F.col("alike") >= LEAST_ALIKE)).select("opening", F.col("m.maker").alias("maker"), "alike")
+    return opened.join(settled.select(page), page, "left_anti").join(agree, "opening").select(page, "maker", "alike")
+
+
 def layout_words(pages: DataFrame, page: str = "page_id", text: str = "text") -> DataFrame:
     """(page, word): the distinct words of a page that five pages or more print and no more than half of all."""
-    total = pages.count()
+    total = pages.agg(F.count(F.lit(1)).alias("_total"))
     words = pages.select(page, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("word"))
-    kept = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") >= LEAST_WORD_PAGES) & (F.col("n") <= MOST_WORD_SHARE * total))
+    kept = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_WORD_PAGES).crossJoin(F.broadcast(total)).filter(F.col("n") <= MOST_WORD_SHARE * F.col("_total"))  # one row
     return words.join(kept.select("word"), "word", "left_semi").select(page, "word")
 
 

@@ -54,3 +54,15 @@ def test_empty_tables(spark):
     known = spark.createDataFrame([], "name string, documents long")
     assert brands.letterhead_makers(pages, known).count() == 0
     assert brands.signed_makers(pages, spark.createDataFrame([], "page_id int, maker string")).count() == 0
+
+
+def test_openings(spark):
+    pages = [(1, "ALDER Lamps, Inc. Order form no 1 for the house of"), (2, "Order form no 22 for the house of"), (3, "alder lamps order form NO for the house of"), (4, "Birch order form no for the house of"), (5, None), (6, "123"), (7, "Order form no for the house of"), (8, "Elm price list 8"), (9, "price list 9"), (10, "price list")]
+    df = spark.createDataFrame(pages, "page_id int, text string")
+    names = spark.createDataFrame([("Alder Lamps",), ("Alder Lamps Inc",), ("Birch",), ("Elm",), ("Elm",)], "name string")
+    opened = {r.page_id: r.opening for r in brands.openings(df, names).collect()}
+    assert opened == {i: "orderformnoforthehouseof" for i in (1, 2, 3, 4, 7)} | {8: "elmpricelist", 9: "pricelist", 10: "pricelist"}
+    settled = spark.createDataFrame([(1, "alder lamps inc"), (3, "alder lamps"), (7, None), (9, "elm")], "page_id int, maker string")
+    assert {tuple(r) for r in brands.opening_makers(df, settled, names).collect()} == {(2, "alder lamps inc", 2), (4, "alder lamps inc", 2)}
+    two = settled.union(spark.createDataFrame([(4, "birch")], "page_id int, maker string"))
+    assert brands.opening_makers(df, two, names).count() == 0
