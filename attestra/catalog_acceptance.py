@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import acceptance, load_checks
+from .operators import acceptance, load_checks, loading, review
 from .registry import register
+from .sources.driver_tables import twin
 
 # ---- golden set: documents, their language to be told, most of them predicted ------------------------------
 
@@ -81,3 +82,21 @@ def _(d):
 SELECT 'check_number' AS "column", value, count(*) AS documents, string_agg(d, '; ' ORDER BY d) AS first FROM c GROUP BY value HAVING count(*) > 1""")
 def _(d):
     return load_checks.shared_identities(_export(d))
+
+
+# ---- what an export holds, and who approved decisions --------------------------------------------------------
+
+
+@register("export_summary", twin("""WITH c AS (SELECT 'party' AS "table", count(*) AS records, 0 AS withheld FROM party UNION ALL SELECT 'invoice_header', count(*) FILTER (review_status = 'clear'), count(*) FILTER (review_status <> 'clear') FROM invoice_header UNION ALL SELECT 'invoice_line', count(*), 0 FROM invoice_line)
+SELECT "table", records, CAST(withheld AS BIGINT) AS withheld, records = 0 AS empty FROM c UNION ALL SELECT 'all', CAST(sum(records) AS BIGINT), CAST(sum(withheld) AS BIGINT), sum(records) = 0 FROM c""", "party", "invoice_header", "invoice_line"))
+def _(d):
+    return loading.export_summary({"invoice_line": d.invoice_line(), "party": d.party(), "invoice_header": d.invoice_header()}, ["party", "invoice_header", "invoice_line", "shipment"])
+
+
+@register("approval_provenance", """WITH c AS (SELECT c_custkey AS decision_id, CASE WHEN c_custkey % 3 = 0 THEN 'client' WHEN c_custkey % 3 = 1 THEN 'engagement_owner' WHEN c_custkey % 5 = 0 THEN 'anyone' ELSE 'client' END AS a, CASE WHEN c_custkey % 4 <> 0 THEN c_name END AS who FROM customer),
+r AS (SELECT *, CASE WHEN a = 'anyone' THEN 'unknown_approval_authority' WHEN a = 'engagement_owner' AND who IS NULL THEN 'engagement_owner_not_named' END AS reason FROM c)
+SELECT decision_id, CASE WHEN reason IS NULL THEN a || '_approved' END AS status, a AS approval_authority, who AS approved_by, reason FROM r""")
+def _(d):
+    k = F.col("c_custkey")
+    authority = F.when(k % 3 == 1, "engagement_owner").when((k % 3 == 2) & (k % 5 == 0), "anyone").when(k % 6 == 0, "client")
+    return review.approval_provenance(d.raw("customer").select(k.alias("decision_id"), authority.alias("approval_authority"), F.when(k % 4 == 0, " ").otherwise(F.col("c_name")).alias("approved_by")))

@@ -52,6 +52,22 @@ def load_plan(tables: dict[str, DataFrame], order: list[str], keys: dict[str, li
     return plan.crossJoin(total).select("*", F.when(F.col("total") == 0, "plan_orders_no_rows").alias("finding")).drop("total")  # one row of a total
 
 
+def export_summary(tables: dict[str, DataFrame], order: list[str], review: str = "review_status") -> DataFrame:
+    """(table, records, withheld, empty) in load order, and last the totals as ``all``: rows that are clear to export, and rows that are not.
+
+    A table with a ``review`` column exports its clear rows alone, a null status is not clear; another exports all.  Each table is
+    counted in one scan of that column.
+    """
+    counts = []
+    for i, name in enumerate(n for n in order if n in tables):
+        df = tables[name]
+        clear = F.coalesce(F.col(review) == "clear", F.lit(False)) if review in df.columns else F.lit(True)
+        counts.append(df.agg(F.count_if(clear).alias("records"), F.count_if(~clear).alias("withheld")).select(F.lit(i).alias("at"), F.lit(name).alias("table"), "records", "withheld"))
+    rows = reduce(DataFrame.unionByName, counts)
+    total = rows.agg((F.max("at") + 1).alias("at"), F.lit("all").alias("table"), F.sum("records").alias("records"), F.sum("withheld").alias("withheld"))
+    return rows.unionByName(total).orderBy("at").select("table", "records", "withheld", (F.col("records") == 0).alias("empty"))
+
+
 def untyped_columns(rows: DataFrame, columns: list[str], suffix: str, kind: str) -> DataFrame:
     """(column, rows, kind, reason) of columns that hold text and have no typed companion beside them."""
     bare = [c for c in columns if c in rows.columns and f"{c}{suffix}" not in rows.columns]

@@ -179,3 +179,20 @@ def simulated_approval(items: DataFrame) -> DataFrame:
 def simulated_gate(simulated: DataFrame) -> DataFrame:
     """What a downstream gate may say of a simulation: items approved in it, and no production fact."""
     return simulated.agg(F.count(F.lit(1)).alias("simulated_approved_items"), F.lit(0).cast("long").alias("production_facts_approved"), F.lit("not_loaded_simulation_only").alias("production_retrieval_status"))
+
+
+# Who may approve, and what an entry approved by each is called.
+AUTHORITIES = {"client": "client_approved", "engagement_owner": "engagement_owner_approved"}
+
+
+def approval_provenance(decisions: DataFrame) -> DataFrame:
+    """(decision_id, status, approval_authority, approved_by, reason): who approved each decision, or why it stands for nothing.
+
+    A null authority is the client's.  An engagement owner has to be named, as the client did not decide; a blank name counts
+    as none.  An unknown authority approves nothing.  Refused rows have no status.
+    """
+    who = F.nullif(F.trim("approved_by"), F.lit(""))
+    by = F.coalesce("approval_authority", F.lit("client"))
+    reason = F.when(~by.isin(*AUTHORITIES), "unknown_approval_authority").when((by == "engagement_owner") & who.isNull(), "engagement_owner_not_named")
+    status = F.create_map(*(F.lit(x) for kv in AUTHORITIES.items() for x in kv))[by]
+    return decisions.select("decision_id", F.when(reason.isNull(), status).alias("status"), by.alias("approval_authority"), who.alias("approved_by"), reason.alias("reason"))
