@@ -48,7 +48,8 @@ class Retained:
     pointer, value: JSON, flag), ``signals`` (signal, document_id, field, pointer, text: every text inside a candidate),
     ``exceptions`` (index, document_id, field, reason).  Accepted claims, claims without candidates and null candidates give
     nothing.  A blank id, fields that are no object (null too), a claim that is none or has a blank name, and candidates that are no
-    list are exceptions.  Containers are opened a level at a time, each level written, whatever their depth.
+    list are exceptions.  Candidates are written once; containers are opened a level at a time,
+    whatever their depth, and a level is written without the texts that are done.
     """
 
     def __init__(self, documents: DataFrame):
@@ -58,7 +59,6 @@ class Retained:
         kind = lambda c: F.coalesce(F.schema_of_variant(c), F.lit("VOID"))
         base = documents.select("index", F.col("document_id").cast("string").alias("document_id"), F.try_parse_json("fields").alias("v"))
         base = base.select("index", "document_id", F.to_json("v").alias("fields"), kind("v").startswith("OBJECT<").alias("object"))
-        base = s.table(base)
         named = F.trim(F.coalesce("document_id", F.lit(""))) != ""
         bad = [
             base.filter(~named).select("index", none.alias("document_id"), none.alias("field"), F.lit("candidate_inventory_document_id_missing").alias("reason")),
@@ -69,10 +69,10 @@ class Retained:
         whole = kind("claim").startswith("OBJECT<") & (F.trim("field") != "")
         values = F.variant_get("claim", "$.candidate_values", "variant")
         flag = F.variant_get("claim", "$.consensus_flag", "variant")
-        claims = s.table(claims.select(
+        claims = claims.select(
             "index", "document_id", "field", whole.alias("whole"), kind(values).alias("kind"), F.when(whole, F.to_json(values)).alias("values"),
             F.when(kind(flag) == "STRING", F.variant_get("claim", "$.consensus_flag", "string")).alias("flag"), (F.coalesce(F.to_json(F.variant_get("claim", "$.accepted", "variant")), F.lit("")) == "true").alias("accepted"),
-        ))
+        )
         bad.append(claims.filter("not whole").select("index", "document_id", "field", F.lit("candidate_inventory_field_claim_malformed").alias("reason")))
         unsettled = claims.filter("whole and not accepted and kind <> 'VOID'")
         array = F.col("kind").startswith("ARRAY<")
@@ -88,17 +88,22 @@ class Retained:
 
     def _signals(self) -> DataFrame:
         s, spark = self.scratch, self.scratch.spark
-        now, found = self.candidates.select("document_id", "field", "pointer", "value"), []
-        while True:
-            text = F.get_json_object(F.concat(F.lit("["), "value", F.lit("]")), "$[0]")
-            leaf = now.filter(F.col("value").startswith('"')).select("document_id", "field", "pointer", text.alias("text"))
-            found.append(leaf.select(F.explode(signals(F.col("text"))).alias("signal"), "document_id", "field", "pointer", "text"))
-            inner = now.filter(F.col("value").rlike(r"^[\[{].") & ~F.col("value").isin("{}", "[]"))
-            if inner.isEmpty():
-                break
-            parts = inner.select("document_id", "field", "pointer", F.parse_json("value").alias("v")).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        key, text = ["document_id", "field", "pointer"], F.get_json_object(F.concat(F.lit("["), "value", F.lit("]")), "$[0]")
+        inside = F.col("value").rlike(r"^[\[{].") & ~F.col("value").isin("{}", "[]")
+        heard = F.when(F.col("value").startswith('"'), signals(text))
+
+        def told(df: DataFrame) -> DataFrame:
+            return df.filter(F.size("heard") > 0).select(F.explode("heard").alias("signal"), *key, text.alias("text"))
+
+        now = self.candidates.select(*key, "value").withColumn("heard", heard)
+        found = [told(now)]
+        while not now.filter(inside).isEmpty():
+            parts = now.filter(inside).select(*key, F.parse_json("value").alias("v")).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
             step = F.when(F.col("key").isNull(), F.concat(F.lit("/"), F.col("pos").cast("string"))).otherwise(_step(F.col("key")))
-            now = s.table(parts.select("document_id", "field", F.concat("pointer", step).alias("pointer"), F.to_json("value").alias("value")))
+            opened = parts.select("document_id", "field", F.concat("pointer", step).alias("pointer"), F.to_json("value").alias("value")).withColumn("heard", heard)
+            # a level keeps what is still to be opened and what has a signal, no other text
+            now = s.table(opened.filter(inside | (F.size("heard") > 0)))
+            found.append(told(now))
         out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
