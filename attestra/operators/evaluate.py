@@ -44,14 +44,17 @@ def layout_similarity(a: Column, b: Column, same_family: Column) -> Column:
 def template_drift(templates: DataFrame, registry: DataFrame, least: float = 0.5) -> DataFrame:
     """Each template against the approved registry: exact, ambiguous, drift, new.  (template_id, family, headers)
 
-    Candidates share a header, so the join runs over headers and not over all pairs.
+    Templates of one family and the same headers are scored once, and so are approved ones; candidates share a header.  The work
+    grows with the pairs of different layouts that share one, not with the templates.
     """
-    r = registry.select(F.col("template_id").alias("approved_id"), F.col("family").alias("a_family"), F.col("headers").alias("a_headers"))
-    words = templates.select("template_id", F.explode("headers").alias("h")).join(r.select("approved_id", F.explode("a_headers").alias("h")), "h").select("template_id", "approved_id").distinct()
-    scored = words.join(templates, "template_id").join(r, "approved_id").withColumn("score", layout_similarity(F.col("headers"), F.col("a_headers"), F.col("family") == F.col("a_family"))).withColumn("same", (F.col("headers") == F.col("a_headers")) & (F.col("family") == F.col("a_family")))
+    layout = ["family", "headers"]
+    r = registry.groupBy(*layout).agg(F.count(F.lit(1)).alias("ids"), F.min("template_id").alias("approved_id")).toDF("a_family", "a_headers", "ids", "approved_id")
+    t = templates.select(*layout).distinct()
+    words = t.select(*layout, F.explode("headers").alias("h")).join(r.select("*", F.explode("a_headers").alias("h")), "h").drop("h").distinct()
+    scored = words.withColumn("score", layout_similarity(F.col("headers"), F.col("a_headers"), F.col("family") == F.col("a_family"))).withColumn("same", (F.col("headers") == F.col("a_headers")) & (F.col("family") == F.col("a_family")))
     near = scored.filter((F.col("score") >= least) | F.col("same"))
-    best = near.groupBy("template_id").agg(F.sum(F.col("same").cast("long")).alias("exact"), F.max("score").alias("top"), F.min(F.struct((-F.col("score")).alias("s"), F.col("approved_id").alias("approved_id"))).alias("b"))
-    out = templates.join(best, "template_id", "left")
+    best = near.groupBy(*layout).agg(F.sum(F.when(F.col("same"), F.col("ids")).otherwise(0)).alias("exact"), F.max("score").alias("top"), F.min(F.struct((-F.col("score")).alias("s"), F.col("approved_id").alias("approved_id"))).alias("b"))
+    out = templates.join(best, layout, "left")
     verdict = F.when(F.col("exact") == 1, "exact").when(F.col("exact") > 1, "ambiguous").when(F.col("top").isNotNull(), "drift").otherwise("new")
     return out.select("template_id", verdict.alias("verdict"), F.col("b.approved_id").alias("nearest"), F.col("top").alias("score"))
 
