@@ -100,7 +100,7 @@ def _(d):
     docs = d.raw("documents")
     words = F.split("text", " ")
     known = docs.groupBy(F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("name")).agg(F.count("*").alias("documents"))
-    return brands.letterhead_names(docs, known, False, "doc_id").groupBy("doc_id").agg(F.count("*").alias("names"), F.min("at").cast("long").alias("first_at"))
+    return brands.letterhead_places(docs, known, "doc_id").groupBy("doc_id").agg(F.count("*").alias("names"), F.min("at").cast("long").alias("first_at"))
 
 
 @register("layout_signatures", """WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9]{2,}')) AS word FROM documents),
