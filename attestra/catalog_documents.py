@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .functions import values
 from .operators import attribution, changes, chunks, consensus, entities, graph, loading, pages, proof, review, search, variants
 from .registry import register
+from .scratch import Scratch
 from .sources.driver_tables import Driver, twin
 
 
@@ -99,7 +100,8 @@ def _(d):
 @register("resolutions_applied", twin(f"""WITH {_H}, l AS (SELECT document_id, row_index, field, count(*) FILTER (n = best) AS leaders, max(best) AS best FROM (SELECT *, max(n) OVER (PARTITION BY document_id, row_index, field) AS best FROM c) GROUP BY ALL)
 SELECT field, accepted AS before, accepted OR (leaders = 1 AND best >= 2) AS after, count(*) AS cells FROM h JOIN l USING (document_id, row_index, field) GROUP BY ALL""", "readings"))
 def _(d):
-    cells = consensus.field_consensus(d.readings())
+    # the votes come from the cells and go back to them, so the cells are made once
+    cells = Scratch(d.spark, "cells").table(consensus.field_consensus(d.readings()).select(*consensus.CELL, "value", "consensus_flag", "accepted", "clusters"))
     done = consensus.apply_resolutions(cells.withColumn("before", F.col("accepted")), consensus.vendor_vote(cells))
     return done.groupBy("field", "before", F.col("accepted").alias("after")).agg(F.count(F.lit(1)).alias("cells"))
 

@@ -35,11 +35,13 @@ def handwriting(readings: DataFrame, max_passes: int = 3) -> DataFrame:
     """
     value = F.when(F.col("numeric"), F.regexp_replace("value", r"[,$\s]", "").try_cast("decimal(38,4)").cast("string")).otherwise(F.nullif(F.lower(F.trim("value")), F.lit("")))
     r = readings.withColumn("v", value)
-    head = r.groupBy(*REGION).agg(F.countDistinct("kind").alias("kinds"), F.min("kind").alias("kind"), F.bool_and("numeric").alias("numeric"), F.max("iteration").alias("iteration"), F.countDistinct("group").alias("groups"), F.count(F.when(F.col("v").isNull(), 1)).alias("missing"))
-    per = r.filter("v is not null").groupBy(*REGION, "v").agg(F.countDistinct("group").alias("n"))
-    best = per.groupBy(*REGION).agg(F.max(F.struct("n", "v")).alias("top"), F.count(F.lit(1)).alias("clusters"), F.sort_array(F.collect_list("n"), False).alias("sizes"))
-    x = head.join(best, list(REGION), "left")
-    tied = (F.size("sizes") > 1) & (F.get("sizes", F.lit(0)) == F.get("sizes", F.lit(1)))
+    # a region's readings are as many as its groups, so one aggregation holds them
+    said = F.collect_set(F.when(F.col("v").isNotNull(), F.struct("v", "group"))).alias("said")
+    head = r.groupBy(*REGION).agg(F.size(F.collect_set("kind")).alias("kinds"), F.min("kind").alias("kind"), F.bool_and("numeric").alias("numeric"), F.max("iteration").alias("iteration"), F.size(F.collect_set("group")).alias("groups"), F.count(F.when(F.col("v").isNull(), 1)).alias("missing"), said)
+    votes = lambda v: F.size(F.filter("said", lambda s: (s["v"] == v) & s["group"].isNotNull()))
+    x = head.withColumn("per", F.transform(F.array_distinct("said.v"), lambda v: F.struct(votes(v).alias("n"), v.alias("v"))))
+    x = x.withColumns({"top": F.array_max("per"), "clusters": F.size("per")})
+    tied = F.size(F.filter("per", lambda c: c["n"] == F.col("top.n"))) > 1
     reason = (
         F.when(F.col("kinds") != 1, "conflicting_semantic_type")
         .when(F.col("kind").isin(*SIGNATURES), "signature_never_transcribed_as_data")

@@ -27,7 +27,7 @@ def vote_with_ties(cells: DataFrame, readings: DataFrame, pages: DataFrame | Non
     readings (document_id, row_index, field, vendor, value); pages (document_id, text), of several for one document all count.
     """
     # the cells are read three times, so they are made once
-    cells = Scratch(cells.sparkSession, "votes").table(cells)
+    cells = Scratch(cells.sparkSession, "votes").table(cells.select(*CELL, "value", "accepted", "clusters"))
     base = vendor_vote(cells, minimum)
     tied = base.filter("reason = 'vendors_tied'").select(*CELL)
     said = readings.filter("value is not null").select(*CELL, "value").distinct().join(tied, list(CELL), "left_semi").withColumn("k", comparable(F.col("value")))
