@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 
 MAX_DEPTH = 12
+#: Pairs of common neighbours that one task counts.
+PAIRS = 250_000
 
 
 def content_id(kind: Column, *parts: Column) -> Column:
@@ -69,10 +71,21 @@ def shortest_path(edges: DataFrame, source: str, target: str, depth: int = MAX_D
 
 
 def candidates(nodes: DataFrame, edges: DataFrame, edge_type: str) -> DataFrame:
-    """Pairs of nodes with a common neighbour over ``edge_type``, with how many; a node's most connected first."""
-    e = edges.filter(F.col("edge_type") == edge_type).select("from_id", "to_id").distinct()
-    l, r = e.alias("l"), e.alias("r")
-    return l.join(r, (F.col("l.to_id") == F.col("r.to_id")) & (F.col("l.from_id") < F.col("r.from_id"))).groupBy(F.col("l.from_id").alias("a"), F.col("r.from_id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    """Pairs of nodes with a common neighbour over ``edge_type``, with how many; a node's most connected first.
+
+    The pairs grow with the square of a neighbour's nodes.  A neighbour's smaller ids are cut into parts by hash, each of which
+    meets all its nodes, and the pairs are dealt by their smaller id into as many tasks as they ask for, so what a task holds does not grow.
+    """
+    e = edges.filter(F.col("edge_type") == edge_type).select("from_id", "to_id").dropna().distinct()
+    n = F.col("n")
+    met = e.groupBy("to_id").agg(F.count(F.lit(1)).cast("double").alias("n")).agg(F.sum(n * (n - 1) / 2)).first()[0] or 0
+    least = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = 1 + int(met // (4 * PAIRS))
+    parts = F.lit(many).cast("long")
+    l = e.select(F.pmod(F.xxhash64("from_id"), parts).alias("part"), "to_id", F.col("from_id").alias("a")).repartition(max(least, many), "part", "to_id")
+    r = e.select(F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "to_id", F.col("from_id").alias("b")).repartition(max(least, many), "part", "to_id")
+    pairs = l.join(r.hint("merge"), ["part", "to_id"]).filter("a < b").select("a", "b").repartition(max(least, int(met // PAIRS)), "a")
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def contradictions(claims: DataFrame) -> DataFrame:
