@@ -37,7 +37,7 @@ def test_query_reads_whole_documents(spark, tmp_path):
     docs = []
     for i in range(60):
         own = [f"t{i % 2}x{draw.randrange(60)}" for _ in range(30 if i % 3 else 500)]
-        docs.append((i, ". ".join([f"s{n}" for n in range(12)] + own) + ".", f"l{i % 2}"))
+        docs.append((i * 100, ". ".join([f"s{n}" for n in range(12)] + own) + ".", f"l{i % 2}"))
     rows = [(i, t, x, "web", len(t)) for i, t, x in docs]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.page_id: (r.label, r.likeness) for r in QUERIES["nearest_label"](spark, str(tmp_path)).collect()}
