@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
+#: Rows that one task sorts or joins.
+TASK_ROWS = 150_000
+
+
+def tasks(spark: SparkSession, rows: int) -> int:
+    """How many tasks so many rows are dealt into: the session's own number, or more, so that what one holds does not grow."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), rows // TASK_ROWS)
+
 
 def numbered(df: DataFrame, s: Scratch, within: tuple[str, ...], order: tuple[str, ...], name: str = "position") -> DataFrame:
     """``df`` with a number from 1 on, in ascending ``order`` (nulls first) inside each group of ``within``.

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from attestra import numbering
 from attestra.operators import variants
 
 PARTY = "party_key string, canonical_name string, normalized_name string, mention_count long, name_variants array<string>"
@@ -76,3 +77,24 @@ def test_nothing_to_absorb(spark):
     for df, ratio in ((one, 2), (one, 0), (one.limit(0), 2)):
         left, moved = variants.absorb_variants(df, ratio)
         assert moved.count() == 0 and left.count() == df.count()
+
+
+def test_common_words_are_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(variants, "COMMON", 3)
+    rng = random.Random(5)
+    names = [f"customer {i}" for i in range(40)] + [" ".join(rng.sample(["customer", "north", "oak", "elm", "bay"], rng.randrange(1, 4))) for _ in range(60)] + ["customer 7 oak"]
+    words = [set(n.split()) for n in names]
+    holders = {n: [m for m, w in zip(names, words) if set(n.split()) < w] for n in names}
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    held = variants.sole_holders(df, "n")
+    assert sorted((r.fragment, r.whole) for r in held.collect()) == sorted({(n, m[0]) for n, m in holders.items() if len(m) == 1})
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4
+
+
+def test_pairs_are_dealt_by_letters(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "TASK_ROWS", 100)
+    df = spark.createDataFrame([(f"customer {i}",) for i in range(200)], "n string")
+    pairs = variants.one_edit_pairs(df, "n")
+    assert "RepartitionByExpression" in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert pairs.count() == len({(a, b) for a in range(200) for b in range(a) if apart(str(a), str(b))})
