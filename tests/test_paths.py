@@ -31,3 +31,18 @@ def test_contradictory_places_are_no_document(spark):
     got = {r.i: r.text for r in paths.unflatten(spark.createDataFrame(rows, "i int, path string, value string"), "i").collect()}
     assert got == {1: None, 2: None, 3: '{"a":[2,1]}', 4: None, 6: '{"z":null}'}
     assert paths.unflatten(spark.createDataFrame([], "i int, path string, value string"), "i").count() == 0
+
+
+def test_names_that_json_escapes_come_back(spark):
+    names = ["a\n", "b\\", 'c"', "\x7f", " ", "é", "[0", "]", "a[1]", " ", "d\x01", "x.\n"]
+    docs = {i: {"o": [{n: i, "z": [n]}]} for i, n in enumerate(names)}
+    flat = paths.flatten(spark.createDataFrame([(i, json.dumps(v)) for i, v in docs.items()], "i int, t string"), "i", "t")
+    got = {r.i: r.text and json.loads(r.text) for r in paths.unflatten(flat, "i").collect()}
+    assert {i: got[i] for i in docs if not names[i].endswith("\n")} == {i: v for i, v in docs.items() if not names[i].endswith("\n")}
+
+
+def test_a_level_is_dealt_once(spark, monkeypatch):
+    seen, table = [], paths.Scratch.table
+    monkeypatch.setattr(paths.Scratch, "table", lambda self, df, *more: seen.append(df._jdf.queryExecution().executedPlan().toString()) or table(self, df, *more))
+    paths.unflatten(spark.createDataFrame([(1, "a[0].b", "1"), (1, "a[1].b", "2")], "i int, path string, value string"), "i")
+    assert len(seen) == 4 and max(plan.count("Exchange hashpartitioning") for plan in seen) == 1
