@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..numbering import tasks
+
 
 def _hash(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns)), 256)
@@ -58,11 +60,17 @@ def repeated_blocks(lines: DataFrame, document: str, order: str, signature: list
 
     Pairs of equal rows within a document are counted by their offset.
     """
-    rows = lines.select(document, F.dense_rank().over(Window.partitionBy(document).orderBy(order)).alias("i"), _hash(signature).alias("s")).distinct()
-    n = rows.groupBy(document).agg(F.max("i").alias("n"))
+    spark, of_document = lines.sparkSession, Window.partitionBy(document)
+    parts = tasks(spark, lines.count())
+    # dealt by document for its numbers, then by document and row; both follow the lines, so what a task holds does not grow
+    dealt = lines.select(*dict.fromkeys([document, order, *signature])).repartition(parts, document)
+    rows = dealt.select(document, F.dense_rank().over(of_document.orderBy(order)).alias("i"), _hash(signature).alias("s")).distinct().withColumn("n", F.max("i").over(of_document))
+    rows = rows.repartition(parts, document, "s")
     # a row in a table's second half meets those at least half a table above it, no others
-    a, b = rows.alias("a"), rows.join(n, document).filter(F.col("i") * 2 > F.col("n")).alias("b")
+    a, b = rows.alias("a"), rows.filter(F.col("i") * 2 > F.col("n")).alias("b")
     offset = F.col("b.i") - F.col("a.i")
     pairs = a.join(b, (F.col(f"a.{document}") == F.col(f"b.{document}")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.i") < F.col("b.i")) & (offset * 2 >= F.col("b.n")))
-    by = pairs.groupBy(F.col(f"a.{document}").alias(document), offset.alias("offset")).agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("a.s").alias("variety"))
-    return by.join(n, document).filter((F.col("pairs") >= least_pairs) & (F.col("variety") >= 2) & (F.col("pairs") >= ratio * (F.col("n") - F.col("offset"))))
+    # counted first where they met, so that no pair is dealt out again
+    met = pairs.groupBy(F.col(f"a.{document}").alias(document), offset.alias("offset"), F.col("b.n").alias("n"), F.col("a.s").alias("s")).agg(F.count(F.lit(1)).alias("m"))
+    by = met.repartition(parts, document, "offset", "n").groupBy(document, "offset", "n").agg(F.sum("m").alias("pairs"), F.count(F.lit(1)).alias("variety"))
+    return by.filter((F.col("pairs") >= least_pairs) & (F.col("variety") >= 2) & (F.col("pairs") >= ratio * (F.col("n") - F.col("offset")))).select(document, "offset", "pairs", "variety", "n")
