@@ -16,7 +16,9 @@ LEGAL = ("inc", "llc", "ltd", "co", "corp", "company")
 SHORT_MONTHS = ("jan", "feb", "mar", "apr", "jun", "jul", "aug", "sept", "sep", "oct", "nov", "dec")
 MONTH = "(?:" + "|".join((*MONTHS, *SHORT_MONTHS)) + ")"
 NOT_RENDERED = r"^#+$|^[+-]?[0-9]+(?:\.[0-9]+)?[Ee][+-]?[0-9]+$|(?:\.\.\.|…)$"
-SLASHED = r"^([0-9]{1,2})[/-]([0-9]{1,2})[/-][0-9]{2,4}"
+# slashed dates whose first or second number is over twelve
+FIRST_IS_DAY = r"^(?:1[3-9]|[2-9][0-9])[/-][0-9]{1,2}[/-][0-9]{2,4}"
+SECOND_IS_DAY = r"^[0-9]{1,2}[/-](?:1[3-9]|[2-9][0-9])[/-][0-9]{2,4}"
 # a date's greedy reading is kept, and a time of day may follow it
 TIME = r"\s*(?:[,\s]*(?:at\s+)?[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\s*(?:[APap]\.?[Mm]\.?)?\s*[A-Za-z]{0,4})?$"
 SETTLED = rf"(?i)^(?>[0-9]{{4}}[/-][0-9]{{1,2}}[/-][0-9]{{1,2}}|(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?(?:[0-9]{{1,2}}[ -]{MONTH}\.?[ -][0-9]{{2,4}}|{MONTH}\.?[ -][0-9]{{1,2}},?[ -][0-9]{{2,4}})){TIME}"
@@ -26,7 +28,8 @@ STRICT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    # few values have blanks at an end; the others are not written anew
+    return F.when(c.rlike(r"^\s|\s$"), F.regexp_replace(c, r"^\s+|\s+$", "")).otherwise(c)
 
 
 def party_words(name: Column) -> Column:
@@ -40,22 +43,32 @@ AMBIGUOUS = "invalid_or_ambiguous_iso_date"
 
 def date_issue(value: Column) -> Column:
     """Why a date cell needs a person, else null: unrendered, slashed (unless its document proves the order), without a day, or no date."""
-    text = _bare(value)
+    return _date_issue(_bare(value))
+
+
+def _date_issue(text: Column) -> Column:
     out = F.when(text.rlike(NOT_RENDERED), "date_not_rendered_in_source").when(text.rlike(SETTLED), None).when(text.rlike(UNSETTLED), AMBIGUOUS)
     return F.when(text != "", out.when(text.rlike(NO_DAY), "date_lacks_a_day").otherwise("date_field_holds_a_non_date"))
 
 
 def number_issue(value: Column) -> Column:
     """Why a value that cannot be negative needs a person, else null."""
-    text = F.regexp_replace(_bare(value), "[,$]", "")
+    return _number_issue(_bare(value))
+
+
+def _number_issue(bare: Column) -> Column:
+    text = F.when(bare.rlike("[,$]"), F.regexp_replace(bare, "[,$]", "")).otherwise(bare)
     text = F.when(text.rlike(r"^\(.*\)$"), F.concat(F.lit("-"), F.substr(text, F.lit(2), F.length(text) - 2))).otherwise(text)
     number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(value.isNotNull(), F.when(number.isNull(), "invalid_numeric_value").when(number < 0, "negative_value_requires_review"))
+    return F.when(bare.isNotNull(), F.when(number.isNull(), "invalid_numeric_value").when(number < 0, "negative_value_requires_review"))
 
 
 def identifier_issue(value: Column) -> Column:
     """implausible_identifier_format under three characters, without a digit or with a blank inside; else null."""
-    text = _bare(value)
+    return _identifier_issue(_bare(value))
+
+
+def _identifier_issue(text: Column) -> Column:
     return F.when((F.length(text) < 3) | ~text.rlike("[0-9]") | text.rlike(r"\s"), "implausible_identifier_format")
 
 
@@ -72,8 +85,9 @@ def field_issues(readings: DataFrame, currencies: tuple[str, ...], own_names: tu
     dated = field.endswith("_date") | field.isin(*PERIODS)
     value = F.col("value")
     known = readings.filter("document_id is not null")
-    first, second = (F.regexp_extract(_bare(value), SLASHED, k).try_cast("int") > 12 for k in (1, 2))
-    orders = known.filter(dated & (F.contains(value, F.lit("/")) | F.contains(value, F.lit("-")))).select("document_id", first.alias("day"), second.alias("month"))
+    # no text is cast to a number for it: dates that no order proves would be many failed casts
+    first, second = (F.coalesce(_bare(value).rlike(p), F.lit(False)) for p in (FIRST_IS_DAY, SECOND_IS_DAY))
+    orders = known.filter(dated & (F.contains(value, F.lit("/")) | F.contains(value, F.lit("-")))).select("document_id", first.alias("day"), second.alias("month")).filter("day or month")
     proved = orders.groupBy("document_id").agg(F.bool_or("day").alias("d"), F.bool_or("month").alias("m")).filter("coalesce(d, false) <> coalesce(m, false)").select(F.col("document_id").alias("_d"))
     pick = lambda name: F.min(F.when(F.col("path") == name, value))
     names = ("due_date", "invoice_date", "delivery_date", "ship_date", "currency")
@@ -83,15 +97,19 @@ def field_issues(readings: DataFrame, currencies: tuple[str, ...], own_names: tu
         *(pick(p + n).alias(p.replace(".", "_") + n) for p in ("header.", "") for n in names),
     )
     own = party_words(value).isin(*{w for n in own_names if (w := " ".join(x for x in "".join(c if c.isascii() and c.isalnum() else " " for c in n.lower()).split() if x not in LEGAL))}) if own_names else F.lit(False)
+    # a value's kind and its bare text are made once; exploding every reason and leaving out the null ones judges it once
+    kind = F.when(dated, "dated").when(field.isin(*NON_NEGATIVE), "number").when(field.isin(*IDENTIFIERS), "identifier").when(field.isin(*SUPPLIERS), "supplier")
+    named, text = lambda k: F.coalesce(F.col("kind") == k, F.lit(False)), F.col("text")
     reasons = F.array(
         F.when(value.isNotNull() & (F.col("source") == ""), "missing_field_provenance"),
-        F.when(field.isin(*SUPPLIERS) & own, "engagement_party_named_as_supplier"),
-        F.when(dated, date_issue(value)),
-        F.when(field.isin(*NON_NEGATIVE), number_issue(value)),
-        F.when(field.isin(*IDENTIFIERS), identifier_issue(value)),
+        F.when(named("supplier") & own, "engagement_party_named_as_supplier"),
+        F.when(named("dated"), _date_issue(text)),
+        F.when(named("number"), _number_issue(text)),
+        F.when(named("identifier"), _identifier_issue(text)),
     )
-    kinds = dated | field.isin(*SUPPLIERS, *NON_NEGATIVE, *IDENTIFIERS) | (F.col("source") == "")
-    cells = readings.filter(value.isNotNull() & kinds).select("document_id", F.col("path").alias("field"), F.explode(F.array_compact(reasons)).alias("reason"), "value")
+    judged = readings.filter(value.isNotNull()).select("document_id", F.col("path").alias("field"), "value", "source", kind.alias("kind"), _bare(value).alias("text"))
+    judged = judged.filter(F.col("kind").isNotNull() | (F.col("source") == ""))
+    cells = judged.select("document_id", "field", F.explode(reasons).alias("reason"), "value").filter("reason is not null")
     by_cell = cells.join(proved, (F.col("document_id") == F.col("_d")) & (F.col("reason") == AMBIGUOUS), "left_anti")
     of = lambda n: F.when(F.col("headed"), F.col("header_" + n)).otherwise(F.col(n))
     date = lambda n: F.when(of(n).rlike(STRICT), of(n).try_cast("date"))
