@@ -6,7 +6,10 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from attestra import catalog_pages
 from attestra.operators import page_review as pr
+from attestra.scratch import Scratch
+from attestra.sources.driver_tables import Driver
 
 FIX = "page string, ordinal int, line string, column string, export_value string, page_value decimal(38,6), evidence string, moves_from_lines array<string>"
 FIELD = "page string, line string, column string, value string, accepted_by string"
@@ -107,3 +110,62 @@ def test_second_reader_must_be_another():
     for pair in (("a", ""), ("", "a"), ("A ", "a")):
         with pytest.raises(ValueError):
             pr.check_second_reader(*pair)
+
+
+MONEY_T = "decimal(38,6)"
+
+
+def test_corrections_against_plain_counts(spark):
+    rng = random.Random(7)
+    pages, figures, cols = [f"p{k}" for k in range(25)], [D("5"), D("7.5"), D("12"), D("0")], ["extended_amount", "unit_price"]
+    pick = lambda n, *of: [tuple(rng.choice(x) for x in of) for _ in range(n)]
+    lines = ["1", "2", "3", "10"]
+    cells = [(*c, rng.random() < 0.2) for c in dict.fromkeys(pick(150, pages, lines, cols))]
+    cells = [(p, n, c, rng.choice([*figures, None]), x) for p, n, c, x in cells]
+    findings = [(p, i, n, c, rng.choice(["9.00", None]), said) for i, (p, n, c, said) in enumerate(pick(120, pages, [*lines, "header", "x"], [*cols, "note"], ["5.00", "$7.50 USD", "7.50 as printed", "12", "0", "illegible", "not printed", None]))]
+    printed = [(p, a, rng.randrange(3)) for p, a in dict.fromkeys(pick(60, pages, [*figures, None]))]
+    readings, second = ([(*x, rng.choice([*figures, None])) for x in pick(120, pages, [*lines, "header"], cols)] for _ in range(2))
+    reviews = [(p, None if p == "p3" else "k", "amount", 1, 1, 0, ["1"], None) for p in pages[1:]]
+    make = lambda rows, schema: spark.createDataFrame(rows, schema.replace("amount money", f"amount {MONEY_T}"))
+    four = "page string, line string, column string, amount money"
+    facts = pr.facts(make(cells, four + ", excluded boolean"), make(printed, "page string, amount money, n long"), make(readings, four), make(second, four))
+    r = make(reviews, "page string, document_kind string, m string, page_rows int, m_c int, m_w int, page_m array<string>, page_total string").toDF("page", "document_kind", "money_column", "page_rows", "money_cells_checked", "money_cells_wrong", "page_money", "page_total")
+    got = {x.ordinal: (x.page_value, x.evidence, x.retained_readings, x.moves_from_lines, x.difference) for x in pr.corrections(r, make(findings, "page string, ordinal int, line string, column string, export string, said string"), facts, ("b", "a")).collect()}
+    value = {"5.00": D("5"), "$7.50 USD": D("7.5"), "7.50 as printed": D("7.5"), "12": D("12"), "0": D("0")}
+    want = {}
+    for p, i, n, c, export, said in findings:
+        if p in ("p0", "p3") or n == "x" or c == "note" or said not in value:
+            continue
+        v = value[said]
+        held = sorted(a for q, m, d, a in readings if (q, m, d) == (p, n, c) and a is not None)
+        others = sorted((m for q, m, d, a, x in cells if (q, d, a) == (p, c, v) and not x and m != n), key=int)
+        text, engine = any((q, a) == (p, v) and k > 0 for q, a, k in printed), v in held
+        read = [m == "header" for q, m, d, a in second if (q, d, a) == (p, c, v)]
+        agrees = any(read) if n == "header" else read.count(False) > len(others)
+        evidence = "extractor_text_and_engine" if engine and text else "extractor_text" if text else "engine" if engine else "second_vendor" if agrees else "reviewer_only"
+        want[i] = (v, evidence, held, others if v and n != "header" else [], abs(v - (D("9") if export else 0)))
+    assert got == want and len({x[1] for x in want.values()}) == 5 and any(x[3] for x in want.values())
+
+
+def test_a_page_is_dealt_once(spark):
+    d = Driver(spark, "/root/testdata/sf0.001")
+    x = catalog_pages._Pages(d)
+    plan = catalog_pages._graded(x)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_NUM") > 0
+    assert x.line.rdd.getNumPartitions() == d.line_tasks()
+
+
+def test_rounds_read_only_pages_that_can_lose_a_correction(spark, monkeypatch):
+    fields = [(f"p{k}", n, "extended_amount", "9.00", "consensus") for k in range(20) for n in "12"]
+    fixes = [(f"p{k}", 1, "1", "extended_amount", "9", D("5"), "engine", ["2"] if k < 2 else []) for k in range(20)] + [("p0", 2, "2", "extended_amount", "9", D("7"), "engine", [])]
+    read, table = [], Scratch.table
+
+    def counted(self, df, tasks=None):
+        out = table(self, df, tasks)
+        read.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    got = {(r.page, r.ordinal): r.refused for r in pr.plan_amendments(spark.createDataFrame(fixes, FIX), spark.createDataFrame(fields, FIELD)).collect()}
+    assert got == {(x[0], x[1]): "moves_a_figure_whose_other_half_is_not_proved" if x[0] == "p1" else None for x in fixes}
+    assert read[0] == 21 and all(n <= 3 for n in read[1:])
