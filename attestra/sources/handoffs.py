@@ -19,7 +19,8 @@ LANES = ("consensus_primary", "consensus_secondary", "consensus_tiebreaker")
 PREFIXES = {"openai": "openai/", "google": "google_genai_vertex/", "openrouter": "openrouter/", "anthropic": "anthropic/"}
 ROUTERS = ("openrouter",)
 READ_BY_MODEL = "model"
-SHA = "^[0-9a-f]{64}$"
+# Suspects up to which the executors get all their hashes, and rows that one task of a meeting holds.
+MOST_SENT, MEET_ROWS = 4_000_000, 500_000
 RECORD = ("handoff", "document_id", "engine", "engine_version", "raw_response", "raw_sha256", "page_sha256", "review_status", "flags", "payload")
 
 
@@ -39,8 +40,10 @@ def digests(records: DataFrame) -> DataFrame:
     It sums the hashes of the records, so partial sums leave a task and not rows.
     """
     row = F.sha2(F.to_json(F.struct(*(c for c in RECORD if c != "handoff")), {"ignoreNullFields": "false"}), 256)
-    part = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-    return records.groupBy("handoff").agg(F.concat_ws("-", F.count(F.lit(1)), part(1), part(16)).alias("digest"))
+    long = lambda at: F.conv(F.substring(row, at, 15), 16, 10).cast("long")
+    # sums of the upper and the lower 30 bits, each a long
+    total = lambda x: (F.sum(F.shiftright(x, 30)).cast("decimal(28,0)") * (1 << 30) + F.sum(x.bitwiseAND(F.lit((1 << 30) - 1)))).cast("decimal(38,0)").cast("string")
+    return records.groupBy("handoff").agg(F.concat_ws("-", F.count(F.lit(1)), total(long(1)), total(long(16))).alias("digest"))
 
 
 def vendor_of(provider: Column, model: Column) -> Column:
@@ -78,48 +81,86 @@ def _lanes(headers: DataFrame) -> DataFrame:
     return h.select(*headers.columns, "vendor", F.coalesce(*(F.when(t, n) for n, t in tests.items())).alias("reason"))
 
 
-def load(headers: DataFrame, records: DataFrame, raw: DataFrame, expected: tuple[str, ...] = (), comment_only: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(readings, findings): verified readings, and (handoff, document_id, reason) of all that speaks against a handoff.
+def _unproven(records: DataFrame, raw: DataFrame, tasks: int) -> DataFrame:
+    """(_p): hashes of the paths whose records and files do not all state one SHA-256, or that no file has.
 
-    A record must be of its handoff's engine and model, keep a raw response whose file has the stated hash, state a page's
-    hash and a document, and be the only one of its engine for the document.  The records together must have the stated digest.
-    A lane of ``expected`` that no handoff brings, and records of a handoff without a header, are findings too.  With ``comment_only``
-    flags about handwriting do not block.  Lanes are a few rows whatever the corpus; records meet files by a join on the path.
+    A path goes by 64 bits and a SHA-256 by 127 of a hash of its own, so that three numbers a row are shuffled; the last bit tells files from records.
+    """
+    c = F.col
+    last = F.lit(1).cast("long")
+    side = lambda df, path, sha, bit: df.select(F.xxhash64(path).alias("_p"), F.xxhash64(sha).alias("_v"), F.shiftleft(F.xxhash64(F.lit("+"), sha), 1).bitwiseOR(F.lit(bit).cast("long")).alias("_w"))
+    both = side(records, "raw_response", "raw_sha256", 0).unionByName(side(raw, "path", "sha256", 1)).repartition(tasks, "_p")
+    rest, bit = F.shiftright("_w", 1), c("_w").bitwiseAND(last)
+    met = both.groupBy("_p").agg(((F.min("_v") == F.max("_v")) & (F.min(rest) == F.max(rest)) & (F.max(bit) == 1)).alias("_same"), (F.min(bit) == 0).alias("_recorded"))
+    return met.filter(c("_recorded") & ~c("_same")).select("_p")
+
+
+def _judged(records: DataFrame, lanes: DataFrame, raw: DataFrame, s: Scratch) -> DataFrame:
+    """(handoff, document_id, reason) of every record that has a reason.
+
+    Files and equal documents are first sought by hashes alone; only the records that these or a record's own columns
+    speak against are kept, and held against their files and each other by the whole text.
     """
-    s = Scratch(records.sparkSession, "handoffs")
     c = F.col
-    lanes = s.table(_lanes(headers))
-    rows = records.select(*RECORD).join(lanes.select("handoff", c("engine").alias("_engine"), c("model").alias("_model")), "handoff", "left")
-    files = raw.groupBy(c("path").alias("raw_response")).agg(F.min("sha256").alias("_found"))
-    again = records.filter("document_id is not null").groupBy("engine", "document_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    rows = rows.join(files, "raw_response", "left").join(again, ["engine", "document_id"], "left")
     same = lambda a, b: F.coalesce(c(a) == c(b), F.lit(False))
     blank = lambda x: F.trim(F.coalesce(c(x).cast("string"), F.lit(""))) == ""
-    hexed = lambda x: F.coalesce(c(x).rlike(SHA), F.lit(False))
+    hexed = lambda x: F.coalesce((F.length(x) == 64) & (F.lower(F.hex(F.unhex(x))) == c(x)), F.lit(False))
+    rows = records.select(*RECORD).join(F.broadcast(lanes.select("handoff", c("engine").alias("_engine"), c("model").alias("_model"))), "handoff", "left")
+    stranger = c("_engine").isNull() & c("_model").isNull()
+    mismatch = ~(same("engine", "_engine") & same("engine_version", "_model"))
+    tasks = max(1, (records.count() + raw.count()) // MEET_ROWS)
+    unproven = s.table(_unproven(records, raw, tasks))
+    key = F.xxhash64("engine", "document_id")
+    again = records.filter("engine is not null and document_id is not null").select(key.alias("_d")).repartition(tasks, "_d").groupBy("_d").agg(F.count(F.lit(1)).alias("_n"))
+    again = s.table(again.filter("_n > 1").select("_d"))
+    few = lambda df: (F.broadcast(df) if (n := df.count()) <= MOST_SENT else df, n)
+    (bad, n_bad), (twice, n_twice) = few(unproven), few(again)
+    held = rows.select("handoff", "document_id", "engine", "raw_response", "raw_sha256", "page_sha256", stranger.alias("_stranger"), mismatch.alias("_mismatch"), F.xxhash64("raw_response").alias("_p"), key.alias("_d"))
+    held = held.join(bad.select("_p", F.lit(True).alias("_bad")), "_p", "left") if n_bad else held.withColumn("_bad", F.lit(None).cast("boolean"))
+    held = held.join(twice.select("_d", F.lit(True).alias("_twice")), "_d", "left") if n_twice else held.withColumn("_twice", F.lit(None).cast("boolean"))
+    own = c("_stranger") | c("_mismatch") | blank("raw_response") | ~hexed("raw_sha256") | ~hexed("page_sha256") | blank("document_id")
+    held = s.table(held.filter(own | c("_bad") | c("_twice")).drop("_p", "_d"))
+    files = raw.join(bad, F.xxhash64("path") == c("_p"), "left_semi") if n_bad else raw.limit(0)
+    held = held.join(files.groupBy(c("path").alias("raw_response")).agg(F.min("sha256").alias("_found")), "raw_response", "left")
+    held = held.join(held.filter("_twice").groupBy("engine", "document_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), ["engine", "document_id"], "left")
     tests = {
-        "record_of_no_handoff": c("_engine").isNull() & c("_model").isNull(),
-        "record_engine_does_not_match_handoff": ~(same("engine", "_engine") & same("engine_version", "_model")),
+        "record_of_no_handoff": c("_stranger"),
+        "record_engine_does_not_match_handoff": c("_mismatch"),
         "record_has_no_raw_response": blank("raw_response"),
-        "record_raw_evidence_invalid": ~hexed("raw_sha256") | c("_found").isNull(),
-        "record_raw_response_changed": ~same("raw_sha256", "_found"),
+        "record_raw_evidence_invalid": ~hexed("raw_sha256") | (c("_bad").isNotNull() & c("_found").isNull()),
+        "record_raw_response_changed": c("_bad").isNotNull() & ~same("raw_sha256", "_found"),
         "record_page_hash_invalid": ~hexed("page_sha256"),
         "record_has_no_document_id": blank("document_id"),
         "duplicate_engine_for_document": c("_n").isNotNull(),
     }
-    judged = s.table(rows.select(*RECORD, F.coalesce(*(F.when(t, n) for n, t in tests.items())).alias("reason")))
+    return held.select("handoff", "document_id", F.coalesce(*(F.when(t, n) for n, t in tests.items())).alias("reason")).filter("reason is not null")
+
+
+def load(headers: DataFrame, records: DataFrame, raw: DataFrame, expected: tuple[str, ...] = (), comment_only: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(readings, findings): verified readings, and (handoff, document_id, reason) of all that speaks against a handoff.
+
+    A record must be of its handoff's engine and model, keep a raw response whose file has the stated hash, state a page's
+    hash and a document, and be the only one of its engine for the document.  The records together must have the stated digest.
+    A lane of ``expected`` that no handoff brings, and records of a handoff without a header, are findings too.  With ``comment_only``
+    flags about handwriting do not block.  Lanes are a few rows whatever the corpus; records meet files by hashes of path and
+    content, and are read again as readings, so that no record is shuffled or written whole.
+    """
+    s = Scratch(records.sparkSession, "handoffs")
+    c = F.col
+    told = s.table(_lanes(headers).join(digests(records), "handoff", "left"))
+    lanes = told.drop("digest")
     none = F.lit(None).cast("string")
-    told = lanes.join(digests(records), "handoff", "left")
     empty = F.lit("0")
     changed = told.filter(~F.coalesce(c("records_digest") == F.coalesce("digest", empty), F.lit(False)))
     brought = lanes.select(c("lane")).distinct()
     wanted = records.sparkSession.createDataFrame([(x,) for x in expected], "lane string").join(brought, "lane", "left_anti")
     findings = lanes.filter("reason is not null").select("handoff", none.alias("document_id"), "reason")
     findings = findings.unionByName(changed.select("handoff", none.alias("document_id"), F.lit("records_digest_mismatch").alias("reason")))
-    findings = findings.unionByName(judged.filter("reason is not null").select("handoff", "document_id", "reason"))
+    findings = findings.unionByName(_judged(records, lanes, raw, s))
     findings = s.table(findings.unionByName(wanted.select(none.alias("handoff"), none.alias("document_id"), F.concat(F.lit("handoff_missing:"), "lane").alias("reason"))))
     sound = lanes.join(findings.select("handoff").distinct(), "handoff", "left_anti").select("handoff", "lane", "provider", "model", "vendor")
     flags = F.coalesce("flags", F.array().cast("array<string>"))
     flags = F.filter(flags, lambda x: ~F.lower(x).contains("handwrit")) if comment_only else flags
     blocked = F.coalesce(c("review_status") == "open_exception", F.lit(False)) | (F.size(flags) > 0)
-    readings = judged.join(sound, "handoff").select("document_id", "engine", "handoff", "lane", "provider", "model", "vendor", "page_sha256", "payload", blocked.alias("provider_blocked"))
+    readings = records.select(*RECORD).join(F.broadcast(sound), "handoff").select("document_id", "engine", "handoff", "lane", "provider", "model", "vendor", "page_sha256", "payload", blocked.alias("provider_blocked"))
     return readings, findings

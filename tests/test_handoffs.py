@@ -1,6 +1,9 @@
 """Handoffs written as files, then changed."""
 
 import hashlib
+import random
+
+import pytest
 
 from attestra.sources import handoffs
 
@@ -59,3 +62,50 @@ def test_bad_records(spark):
     ]
     none = handoffs.load(spark.createDataFrame([], HEAD), records.limit(0), raw.limit(0))
     assert none[0].count() == 0 and none[1].count() == 0
+
+
+def random_handoff(draw, n=400):
+    """Records and files with every fault, and the reasons by plain search."""
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    raw = [(f"r{i}", draw.choice([sha(f"r{i}"), sha(f"r{i}"), sha("x"), sha(f"r{i}").upper(), None, "zz"])) for i in range(40) if i % 9] + [("r1", sha("x")), ("r2", sha("y")), (None, sha("x"))]
+    rec = []
+    for _ in range(n):
+        path = draw.choice(["r%d" % draw.randrange(40)] * 9 + [None, " "])
+        doc = draw.choice([f"D{draw.randrange(4 * n)}"] * 20 + [None, " "])
+        rec.append((draw.choice("aaaz"), doc, draw.choice(["openai/m"] * 20 + ["openai/n", None]), draw.choice(["m"] * 20 + [None]), path, draw.choice([sha(str(path))] * 9 + [sha("x"), None, "zz", sha(str(path)).upper()]), draw.choice([sha("page")] * 20 + ["no", None]), "clear", None, "p"))
+    found, same = {}, {}
+    for path, x in raw:
+        if x is not None:
+            found[path] = min(found.get(path, x), x)
+    for r in rec:
+        same[r[2], r[1]] = same.get((r[2], r[1]), 0) + (r[1] is not None and r[2] is not None)
+    hexed = lambda x: x is not None and len(x) == 64 and not set(x) - set("0123456789abcdef")
+    reasons = []
+    for h, doc, engine, version, path, stated, page, *_ in rec:
+        at = found.get(path) if path is not None else None
+        tests = (
+            (h != "a", "record_of_no_handoff"), ((engine, version) != ("openai/m", "m"), "record_engine_does_not_match_handoff"), (not (path or "").strip(), "record_has_no_raw_response"), (not hexed(stated) or at is None, "record_raw_evidence_invalid"),
+            (stated != at, "record_raw_response_changed"), (not hexed(page), "record_page_hash_invalid"), (not (doc or "").strip(), "record_has_no_document_id"), (same[engine, doc] > 1, "duplicate_engine_for_document"),
+        )
+        reasons += [(h, doc or "", name) for bad, name in tests if bad][:1]
+    return rec, raw, sorted(reasons)
+
+
+@pytest.mark.parametrize("sent", [0, 4_000_000])
+def test_every_fault_by_both_ways(spark, monkeypatch, sent):
+    monkeypatch.setattr(handoffs, "MOST_SENT", sent)
+    monkeypatch.setattr(handoffs, "MEET_ROWS", 50)
+    rec, raw, want = random_handoff(random.Random(5))
+    found = handoffs.load(spark.createDataFrame([head("a", 0)], HEAD), spark.createDataFrame(rec, REC), spark.createDataFrame(raw, "path string, sha256 string"))[1]
+    assert sorted((r.handoff, r.document_id or "", r.reason) for r in found.collect() if r.reason != "records_digest_mismatch") == want and len({x[2] for x in want}) == 8
+
+
+def test_records_are_not_written_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("attestra.scratch.base_dir", lambda _: f"file://{tmp_path}")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    payload = lambda i: "".join(sha(f"{i} {n}") for n in range(30))
+    records = spark.createDataFrame([("a", f"D{i}", "openai/m", "m", f"r{i}", sha(f"r{i}"), sha("page"), "clear", None, payload(i)) for i in range(500)], REC)
+    raw = spark.createDataFrame([(f"r{i}", sha(f"r{i}")) for i in range(500)], "path string, sha256 string")
+    readings, findings = handoffs.load(spark.createDataFrame([head("a", 0, digest=handoffs.digests(records).first().digest)], HEAD), records, raw)
+    assert findings.count() == 0 and {(r.document_id, r.payload) for r in readings.collect()} == {(f"D{i}", payload(i)) for i in range(500)}
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file()) < 100_000
