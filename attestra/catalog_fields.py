@@ -98,7 +98,7 @@ SELECT doc_id, count(*) AS names, CAST(min(strpos(head, key)) AS BIGINT) AS firs
 def _(d):
     """Names are the first two words of every document."""
     docs = d.raw("documents")
-    words = F.split("text", " ")
+    words = F.split("text", " ", 3)
     known = docs.groupBy(F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("name")).agg(F.count("*").alias("documents"))
     return brands.letterhead_places(docs, known, "doc_id").groupBy("doc_id").agg(F.count("*").alias("names"), F.min("at").cast("long").alias("first_at"))
 
